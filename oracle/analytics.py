@@ -1,9 +1,12 @@
 """SQL of the twelve named reports."""
 
-from oracle.views import AS_OF, LATE, POS, div, mins, pct, r2, spine, sql, window
+from oracle.views import LATE, POS, mins, pct, r2, spine, sql, window
 
 P, V, A = window("v_predictions"), window("v_vehicle_positions"), window("v_alerts")
 
+# The mean of whole cm/s in m/s, halves up at two decimals, in whole-number arithmetic.
+SPEED = "((2*sum(speed_cms) + count(speed_cms)) // nullif(2*count(speed_cms), 0)) / 100.0::DOUBLE"
+
 QUERIES = {
     "q_performance": sql(f"""
         SELECT p.route_id, r.route_name, count(*) AS total_predictions, {LATE} AS delayed_predictions,
@@ -52,7 +55,7 @@ QUERIES = {
         hourly=f"""
         SELECT date_trunc('hour', timestamp) AS hour_bucket, count(DISTINCT vehicle_id) AS n,
                count(*) FILTER (congestion_level > 0) AS c,
-               {r2(div('sum(speed_cms)', 'count(speed_cms)*100'))} AS a,
+               {SPEED} AS a,
                {r2('max(speed_cms)/100.0::DOUBLE')} AS mx, {r2('min(speed_cms)/100.0::DOUBLE')} AS mn
         FROM {V} GROUP BY 1"""),
     "q_alerts": sql(f"""
@@ -106,7 +109,7 @@ QUERIES = {
                {mins(f'sum({POS})', 'count(*)')} AS avg_delay_minutes FROM {window('v_predictions', 1)}
         UNION ALL
         SELECT 'vehicles', count(DISTINCT vehicle_id), count(*) FILTER (congestion_level > 0),
-               {r2(div('sum(speed_cms)', 'count(speed_cms)*100'))} FROM {window('v_vehicle_positions', 1)}
+               {SPEED} FROM {window('v_vehicle_positions', 1)}
         UNION ALL
         SELECT 'alerts', count(*), count(*) FILTER (alert_severity_level = 'high'), 0.0::DOUBLE
         FROM {window('v_alerts', 1)}"""),

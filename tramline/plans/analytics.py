@@ -34,6 +34,10 @@ def _exact_speed() -> Column:
     return F.col("speed").cast("decimal(18,6)")
 
 
+def _mean_speed(total: Column, n: Column) -> Column:
+    return F.round(F.try_divide(total, n.cast("decimal(19,0)")), 2).cast("double")
+
+
 def combine_delays(facts: DataFrame, *keys: str) -> DataFrame:
     """Delay counters per key combination; they add up over any coarser key."""
     return facts.groupBy(*keys).agg(
@@ -159,7 +163,7 @@ def vehicle_activity(positions: DataFrame, as_of: AsOf = None, hours: float = 24
             "hour_bucket",
             zero_if_null(count).alias("vehicle_count"),
             zero_if_null(F.col("congested")).alias("congested_count"),
-            zero_if_null(r2(ratio(F.col("speed_sum"), F.col("speed_n")))).alias("avg_speed_mps"),
+            zero_if_null(_mean_speed(F.col("speed_sum"), F.col("speed_n"))).alias("avg_speed_mps"),
             zero_if_null(r2(F.col("fastest"))).alias("max_speed_mps"),
             zero_if_null(r2(F.col("slowest"))).alias("min_speed_mps"),
             F.when(count.isNull(), "No Data").when(count == 0, "No Vehicles")
@@ -302,7 +306,7 @@ def realtime(
         _minutes(F.sum(lateness(_delay()).cast("bigint")), row_count())).toDF(*names)
     fleet = recent(positions, as_of, hours).agg(
         F.lit("vehicles"), F.count_distinct("vehicle_id"), F.count_if(F.col("congestion_level") > 0),
-        r2(ratio(F.sum(_exact_speed()), F.count("speed")))).toDF(*names)
+        _mean_speed(F.sum(_exact_speed()), F.count("speed"))).toDF(*names)
     notices = recent(alerts, as_of, hours).agg(
         F.lit("alerts"), row_count(),
         F.count_if(F.col("alert_severity_level").isin(*high_values)), F.lit(0.0)).toDF(*names)
