@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+class Schemas(Mapping):
+    """Named schemas kept as DDL and parsed on first use, which needs a running session."""
 
+    def __init__(self, ddl: dict[str, str]):
+        self._ddl = ddl
+        self._parsed: dict[str, T.StructType] = {}
+
+    def __getitem__(self, name: str) -> T.StructType:
+        if name not in self._parsed:
+            self._parsed[name] = T.StructType.fromDDL(self._ddl[name])
+        return self._parsed[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._ddl)
+
+    def __len__(self) -> int:
+        return len(self._ddl)
 
-LINEAGE_DDL = (
-    "created_at timestamp, updated_at timestamp, processed_at timestamp, source string, "
-    "version string, batch_id string, partition_date string, "
-    "confidence_score double, data_quality_score double"
-)
 
 STOP_EVENT_DDL = (
     "struct<stop_id:string,stop_sequence:int,"
@@ -21,73 +32,71 @@ STOP_EVENT_DDL = (
 )
 
 # Typed records, as they leave the projections and enter validation.
-RECORDS = {
-    "stop": _struct(
+RECORDS = Schemas({
+    "stop": (
         "stop_id string, stop_name string, stop_lat double, stop_lon double, "
         "wheelchair_boarding int, platform_code string"),
-    "route": _struct(
+    "route": (
         "route_id string, route_name string, route_type int, route_color string, "
         "route_text_color string"),
-    "trip": _struct(
+    "trip": (
         "trip_id string, route_id string, service_id string, trip_headsign string, "
         "trip_short_name string, direction_id int, block_id string, shape_id string, "
         "wheelchair_accessible int, bikes_allowed int"),
-    "prediction": _struct(
+    "prediction": (
         "prediction_id string, trip_id string, stop_id string, route_id string, "
         "arrival_time timestamp, departure_time timestamp, schedule_relationship string, "
         "vehicle_id string, vehicle_label string, status string, delay int"),
-    "vehicle_position": _struct(
+    "vehicle_position": (
         "vehicle_id string, trip_id string, route_id string, latitude double, longitude double, "
         "bearing double, speed double, current_status string, timestamp timestamp, "
         "congestion_level string, occupancy_status string"),
-    "trip_update": _struct(
+    "trip_update": (
         "trip_id string, vehicle_id string, route_id string, timestamp timestamp, delay double, "
         f"stop_time_updates array<{STOP_EVENT_DDL}>"),
-    "alert": _struct(
+    "alert": (
         "alert_id string, alert_header_text string, alert_description_text string, "
         "alert_url string, effective_start_date timestamp, effective_end_date timestamp, "
         "affected_routes array<string>, affected_stops array<string>, "
         "affected_trips array<string>, alert_severity_level string, cause string, effect string"),
-}
-
-LINEAGE = _struct(LINEAGE_DDL)
+})
 
 # Stored tables. Facts end in the partition column their files are laid out by.
-TABLES = {
-    "routes": _struct(
+TABLES = Schemas({
+    "routes": (
         "id string, route_name string, route_type int, route_color string, "
         "route_text_color string, route_sort_order int, route_long_name string, route_desc string"),
-    "stops": _struct(
+    "stops": (
         "id string, stop_name string, stop_lat double, stop_lon double, "
         "wheelchair_boarding int, platform_code string, parent_station string"),
-    "trips": _struct(
+    "trips": (
         "id string, route_id string, service_id string, trip_headsign string, "
         "trip_short_name string, direction_id int, block_id string, shape_id string, "
         "wheelchair_accessible int, bikes_allowed int"),
-    "vehicles": _struct("id string, vehicle_id string, vehicle_label string"),
-    "predictions": _struct(
+    "vehicles": ("id string, vehicle_id string, vehicle_label string"),
+    "predictions": (
         "id string, trip_id string, route_id string, stop_id string, vehicle_id string, "
         "arrival_time timestamp, departure_time timestamp, schedule_relationship int, "
         "status string, delay int, timestamp timestamp, arrival_date string"),
-    "vehicle_positions": _struct(
+    "vehicle_positions": (
         "id string, vehicle_id string, trip_id string, route_id string, direction_id int, "
         "stop_id string, latitude double, longitude double, bearing double, speed double, "
         "congestion_level int, occupancy_status int, timestamp timestamp, "
         "partition_date string, batch_id string"),
-    "trip_updates": _struct(
+    "trip_updates": (
         "id string, trip_id string, route_id string, delay double, start_time timestamp, "
         "end_time timestamp, timestamp timestamp, partition_date string, batch_id string"),
-    "alerts": _struct(
+    "alerts": (
         "alert_id string, alert_header_text string, alert_description_text string, "
         "alert_url string, alert_effect string, alert_severity_level string, "
         "affected_route_ids array<string>, affected_stop_ids array<string>, "
         "affected_trip_ids array<string>, active_period_start timestamp, "
         "active_period_end timestamp, timestamp timestamp, partition_date string"),
-    "data_ingestion_logs": _struct(
+    "data_ingestion_logs": (
         "source_type string, status string, records_processed bigint, records_inserted bigint, "
         "records_updated bigint, records_failed bigint, processing_time_ms bigint, "
         "error_message string, started_at timestamp, completed_at timestamp, batch_id string"),
-}
+})
 
 PARTITION_COLUMNS = {
     "predictions": ["arrival_date"],
@@ -101,7 +110,7 @@ _REF = "struct<data:struct<id:string>>"
 
 # One JSON:API record per line. Predictions, vehicles and routes share the
 # envelope, so a mixed feed is read once with the union of their attributes.
-REST_RECORD = _struct(
+_REST_DDL = (
     "id string, type string, "
     "attributes struct<"
     "arrival_time:string,departure_time:string,schedule_relationship:string,status:string,"
@@ -113,7 +122,7 @@ REST_RECORD = _struct(
 
 _TEXT = "struct<translation:array<struct<text:string,language:string>>>"
 
-FEED_MESSAGE = _struct(
+_FEED_DDL = (
     "header struct<gtfs_realtime_version:string,timestamp:bigint>, "
     "entity array<struct<id:string,"
     "vehicle:struct<trip:struct<trip_id:string,route_id:string>,vehicle:struct<id:string,label:string>,"
@@ -129,7 +138,7 @@ FEED_MESSAGE = _struct(
 
 # Untyped records as loose key/value documents: times are text and every field
 # is optional; the record type is worked out from the fields present.
-LOOSE_RECORD = _struct(
+_LOOSE_DDL = (
     "record_type string, prediction_id string, trip_id string, stop_id string, stop_name string, "
     "stop_lat double, stop_lon double, wheelchair_boarding int, platform_code string, "
     "route_id string, route_name string, route_type int, route_color string, "
@@ -145,3 +154,5 @@ LOOSE_RECORD = _struct(
     "effective_end_date string, affected_routes array<string>, affected_stops array<string>, "
     "affected_trips array<string>, alert_severity_level string, severity_level string, "
     "cause string, effect string")
+
+DOCUMENTS = Schemas({"rest": _REST_DDL, "feed": _FEED_DDL, "loose": _LOOSE_DDL})

@@ -35,7 +35,9 @@ def minutes_after(ts: Column, minutes: Column) -> Column:
     return F.timestamp_micros(F.unix_micros(ts) + minutes * 60_000_000)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    if streaming:
+        return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return _read(spark, sf_dir, "events", EVENTS)
 
 
@@ -88,10 +90,10 @@ def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Vehicle "), label).alias("vehicle_label"))
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predictions(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     e = _event_columns()
     arrival = F.when(e["n"] % 13 != 0, minutes_after(e["ts"], e["n"] % 140 - 10))
-    return events(spark, sf_dir).select(
+    return events(spark, sf_dir, streaming).select(
         e["n"].alias("id"),
         F.concat(F.lit("P"), e["n"].cast("string")).alias("prediction_id"),
         e["trip"].alias("trip_id"),
@@ -107,9 +109,9 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         e["ts"].alias("timestamp"))
 
 
-def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vehicle_positions(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     e = _event_columns()
-    return events(spark, sf_dir).select(
+    return events(spark, sf_dir, streaming).select(
         e["n"].alias("id"),
         e["vehicle"].alias("vehicle_id"),
         e["trip"].alias("trip_id"),
@@ -125,12 +127,12 @@ def vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         minutes_after(e["ts"], e["n"] % 45 - 3).alias("received_at"))
 
 
-def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def alerts(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     e = _event_columns()
     names = lambda *xs: F.array(*[F.lit(x) for x in xs])
     second = F.when(e["n"] % 2 == 1, F.array(route_code((e["user"] + 1) % 24))).otherwise(
         F.array().cast("array<string>"))
-    return events(spark, sf_dir).where(e["kind"] == "error").select(
+    return events(spark, sf_dir, streaming).where(e["kind"] == "error").select(
         F.concat(F.lit("A"), e["n"].cast("string")).alias("alert_id"),
         F.concat(F.lit("Notice "), e["n"].cast("string")).alias("alert_header_text"),
         F.element_at(names("DETOUR", "DELAY", "NO_SERVICE", "OTHER"), e["k"] % 4 + 1).alias("alert_effect"),
