@@ -1,5 +1,5 @@
 """Independent SQL for checking the operators; plain text, run by DuckDB."""
 
-from oracle import analytics
+from oracle import analytics, records, summaries
 
-ORACLE = {**analytics.QUERIES}
+ORACLE = {**analytics.QUERIES, **summaries.QUERIES, **records.QUERIES}

@@ -146,19 +146,24 @@ def _(t):
     return summaries.stored_service_health(t.predictions, t.alerts, AS_OF, HOURS)
 
 
+def _on_time(t: Tables, **options) -> DataFrame:
+    row = summaries.on_time_performance(t.predictions, AS_OF, HOURS, **options)
+    return row.withColumn("delay_std_dev", analytics.r2(F.col("delay_std_dev")))
+
+
 @query("sampled_performance")
 def _(t):
-    return summaries.on_time_performance(t.predictions, AS_OF, HOURS)
+    return _on_time(t)
 
 
 @query("window_performance")
 def _(t):
-    return summaries.on_time_performance(t.predictions, AS_OF, HOURS, sample=None)
+    return _on_time(t, sample=None)
 
 
 @query("route_performance_sampled")
 def _(t):
-    return summaries.on_time_performance(t.predictions, AS_OF, HOURS, route_id="Red")
+    return _on_time(t, route_id="Red")
 
 
 @query("route_on_time_guarded")
