@@ -49,6 +49,12 @@ def hour_spine(df: DataFrame, as_of: AsOf, hours: float) -> DataFrame:
         )).alias("hour_bucket"))
 
 
+def up_to_hour(df: DataFrame, as_of: AsOf, column: str = "timestamp") -> DataFrame:
+    """Rows up to the end of the hour of ``as_of``, the last hour of a spine."""
+    end = F.date_trunc("hour", as_of_column(as_of)) + F.lit(dt.timedelta(hours=1))
+    return df.where(F.col(column) < end)
+
+
 def on_spine(hourly: DataFrame, as_of: AsOf, hours: float) -> DataFrame:
     """Gap fill: every spine hour, with the hourly aggregate where there is one.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tramline.functions.clock import AsOf, as_of_column
 from tramline.functions.codes import (
     CONGESTION_LEVEL, OCCUPANCY_STATUS, SCHEDULE_RELATIONSHIP, parse_time, to_code)
+from tramline.functions.measures import ratio
 from tramline.schemas import RECORDS, TABLES
 
 LANGUAGE = "en"
@@ -89,12 +90,13 @@ def feed_positions(entities: DataFrame) -> DataFrame:
 
 def mean_stop_delay(stop_events: Column) -> Column:
     """Mean of the non-zero arrival and departure delays; null when there are none."""
-    each = F.flatten(F.array(
-        F.transform(stop_events, lambda e: e["arrival"]["delay"]),
-        F.transform(stop_events, lambda e: e["departure"]["delay"])))
-    counted = F.filter(each, lambda d: d != 0)
-    total = F.aggregate(counted, F.lit(0).cast("bigint"), lambda acc, d: acc + d)
-    return F.try_divide(total.cast("double"), F.size(counted).cast("double"))
+    def add(acc, event):
+        arrival, departure = (F.coalesce(event[x]["delay"], F.lit(0)) for x in ("arrival", "departure"))
+        counted = F.when(arrival != 0, 1).otherwise(0) + F.when(departure != 0, 1).otherwise(0)
+        return F.struct(
+            (acc["total"] + arrival + departure).alias("total"), (acc["n"] + counted).alias("n"))
+    start = F.struct(F.lit(0).cast("bigint").alias("total"), F.lit(0).alias("n"))
+    return F.aggregate(stop_events, start, add, lambda acc: ratio(acc["total"], acc["n"]))
 
 
 def feed_trip_updates(entities: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tramline.functions.measures import row_count
 
 LINE = ["route_id", "direction_id"]
-SLOT_SECONDS = 60
+SLOT_SECONDS = 900
 
 
 def _seconds(later: Column, earlier: Column) -> Column:

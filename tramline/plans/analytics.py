@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.functions.clock import AsOf, on_spine, recent
+from tramline.functions.clock import AsOf, on_spine, recent, up_to_hour
 from tramline.functions.measures import (
     SEVERE_SECONDS, is_late, lateness, percent, r2, ratio, row_count, sample_stddev, zero_if_null)
 from tramline.operators.headway import headway_moments
@@ -77,7 +77,7 @@ def delays(
 ) -> DataFrame:
     n, late = F.col("n"), F.col("late")
     hourly = (
-        _facts(predictions, as_of, hours, route_id)
+        up_to_hour(_facts(predictions, as_of, hours, route_id), as_of)
         .groupBy(F.date_trunc("hour", "timestamp").alias("hour_bucket"))
         .agg(
             row_count().alias("n"), F.count_if(is_late(_delay())).alias("late"),
@@ -146,7 +146,7 @@ def vehicle_activity(positions: DataFrame, as_of: AsOf = None, hours: float = 24
     """Per hour: distinct vehicles, congestion and speed, with gaps filled."""
     count = F.col("vehicles")
     hourly = (
-        recent(positions, as_of, hours)
+        up_to_hour(recent(positions, as_of, hours), as_of)
         .groupBy(F.date_trunc("hour", "timestamp").alias("hour_bucket"), "vehicle_id")
         .agg(
             F.count_if(F.col("congestion_level") > 0).alias("congested"),
@@ -350,7 +350,7 @@ def geographic(
 def hourly_trends(
     predictions: DataFrame, as_of: AsOf = None, hours: float = 24, route_id: str | None = None,
 ) -> DataFrame:
-    facts = _facts(predictions, as_of, hours, route_id).withColumn(
+    facts = up_to_hour(_facts(predictions, as_of, hours, route_id), as_of).withColumn(
         "hour_bucket", F.date_trunc("hour", "timestamp"))
     hourly = combine_delays(facts, "hour_bucket", "route_id", "stop_id").groupBy("hour_bucket").agg(
         F.sum("n").alias("n"), F.sum("late").alias("late"), F.sum("late_s").alias("late_s"),

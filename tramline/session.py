@@ -13,6 +13,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Sessions of one busy vehicle are merged before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # No Python call site per column: plans are built several times faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

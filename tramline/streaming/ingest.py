@@ -47,9 +47,11 @@ def process_batch(
 ) -> dict:
     """One batch from text lines to stored tables; a repeat of the batch changes nothing."""
     lines = lines.persist()
+    checked = {}
     try:
         frames, bad = typed_frames(lines, form)
-        checked = {kind: validate(df, kind, as_of) for kind, df in frames.items()}
+        # Storing reads a frame several times; it is decoded and checked once.
+        checked = {kind: validate(df, kind, as_of).persist() for kind, df in frames.items()}
         refused = stack(bad, *[
             rejected(df).select(F.lit(kind).alias("kind"), REASONS, as_json(*frames[kind].columns).alias("payload"))
             for kind, df in checked.items()])
@@ -57,7 +59,8 @@ def process_batch(
             "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/quarantine")
         return store_all({k: valid(df) for k, df in checked.items()}, root, batch_id, as_of, seed_missing)
     finally:
-        lines.unpersist()
+        for held in (lines, *checked.values()):
+            held.unpersist()
 
 
 def start_ingest(
