@@ -767,11 +767,6 @@ def _(t):
     return referential.unknown_route(t.routes)
 
 
-@query("seed_routes")
-def _(t):
-    return tables.seeded(t.routes.where("id IS NULL"))
-
-
 @query("seed_routes_kept")
 def _(t):
     return tables.seeded(t.routes).select("id", "route_name")

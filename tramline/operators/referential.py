@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tramline.functions.measures import row_count
 from tramline.operators.shape import stack
 
 
@@ -35,9 +36,10 @@ def missing_trips(trips: DataFrame, *facts: DataFrame) -> DataFrame:
 
 def unknown_route(routes: DataFrame) -> DataFrame:
     """The route that placeholder trips refer to, when the dimension lacks it."""
-    member = routes.sparkSession.range(1).select(F.lit("unknown").alias("id"))
-    return _missing(member, routes).select(
-        "id", F.lit("Route unknown").alias("route_name"), F.lit(0).alias("route_type"))
+    held = routes.where("id = 'unknown'").agg(row_count().alias("n"))
+    return held.where("n = 0").select(
+        F.lit("unknown").alias("id"), F.lit("Route unknown").alias("route_name"),
+        F.lit(0).alias("route_type"))
 
 
 def missing_vehicles(vehicles: DataFrame, *facts: DataFrame, seed_missing: bool = True) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -53,6 +54,14 @@ def write_rows(df: DataFrame, root: str, table: str, mode: str) -> None:
     writer.parquet(table_path(root, table))
 
 
+def rows_written(seen: Observation) -> int:
+    """The observed row count. A plan found empty at run time is cut and observes nothing."""
+    try:
+        return int(seen.get["rows"])
+    except Py4JJavaError:
+        return 0
+
+
 def insert_absent(rows: DataFrame, root: str, table: str, *order: str) -> int:
     """Insert-if-absent into a keyed table; returns how many rows were added."""
     target = read_table(rows.sparkSession, root, table)
@@ -64,13 +73,13 @@ def insert_absent(rows: DataFrame, root: str, table: str, *order: str) -> int:
     added = Observation()
     fresh = new_rows(rows, target, KEYS[table], *order).observe(added, row_count().alias("rows"))
     write_rows(fresh, root, table, "append")
-    return int(added.get.get("rows", 0) or 0)
+    return rows_written(added)
 
 
 def append_batch(rows: DataFrame, root: str, table: str) -> int:
     added = Observation()
     write_rows(rows.observe(added, row_count().alias("rows")), root, table, "overwrite")
-    return int(added.get.get("rows", 0) or 0)
+    return rows_written(added)
 
 
 def repair_references(records: DataFrame, kind: str, root: str, seed_missing: bool = True) -> dict[str, int]:
@@ -105,22 +114,20 @@ def store(
         raise ValueError(f"unknown record type {kind!r}")
     table, began = TABLE_OF[kind], time.monotonic()
     outcome = {"source_type": source or kind, "processed": 0, "inserted": 0, "status": "success", "error": None}
-    seen = Observation()
-    counted = records.observe(seen, row_count().alias("rows"))
     try:
+        outcome["processed"] = records.count()
         if kind in ("prediction", "vehicle_position", "trip_update"):
             repair_references(records, kind, root, seed_missing)
         if kind == "trip":
             insert_absent(
                 shaped(referential.missing_routes(read_table(records.sparkSession, root, "routes"), records),
                        "routes"), root, "routes", "route_name")
-        rows = table_rows(counted, kind, as_of, batch_id)
+        rows = table_rows(records, kind, as_of, batch_id)
         if table in KEYS:
             order = [c for c in rows.columns if c not in KEYS[table] and not c.startswith("affected")]
             outcome["inserted"] = insert_absent(rows, root, table, *order)
         else:
             outcome["inserted"] = append_batch(rows, root, table)
-        outcome["processed"] = int(seen.get.get("rows", 0) or 0)
     except Exception as fault:  # noqa: BLE001 - the outcome row carries the error to the log
         outcome |= {"status": "error", "error": str(fault)[:1000]}
     outcome["milliseconds"] = int((time.monotonic() - began) * 1000)
