@@ -170,3 +170,14 @@ def test_topics_and_exports(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "kpi_snapshot")).count() == 2
     publish.publish_stats({"totals": doc, "lists": doc}, str(tmp_path / "stats"))
     assert spark.read.json(str(tmp_path / "stats" / "lists")).count() == 1
+
+
+def test_nothing_new_leaves_no_file(spark, root):
+    import glob
+
+    df = predictions(spark, ("p", "t", "s", "Red", NOW, "v", 1))
+    files = lambda: sorted(f for f in glob.glob(f"{root}/**/*.parquet", recursive=True) if "data_ingestion_logs" not in f)
+    store.store(df, "prediction", root, "1", NOW)
+    before = files()
+    store.store(df, "prediction", root, "2", NOW)
+    assert files() == before

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,8 +19,7 @@ SETTINGS = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # No Python call site per column: plans are built several times faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
 }
 
 

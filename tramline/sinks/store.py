@@ -70,10 +70,20 @@ def insert_absent(rows: DataFrame, root: str, table: str, *order: str) -> int:
         # can hold its keys. One value per calendar day comes to the driver.
         days = [r[0] for r in rows.select("arrival_date").distinct().collect()]
         target = in_partitions(target, "arrival_date", days)
-    added = Observation()
-    fresh = new_rows(rows, target, KEYS[table], *order).observe(added, row_count().alias("rows"))
-    write_rows(fresh, root, table, "append")
-    return rows_written(added)
+    fresh = new_rows(rows, target, KEYS[table], *order)
+    if table in PARTITION_COLUMNS:
+        added = Observation()
+        write_rows(fresh.observe(added, row_count().alias("rows")), root, table, "append")
+        return rows_written(added)
+    # A dimension rarely gains rows, and writing none would still leave a file.
+    fresh = fresh.persist()
+    try:
+        n = fresh.count()
+        if n:
+            write_rows(fresh, root, table, "append")
+        return n
+    finally:
+        fresh.unpersist()
 
 
 def append_batch(rows: DataFrame, root: str, table: str) -> int:

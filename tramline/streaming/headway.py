@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tramline.functions.measures import row_count
 from tramline.operators.headway import LINE
+from tramline.session import STATE_STORE
 from tramline.streaming.kpis import POSITION_DELAY
 
 OUTPUT = "route_id string, direction_id int, timestamp timestamp, reports bigint, headway_seconds double"
@@ -54,6 +55,8 @@ class HeadwayProcessor(StatefulProcessor):
 
 
 def live_headways(positions: DataFrame, delay: str = POSITION_DELAY) -> DataFrame:
+    # transformWithState keeps its state in RocksDB, which the session has to name.
+    positions.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return live_ticks(positions, delay).groupBy(*LINE).transformWithStateInPandas(
         statefulProcessor=HeadwayProcessor(), outputStructType=OUTPUT,
         outputMode="Append", timeMode="None")
