@@ -249,7 +249,8 @@ QUERIES = {
         SELECT trip_id, route_id, stop_id, vehicle_id, arrival_time, departure_time,
                CASE schedule_relationship WHEN 'scheduled' THEN 0 WHEN 'ADDED' THEN 1 WHEN 'canceled' THEN 3 END
                    AS schedule_relationship,
-               delay, timestamp, coalesce(strftime(arrival_time, '%Y-%m-%d'), 'none') AS arrival_date
+               delay, timestamp, strftime(timestamp, '%Y-%m-%d') AS partition_date,
+               coalesce(strftime(arrival_time, '%Y-%m-%d'), 'none') AS arrival_date
         FROM v_predictions"""),
     "alert_rows": sql("""
         SELECT alert_id, alert_header_text, alert_effect, alert_severity_level,

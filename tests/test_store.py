@@ -10,7 +10,8 @@ from tramline.operators import upsert
 from tramline.operators.flatten import conform
 from tramline.plans import health
 from tramline.sinks import publish, store
-from tramline.sources.tables import SEED_ROUTES, read_table, seeded
+from tramline.operators.topk import newest
+from tramline.sources.tables import SEED_ROUTES, read_newest, read_table, seeded
 from tramline.streaming.ingest import process_batch
 
 NOW = dt.datetime(2024, 3, 1, 12)
@@ -144,9 +145,11 @@ def test_process_batch_puts_bad_input_in_quarantine(spark, root):
     late = {**good, "id": "q", "attributes": {"delay": 9999}}
     lines = spark.createDataFrame(
         [(json.dumps(d),) for d in (good, late, {"id": "x", "type": "alert"})] + [("{not json",)], "value string")
-    for _ in range(2):
-        assert process_batch(lines, "b1", root, as_of=NOW)["status"] == "success"
+    for settled in (False, True):
+        assert process_batch(lines, "b1", root, as_of=NOW, settled=settled)["status"] == "success"
     assert counts(spark, root, "predictions") == {"predictions": 1}
+    log = read_table(spark, root, "data_ingestion_logs").where("source_type = 'prediction'").first()
+    assert (log.records_processed, log.records_failed) == (1, 1)
     refused = {r.reject_reasons[0]: r.payload for r in spark.read.parquet(f"{root}/quarantine").collect()}
     assert set(refused) == {"delay_out_of_range", "unknown_type", "undecodable"}
     assert json.loads(refused["delay_out_of_range"])["prediction_id"] == "q"
@@ -181,3 +184,16 @@ def test_nothing_new_leaves_no_file(spark, root):
     before = files()
     store.store(df, "prediction", root, "2", NOW)
     assert files() == before
+
+
+def test_the_newest_rows_are_found_in_the_last_days(spark, root):
+    base = predictions(spark, *[(f"p{i}", f"t{i}", "s", "Red", NOW, "v", i) for i in range(4)])
+    for day in range(3):
+        store.store(base.withColumn("trip_id", F.concat("trip_id", F.lit(f"-{day}"))), "prediction", root, str(day),
+                    NOW + dt.timedelta(days=day))
+    for n, days in ((3, 1), (4, 1), (5, 2), (99, 3)):
+        rows = read_newest(spark, root, "predictions", n)
+        assert rows.select("partition_date").distinct().count() == days
+        want = {r.id for r in newest(read_table(spark, root, "predictions"), n).collect()}
+        assert {r.id for r in newest(rows, n).collect()} == want
+    assert read_newest(spark, root, "vehicle_positions", 5).count() == 0

@@ -7,6 +7,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A spine of this many hours has less than 10 MB of aggregate rows.
+BROADCAST_HOURS = 100_000
+
 AsOf = dt.datetime | Column | None
 
 
@@ -63,6 +66,6 @@ def on_spine(hourly: DataFrame, as_of: AsOf, hours: float) -> DataFrame:
     only for a side that is certain to be small.
     """
     inside = hourly.where(F.col("hour_bucket") <= F.date_trunc("hour", as_of_column(as_of)))
-    if hours <= 1_000_000:
+    if hours <= BROADCAST_HOURS:
         inside = F.broadcast(inside)
     return hour_spine(hourly, as_of, hours).join(inside, "hour_bucket", "left")

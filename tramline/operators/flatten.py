@@ -223,6 +223,7 @@ def table_rows(df: DataFrame, kind: str, as_of: AsOf = None, batch_id: str = "0"
             "id": row_key("trip_id", "stop_id", "arrival_time"),
             "schedule_relationship": to_code(c("schedule_relationship"), SCHEDULE_RELATIONSHIP),
             "timestamp": now,
+            "partition_date": F.date_format(now, "yyyy-MM-dd"),
             "arrival_date": F.coalesce(_day("arrival_time"), F.lit("none"))})
         table = "predictions"
     elif kind == "vehicle_position":

@@ -61,7 +61,9 @@ RECORDS = Schemas({
         "affected_trips array<string>, alert_severity_level string, cause string, effect string"),
 })
 
-# Stored tables. Facts end in the partition column their files are laid out by.
+# Stored tables. Facts end in the columns their folders are named by: the day of
+# ``timestamp``, which time windows prune by, and for predictions also the day of
+# arrival, which is part of their key and prunes the search for known keys.
 TABLES = Schemas({
     "routes": (
         "id string, route_name string, route_type int, route_color string, "
@@ -77,7 +79,7 @@ TABLES = Schemas({
     "predictions": (
         "id string, trip_id string, route_id string, stop_id string, vehicle_id string, "
         "arrival_time timestamp, departure_time timestamp, schedule_relationship int, "
-        "status string, delay int, timestamp timestamp, arrival_date string"),
+        "status string, delay int, timestamp timestamp, partition_date string, arrival_date string"),
     "vehicle_positions": (
         "id string, vehicle_id string, trip_id string, route_id string, direction_id int, "
         "stop_id string, latitude double, longitude double, bearing double, speed double, "
@@ -99,7 +101,7 @@ TABLES = Schemas({
 })
 
 PARTITION_COLUMNS = {
-    "predictions": ["arrival_date"],
+    "predictions": ["partition_date", "arrival_date"],
     "vehicle_positions": ["partition_date", "batch_id"],
     "trip_updates": ["partition_date", "batch_id"],
     "alerts": ["partition_date"],

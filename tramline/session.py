@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -15,8 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Sessions of one busy vehicle are merged before the shuffle.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # No Python call site per column: plans are built several times faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
@@ -32,6 +30,16 @@ def build_session(app_name: str = "tramline", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    Later passes read only their columns, and a lost executor costs no rework.
+    """
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder that every executor can reach.
 

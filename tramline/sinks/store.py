@@ -117,13 +117,19 @@ def repair_references(records: DataFrame, kind: str, root: str, seed_missing: bo
 
 def store(
     records: DataFrame, kind: str, root: str, batch_id: str = "0", as_of: AsOf = None,
-    seed_missing: bool = True, source: str | None = None,
+    seed_missing: bool = True, source: str | None = None, failed: int = 0,
 ) -> dict:
-    """Store typed records of one type and log the outcome; errors are logged and returned."""
+    """Store typed records of one type and log the outcome; errors are logged and returned.
+
+    The records are read several times, so the caller holds them in memory or in
+    a table (``session.settle``). ``failed`` is how many were refused before.
+    """
     if kind not in TABLE_OF:
         raise ValueError(f"unknown record type {kind!r}")
     table, began = TABLE_OF[kind], time.monotonic()
-    outcome = {"source_type": source or kind, "processed": 0, "inserted": 0, "status": "success", "error": None}
+    outcome = {
+        "source_type": source or kind, "processed": 0, "inserted": 0, "failed": failed,
+        "status": "success", "error": None}
     try:
         outcome["processed"] = records.count()
         if kind in ("prediction", "vehicle_position", "trip_update"):
@@ -147,11 +153,13 @@ def store(
 
 def store_all(
     frames: dict[str, DataFrame], root: str, batch_id: str = "0", as_of: AsOf = None,
-    seed_missing: bool = True,
+    seed_missing: bool = True, failed: dict[str, int] | None = None,
 ) -> dict:
     """Store one frame per record type, dimensions first; success, partial or error over all."""
     order = [k for k in TABLE_OF if k in frames]
-    outcomes = {k: store(frames[k], k, root, batch_id, as_of, seed_missing) for k in order}
+    refused = failed or {}
+    outcomes = {
+        k: store(frames[k], k, root, batch_id, as_of, seed_missing, failed=refused.get(k, 0)) for k in order}
     good = [o["status"] == "success" for o in outcomes.values()]
     status = "success" if all(good) else "partial" if any(good) else "error"
     return {"status": status, "by_type": outcomes}
@@ -167,7 +175,7 @@ def log_ingestion(df: DataFrame, root: str, outcome: dict, batch_id: str, as_of:
         F.lit(outcome["processed"]).alias("records_processed"),
         F.lit(outcome["inserted"]).alias("records_inserted"),
         F.lit(0).alias("records_updated"),
-        F.lit(outcome.get("failed", 0)).alias("records_failed"),
+        F.lit(outcome["failed"]).alias("records_failed"),
         F.lit(outcome.get("milliseconds", 0)).alias("processing_time_ms"),
         F.lit(outcome.get("error")).alias("error_message"),
         (done - F.lit(spent)).alias("started_at"), done.alias("completed_at"),

@@ -28,6 +28,23 @@ def read_table(
     return recent(df, as_of, hours)
 
 
+def read_newest(spark: SparkSession, root: str, name: str, n: int) -> DataFrame:
+    """The days of a fact table that are certain to hold its ``n`` newest rows.
+
+    The rows per day come from the file footers alone, one number per calendar
+    day. Every row of a later day is newer than any row of an earlier one, so
+    the days from the newest on that hold ``n`` rows between them are enough.
+    """
+    df = read_table(spark, root, name)
+    per_day = df.groupBy("partition_date").agg(row_count().alias("rows")).orderBy(F.desc("partition_date"))
+    held, first = 0, None
+    for day in per_day.collect():
+        held, first = held + day["rows"], day["partition_date"]
+        if held >= n:
+            break
+    return df if first is None else df.where(F.col("partition_date") >= first)
+
+
 def in_partitions(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     return df.where(F.col(column).isin(*values)) if values else df.where(F.lit(False))
 

@@ -11,6 +11,7 @@ from tramline.operators import flatten
 from tramline.operators.shape import stack
 from tramline.operators.validate import REASONS, rejected, valid, validate
 from tramline.schemas import DOCUMENTS
+from tramline.session import settle
 from tramline.sinks.publish import as_json
 from tramline.sinks.store import store_all
 from tramline.sources import feeds
@@ -43,21 +44,28 @@ def typed_frames(lines: DataFrame, form: str) -> tuple[dict[str, DataFrame], Dat
 
 def process_batch(
     lines: DataFrame, batch_id: str, root: str, form: str = "rest", as_of: AsOf = None,
-    seed_missing: bool = True,
+    seed_missing: bool = True, settled: bool = False,
 ) -> dict:
-    """One batch from text lines to stored tables; a repeat of the batch changes nothing."""
-    lines = lines.persist()
+    """One batch from text lines to stored tables; a repeat of the batch changes nothing.
+
+    Storing reads a frame several times, so it is decoded and checked once: held
+    in memory for a micro-batch, or ``settled`` in the shared folder for a bulk load.
+    """
+    lines = lines if settled else lines.persist()
     checked = {}
     try:
         frames, bad = typed_frames(lines, form)
-        # Storing reads a frame several times; it is decoded and checked once.
-        checked = {kind: validate(df, kind, as_of).persist() for kind, df in frames.items()}
+        for kind, df in frames.items():
+            rows = validate(df, kind, as_of)
+            checked[kind] = settle(rows, f"{batch_id}-{kind}") if settled else rows.persist()
         refused = stack(bad, *[
             rejected(df).select(F.lit(kind).alias("kind"), REASONS, as_json(*frames[kind].columns).alias("payload"))
             for kind, df in checked.items()])
         refused.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/quarantine")
-        return store_all({k: valid(df) for k, df in checked.items()}, root, batch_id, as_of, seed_missing)
+        failed = {k: rejected(df).count() for k, df in checked.items()}
+        return store_all(
+            {k: valid(df) for k, df in checked.items()}, root, batch_id, as_of, seed_missing, failed)
     finally:
         for held in (lines, *checked.values()):
             held.unpersist()

@@ -59,7 +59,12 @@ def trailing_measures(
 
 
 def vehicle_sessions(positions: DataFrame, delay: str = POSITION_DELAY, gap: str = "30 minutes") -> DataFrame:
-    """Spells of activity per vehicle, closed by a silence of ``gap``."""
+    """Spells of activity per vehicle, closed by a silence of ``gap``.
+
+    Reports of a busy vehicle are merged into sessions before the shuffle.
+    """
+    positions.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         positions.withWatermark("timestamp", delay)
         .groupBy(F.session_window("timestamp", gap).alias("s"), "vehicle_id")
