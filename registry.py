@@ -476,14 +476,8 @@ def _(t):
 
 @query("split_rest_feed")
 def _(t):
-    lines = rest_lines(t)
-    raw = feeds.rest_records(lines)
-    tag = lambda name, df: df.select(F.lit(name).alias("part"))
-    return stack(
-        tag("prediction", flatten.rest_predictions(raw)), tag("vehicle", flatten.rest_vehicles(raw)),
-        tag("unknown", flatten.rest_unknown(raw)),
-        tag("undecodable", feeds.undecodable(lines, DOCUMENTS["rest"])),
-    ).groupBy("part").agg(F.count("*").alias("records"))
+    part = flatten.rest_part(feeds.decode(rest_lines(t), DOCUMENTS["rest"]))
+    return part.groupBy("part").agg(F.count("*").alias("records"))
 
 
 @query("combined_pull")
@@ -599,11 +593,7 @@ def _(t):
 def _(t):
     lines = stack(feed_lines(t), feed_update_lines(t), feed_alert_lines(t))
     entities = flatten.feed_entities(feeds.feed_messages(lines))
-    count = lambda name, df: df.select(F.lit(name).alias("entity"))
-    return stack(
-        count("vehicle", flatten.feed_positions(entities)),
-        count("trip_update", flatten.feed_trip_updates(entities)),
-        count("alert", flatten.feed_alerts(entities))).groupBy("entity").agg(F.count("*").alias("records"))
+    return flatten.entity_kinds(entities).groupBy("entity").agg(F.count("*").alias("records"))
 
 
 # Loose records: every view as untyped documents, told apart by their fields
@@ -620,7 +610,7 @@ def loose_lines(t: Tables) -> DataFrame:
 
 
 def loose_records(t: Tables) -> DataFrame:
-    return flatten.record_type(feeds.decoded(loose_lines(t), DOCUMENTS["loose"]))
+    return flatten.record_type(feeds.documents(feeds.decode(loose_lines(t), DOCUMENTS["loose"])))
 
 
 @query("loose_record_types")

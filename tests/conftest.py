@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("shared")
     session = build_session(
         "tests", "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": str(folder),
+        **{"spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": str(folder),
            "spark.sql.warehouse.dir": str(folder / "warehouse")})
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -32,8 +32,9 @@ def test_rest_prediction_paths_may_be_missing(spark):
 
 def test_a_bad_line_does_not_stop_the_rest(spark):
     text = lines(spark, {"id": "1", "type": "vehicle"}, '{"id": ', {"id": "2", "type": "prediction"}, "[]")
-    assert feeds.rest_records(text).count() + feeds.undecodable(text, DOCUMENTS["rest"]).count() == 4
-    assert feeds.undecodable(text, DOCUMENTS["rest"]).where("corrupt LIKE '{%'").count() == 1
+    decoded = feeds.decode(text, DOCUMENTS["rest"])
+    assert feeds.documents(decoded).count() + feeds.undecodable(decoded).count() == 4
+    assert feeds.undecodable(decoded).where("corrupt LIKE '{%'").count() == 1
 
 
 MESSAGE = {
@@ -61,7 +62,8 @@ MESSAGE = {
 
 def test_feed_message(spark):
     entities = flatten.feed_entities(feeds.feed_messages(lines(spark, MESSAGE)))
-    assert entities.count() == 4
+    assert [r.entity for r in flatten.entity_kinds(entities.coalesce(1)).collect()] == [
+        "vehicle", "trip_update", "trip_update", "alert"]
     [v] = flatten.feed_positions(entities).collect()
     assert (v.vehicle_id, v.trip_id, v.bearing) == ("e1", "t1", None)
     assert v.timestamp == dt.datetime(2024, 3, 1, 11, 59, 50) and v.feed_timestamp == dt.datetime(2024, 3, 1, 12)
@@ -85,7 +87,7 @@ def test_loose_records(spark):
         {"alert_header_text": "x", "severity_level": "INFO"},
         {"stop_id": "s", "stop_name": "n"}, {"route_id": "r", "route_name": "n", "route_type": 1},
         {"trip_id": "t", "route_id": "r"}, {"vehicle_id": "v"}, {"record_type": "trip", "trip_id": "t"}]
-    loose = flatten.record_type(feeds.decoded(lines(spark, *docs), DOCUMENTS["loose"])).coalesce(1)
+    loose = flatten.record_type(feeds.documents(feeds.decode(lines(spark, *docs), DOCUMENTS["loose"]))).coalesce(1)
     assert [r.record_type for r in loose.collect()] == [
         "prediction", "trip_update", "vehicle_position", "alert", "stop", "route", "trip", None, "trip"]
     assert flatten.untyped(loose).count() == 1

@@ -56,6 +56,13 @@ def rest_unknown(raw: DataFrame) -> DataFrame:
     return raw.where("type IS NULL OR type NOT IN ('prediction', 'vehicle')")
 
 
+def rest_part(decoded: DataFrame) -> DataFrame:
+    """Decoded lines with the part of the pipeline that each one goes to."""
+    kind = F.col("doc.type")
+    return decoded.withColumn("part", F.when(F.col("corrupt").isNotNull(), "undecodable").when(
+        kind.isin("prediction", "vehicle"), kind).otherwise("unknown"))
+
+
 def route_directory(raw: DataFrame) -> DataFrame:
     """Route resources with a display name: the long name, else the id."""
     return raw.select(
@@ -75,6 +82,12 @@ def feed_entities(messages: DataFrame) -> DataFrame:
         F.explode("entity").alias("entity"))
 
 
+def entity_kinds(entities: DataFrame) -> DataFrame:
+    """What each entity carries; one that carries several things counts for each."""
+    kinds = [F.when(F.col(f"entity.{k}").isNotNull(), k) for k in ("vehicle", "trip_update", "alert")]
+    return entities.select(F.explode(F.array_compact(F.array(*kinds))).alias("entity"))
+
+
 def feed_positions(entities: DataFrame) -> DataFrame:
     v = lambda name: F.col(f"entity.vehicle.{name}")
     return entities.where(F.col("entity.vehicle").isNotNull()).select(

@@ -39,7 +39,8 @@ def minutes_after(ts: Column, minutes: Column) -> Column:
 
 def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     if streaming:
-        return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        # A pattern matches the table whether it is one file or a folder of them.
+        return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parque[t]")
     return _read(spark, sf_dir, "events", EVENTS)
 
 

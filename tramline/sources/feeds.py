@@ -37,21 +37,26 @@ def kafka_lines(
 
 
 def decode(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """JSON text in ``value`` as a struct column ``doc``; text that fails keeps itself in ``corrupt``."""
+    """JSON text in ``value`` as a struct column ``doc``; text that fails keeps itself in ``corrupt``.
+
+    The document goes through a one-element explode: as a plain column it would
+    be parsed again in each filter that Spark moves below it.
+    """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    parsed = lines.withColumn("doc", F.from_json(
-        "value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    doc = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = lines.select("value", F.explode(F.array(doc)).alias("doc"))
     bad = F.col("doc").isNull() | F.col(f"doc.{CORRUPT}").isNotNull()
-    return parsed.withColumn("corrupt", F.when(bad, F.col("value")))
+    return parsed.select("doc", F.when(bad, F.col("value")).alias("corrupt"))
 
 
-def decoded(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    return decode(lines, schema).where("corrupt IS NULL").select(
-        *[F.col(f"doc.{f.name}").alias(f.name) for f in schema])
+def documents(decoded: DataFrame) -> DataFrame:
+    """The fields of the documents that could be read."""
+    names = [n for n in decoded.schema["doc"].dataType.names if n != CORRUPT]
+    return decoded.where("corrupt IS NULL").select(*[F.col(f"doc.{n}").alias(n) for n in names])
 
 
-def undecodable(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    return decode(lines, schema).where("corrupt IS NOT NULL").select("corrupt")
+def undecodable(decoded: DataFrame) -> DataFrame:
+    return decoded.where("corrupt IS NOT NULL").select("corrupt")
 
 
 def _any_of(df: DataFrame, column: str, values) -> DataFrame:
@@ -77,11 +82,11 @@ def combined_pull(raw: DataFrame, route_ids=MAJOR_ROUTES) -> DataFrame:
 
 
 def rest_records(lines: DataFrame) -> DataFrame:
-    return decoded(lines, DOCUMENTS["rest"])
+    return documents(decode(lines, DOCUMENTS["rest"]))
 
 
 def feed_messages(lines: DataFrame) -> DataFrame:
-    return decoded(lines, DOCUMENTS["feed"])
+    return documents(decode(lines, DOCUMENTS["feed"]))
 
 
 def protobuf_messages(blobs: DataFrame, descriptor: str, message: str = "transit_realtime.FeedMessage") -> DataFrame:

@@ -17,12 +17,11 @@ from tramline.sinks.store import store_all
 from tramline.sources import feeds
 
 
-def typed_frames(lines: DataFrame, form: str) -> tuple[dict[str, DataFrame], DataFrame]:
+def typed_frames(decoded: DataFrame, form: str) -> tuple[dict[str, DataFrame], DataFrame]:
     """Typed records per type, and what could not be read as ``(kind, reasons, payload)``."""
-    schema = DOCUMENTS[form]
-    docs = feeds.decoded(lines, schema)
+    docs = feeds.documents(decoded)
     reason = lambda text: F.array(F.lit(text)).alias(REASONS)
-    bad = feeds.undecodable(lines, schema).select(
+    bad = feeds.undecodable(decoded).select(
         F.lit("unknown").alias("kind"), reason("undecodable"), F.col("corrupt").alias("payload"))
     if form == "rest":
         frames = {
@@ -48,16 +47,17 @@ def process_batch(
 ) -> dict:
     """One batch from text lines to stored tables; a repeat of the batch changes nothing.
 
-    Storing reads a frame several times, so it is decoded and checked once: held
-    in memory for a micro-batch, or ``settled`` in the shared folder for a bulk load.
+    Storing reads a frame several times, so text is decoded once and records are
+    checked once: held in memory for a micro-batch, or ``settled`` in the shared
+    folder for a bulk load.
     """
-    lines = lines if settled else lines.persist()
-    checked = {}
+    hold = lambda df, label: settle(df, f"{batch_id}-{label}") if settled else df.persist()
+    held = []
     try:
-        frames, bad = typed_frames(lines, form)
-        for kind, df in frames.items():
-            rows = validate(df, kind, as_of)
-            checked[kind] = settle(rows, f"{batch_id}-{kind}") if settled else rows.persist()
+        held.append(hold(feeds.decode(lines, DOCUMENTS[form]), "decoded"))
+        frames, bad = typed_frames(held[0], form)
+        checked = {kind: hold(validate(df, kind, as_of), kind) for kind, df in frames.items()}
+        held += checked.values()
         refused = stack(bad, *[
             rejected(df).select(F.lit(kind).alias("kind"), REASONS, as_json(*frames[kind].columns).alias("payload"))
             for kind, df in checked.items()])
@@ -67,8 +67,8 @@ def process_batch(
         return store_all(
             {k: valid(df) for k, df in checked.items()}, root, batch_id, as_of, seed_missing, failed)
     finally:
-        for held in (lines, *checked.values()):
-            held.unpersist()
+        for df in held:
+            df.unpersist()
 
 
 def start_ingest(
