@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  folder of the test tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
-BENCH_RUNS    timed runs per query after one warm-up (default 3); the median counts
+BENCH_RUNS    timed runs per query after a warm-up round over all (default 3); the median counts
 """
 
 from __future__ import annotations
@@ -34,15 +34,14 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus})
     spark.sparkContext.setLogLevel("ERROR")
-    times = {}
+    def timed(name: str) -> float:
+        began = time.perf_counter()
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+
     for name in names:
-        taken = []
-        for run in range(runs + 1):
-            began = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if run or runs == 0:
-                taken.append(time.perf_counter() - began)
-        times[name] = round(statistics.median(taken), 4)
+        timed(name)
+    times = {name: round(statistics.median(timed(name) for _ in range(runs)), 4) for name in names}
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(times.values()), 4), "unit": "sec",
         "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))

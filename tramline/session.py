@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The reports together have more stages than the default cache of compiled code.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     # No Python call site per column: plans are built several times faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
