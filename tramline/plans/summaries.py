@@ -241,8 +241,8 @@ def table_counts(frames: dict[str, DataFrame], as_of: AsOf = None) -> DataFrame:
     rows = stack(
         *[df.select(F.lit(name).alias("table_name")) for name, df in frames.items()],
         last_hour.select(F.lit("predictions_last_hour").alias("table_name")))
-    names = frames["predictions"].sparkSession.createDataFrame(
-        [(n,) for n in [*frames, "predictions_last_hour"]], "table_name string")
+    names = frames["predictions"].sparkSession.range(1).select(F.explode(F.array(
+        *[F.lit(n) for n in [*frames, "predictions_last_hour"]])).alias("table_name"))
     counted = rows.groupBy("table_name").agg(row_count().alias("rows"))
     return names.join(counted, "table_name", "left").select(
         "table_name", zero_if_null(F.col("rows")).alias("rows"))
