@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,14 +42,18 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder that every executor can reach.
+    """A fresh path under the folder that the driver and every executor can reach.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. A machine-local
-    folder is made up only for a local master, where it is the shared one.
+    The folder is ``spark.checkpoint.dir``. Where that is unset, a folder of
+    the warehouse, which all share as well, is taken and set for checkpoints.
     """
+    return f"{shared_base(spark)}/tramline/{label}-{uuid.uuid4().hex}"
+
+
+def shared_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tramline-")
-    return f"{base.rstrip('/')}/tramline/{label}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
