@@ -162,6 +162,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     spark.createDataFrame([(dictionary, hashlib.sha256(dictionary).hexdigest())], "dictionary binary, hash string") \
         .coalesce(1).write.parquet(f"{folder}/dictionary")
     order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
+    most = FILE_BYTES
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -169,7 +170,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
         place, sequence, writer = TaskContext.get().partitionId(), 0, None
         for ids, arrays in _encoded(batches, vocabulary, end_id):
             for doc_id, array in zip(ids, arrays):
-                if writer and writer.size > FILE_BYTES:
+                if writer and writer.size > most:
                     yield writer.finished(place, sequence)
                     sequence, writer = sequence + 1, None
                 writer = writer or _Writer(folder, dictionary)

@@ -87,13 +87,14 @@ def _record_id(page_id: int | None, digest: str) -> str:
 def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Writes one archive or more per task, and a manifest table ``url, n_records`` of those that counted; returns it."""
     make_folder(folder)
+    most = FILE_BYTES
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n = None, 0
         for batch in batches:
             columns = [batch.column(c) for c in ("page_id", "url", "payload", "digest", "record_type", "refers_to")]
             for row in zip(*columns):
-                if out and out.size > FILE_BYTES:
+                if out and out.size > most:
                     yield _closed(out, n)
                     out, n = None, 0
                 out = out or Output(folder, "pages", ".warc.gz")
