@@ -12,7 +12,7 @@ from tramline.plans import health
 from tramline.sinks import publish, store
 from tramline.operators.topk import newest
 from tramline.sources.tables import SEED_ROUTES, read_newest, read_table, seeded
-from tramline.streaming.ingest import process_batch
+from tramline.streaming.ingest import IngestError, process_batch
 
 NOW = dt.datetime(2024, 3, 1, 12)
 KEYS = ["trip_id", "stop_id", "arrival_time"]
@@ -91,13 +91,13 @@ def test_vehicles_are_not_seeded_when_turned_off(spark, root):
     assert counts(spark, root, "vehicles") == {"vehicles": 0}
 
 
-def test_append_only_tables_replace_a_repeated_batch(spark, root):
+def test_append_only_tables_take_a_batch_once(spark, root):
     df = conform(spark.createDataFrame(
         [("v1", "Red", 42.3, -71.0, "low", NOW), ("v1", "Red", 42.3, -71.0, "low", NOW)],
         "vehicle_id string, route_id string, latitude double, longitude double, congestion_level string, "
         "timestamp timestamp"), "vehicle_position")
-    for batch in ("1", "1", "2"):
-        assert store.store(df, "vehicle_position", root, batch, NOW)["inserted"] == 2
+    for batch, added in (("1", 2), ("1", 0), ("2", 2)):
+        assert store.store(df, "vehicle_position", root, batch, NOW)["inserted"] == added
     stored = read_table(spark, root, "vehicle_positions")
     assert stored.count() == 4 and stored.first().congestion_level == 1
     day = read_table(spark, root, "vehicle_positions", as_of=NOW, hours=1)
@@ -152,7 +152,80 @@ def test_process_batch_puts_bad_input_in_quarantine(spark, root):
     assert (log.records_processed, log.records_failed) == (1, 1)
     refused = {r.reject_reasons[0]: r.payload for r in spark.read.parquet(f"{root}/quarantine").collect()}
     assert set(refused) == {"delay_out_of_range", "unknown_type", "undecodable"}
-    assert json.loads(refused["delay_out_of_range"])["prediction_id"] == "q"
+    assert refused == {"delay_out_of_range": json.dumps(late), "unknown_type": json.dumps({"id": "x", "type": "alert"}),
+                       "undecodable": "{not json"}
+
+
+def test_a_failed_write_fails_the_batch_and_a_replay_stores_it(spark, root, monkeypatch):
+    ref = lambda i: {"data": {"id": i}}
+    doc = {"id": "p", "type": "prediction", "attributes": {"delay": 60}, "relationships": {"stop": ref("s"), "trip": ref("t"), "route": ref("Red")}}
+    lines = spark.createDataFrame([(json.dumps(doc),)], "value string")
+    insert = store.insert_absent
+    def broken(rows, root, table, *order):
+        if table == "predictions":
+            raise OSError("disk")
+        return insert(rows, root, table, *order)
+    monkeypatch.setattr(store, "insert_absent", broken)
+    with pytest.raises(IngestError) as fault:
+        process_batch(lines, "b", root, as_of=NOW)
+    assert fault.value.outcome["by_type"]["prediction"]["error"] == "disk"
+    assert counts(spark, root, "predictions") == {"predictions": 0}
+    monkeypatch.setattr(store, "insert_absent", insert)
+    process_batch(lines, "b", root, as_of=NOW)
+    assert counts(spark, root, "predictions") == {"predictions": 1}
+    statuses = sorted(r.status for r in read_table(spark, root, "data_ingestion_logs").where("source_type = 'prediction'").collect())
+    assert statuses == ["error", "success"]
+
+
+@pytest.mark.parametrize("form, doc, reason", [
+    ("rest", {"id": "w", "type": "prediction", "attributes": {"arrival_time": "1709280000000000000"}}, "wild_time"),
+    ("rest", {"id": "w", "type": "prediction", "attributes": {"delay": 12.5}}, "bad_delay"),
+    ("rest", {"id": "w", "type": "shape", "attributes": {"new": [1, 2]}}, "unknown_type"),
+    ("loose", {"vehicle_id": "v", "latitude": 42.3, "longitude": -71.0, "timestamp": "99999999999999999999"}, "wild_time"),
+    ("feed", {"header": {"timestamp": 1709280000}, "entity": [{"id": "e", "vehicle": {"timestamp": 1709280000000000000}}]}, "wild_time"),
+])
+def test_refused_lines_are_kept_as_they_came(spark, root, form, doc, reason):
+    line = json.dumps(doc)
+    process_batch(spark.createDataFrame([(line,)], "value string"), "b", root, form, as_of=NOW)
+    rows = read_table(spark, root, "quarantine").collect()
+    assert [r.reject_reasons for r in rows] == [[reason]]
+    assert rows[0].payload == line or form == "feed" and json.loads(rows[0].payload)["vehicle"]["timestamp"] == 1709280000000000000
+
+
+def test_a_response_document_gives_its_records(spark, root):
+    ref = lambda i: {"data": {"id": i}}
+    record = lambda i: {"id": f"p{i}", "type": "prediction", "attributes": {"delay": i},
+                        "relationships": {"stop": ref("s"), "trip": ref(f"t{i}"), "route": ref("Red")}}
+    lines = spark.createDataFrame([(json.dumps({"data": [record(1), record(2)]}),), (json.dumps(record(3)),)], "value string")
+    process_batch(lines, "b", root, as_of=NOW)
+    assert {r.trip_id for r in read_table(spark, root, "predictions").collect()} == {"t1", "t2", "t3"}
+
+
+def test_the_first_to_arrive_is_kept(spark, root, tmp_path):
+    from tramline.sources.feeds import text_lines
+
+    ref = lambda i: {"data": {"id": i}}
+    doc = lambda delay: json.dumps({"id": "p", "type": "prediction", "attributes": {"delay": delay},
+                                    "relationships": {"stop": ref("s"), "trip": ref("t"), "route": ref("Red")}})
+    (tmp_path / "landed").mkdir()
+    (tmp_path / "landed" / "one.json").write_text(doc(900) + "\n" + doc(60) + "\n")
+    process_batch(text_lines(spark, str(tmp_path / "landed")), "b", root, as_of=NOW)
+    row = read_table(spark, root, "predictions").first()
+    assert (row.delay, row.batch_id, row.source, row.processed_at) == (900, "b", "prediction", NOW)
+
+
+def test_many_batches_of_a_day_share_its_folder(spark, root):
+    import glob
+
+    df = conform(spark.createDataFrame([("v1", 42.3, -71.0, NOW)], "vehicle_id string, latitude double, longitude double, timestamp timestamp"),
+                 "vehicle_position")
+    for n in range(8):
+        store.append_once(store.table_rows(df, "vehicle_position", NOW, f"b{n}"), root, "vehicle_positions")
+    assert store.append_once(store.table_rows(df, "vehicle_position", NOW, "b3"), root, "vehicle_positions") == 0
+    assert len(glob.glob(f"{root}/vehicle_positions/*=*")) == 1
+    store.compact_day(spark, root, "vehicle_positions", "2024-03-01")
+    assert len(glob.glob(f"{root}/vehicle_positions/*=*/*.parquet")) == 1
+    assert read_table(spark, root, "vehicle_positions").count() == 8
 
 
 def test_topics_and_exports(spark, tmp_path):

@@ -133,7 +133,7 @@ def test_ingest_restarts_without_duplicates(spark, tmp_path):
         "append").text(landed)
     def start():
         lines = feeds.text_lines(spark, landed, streaming=True)
-        ingest.start_ingest(lines, root, checkpoint, as_of=T0, trigger={"availableNow": True}).awaitTermination()
+        ingest.start_ingest(lines, root, checkpoint, "rest", as_of=T0, trigger={"availableNow": True}).awaitTermination()
         return read_table(spark, root, "predictions").count()
     write(rest(1), rest(2), rest(3, 9999))
     assert start() == 2
@@ -141,8 +141,23 @@ def test_ingest_restarts_without_duplicates(spark, tmp_path):
     write(rest(2), rest(4))
     assert start() == 3
     assert spark.read.parquet(f"{root}/quarantine").count() == 1
-    assert {r.batch_id for r in read_table(spark, root, "data_ingestion_logs").collect()} == {
-        f"rest-{n}-{k}" for n in (0, 1) for k in ("prediction", "vehicle_position")}
+    log = [r.batch_id for r in read_table(spark, root, "data_ingestion_logs").collect()]
+    assert len(log) == len(set(log)) == 4 and len({i.rsplit("-", 2)[0] for i in log}) == 1 and all(i.startswith("rest-") for i in log)
+
+
+def test_two_streams_of_one_form_stay_apart(spark, tmp_path):
+    root = str(tmp_path / "store")
+    store.initialise(spark, root)
+    when = int(T0.replace(tzinfo=dt.timezone.utc).timestamp())
+    place = lambda i: json.dumps({"id": f"v{i}", "type": "vehicle", "attributes": {"latitude": 42.35, "longitude": -71.05, "updated_at": str(when)}})
+    for name, cars in (("north", (1, 2)), ("south", (3,))):
+        spark.createDataFrame([(place(i),) for i in cars], "value string").write.text(str(tmp_path / name))
+        for again in ("a", "a", "b"):
+            lines = feeds.text_lines(spark, str(tmp_path / name), streaming=True)
+            ingest.start_ingest(lines, root, str(tmp_path / f"cp-{name}-{again}"), "feed", as_of=T0, trigger={"availableNow": True}).awaitTermination()
+    # Two streams of one name, each begun anew once: every start with a checkpoint of its own is a stream of its own.
+    stored = read_table(spark, root, "vehicle_positions")
+    assert sorted(r.vehicle_id for r in stored.collect()) == ["v1", "v1", "v2", "v2", "v3", "v3"]
 
 
 def test_refresh_runs_per_batch(spark, tmp_path):

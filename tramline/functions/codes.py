@@ -28,9 +28,29 @@ def to_code(value: Column, table: dict[str, int]) -> Column:
     return F.coalesce(text.try_cast("int"), lookup(F.lower(text), table))
 
 
+# Epoch seconds of the first and the last day that a stored instant can have (years 1 to 9999).
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+
+
+def instant(seconds: Column) -> Column:
+    """Epoch seconds as an instant; null when outside the years 1 to 9999."""
+    inside = seconds.between(FIRST_SECOND, LAST_SECOND)
+    micros = (F.when(inside, seconds).cast("double") * 1_000_000).cast("bigint")
+    return F.timestamp_micros(micros)
+
+
+def _epoch(text: Column) -> Column:
+    return F.when(text.rlike("^[+-]?[0-9]+(\\.[0-9]+)?$"), text.try_cast("double"))
+
+
 def parse_time(value: Column) -> Column:
     """ISO text (``Z`` or an offset) or epoch seconds as text or number; else null."""
     text = value.cast("string")
-    epoch = F.when(text.rlike("^[+-]?[0-9]{5,}(\\.[0-9]+)?$"), text.try_cast("double"))
     iso = F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.try_to_timestamp(text))
-    return F.coalesce(iso, F.timestamp_micros((epoch * 1_000_000).cast("bigint")))
+    return F.coalesce(iso, instant(_epoch(text)))
+
+
+def wild_time(value: Column) -> Column:
+    """Whether a value is a number of seconds that is no instant."""
+    seconds = _epoch(value.cast("string"))
+    return F.coalesce(~seconds.between(FIRST_SECOND, LAST_SECOND), F.lit(False))

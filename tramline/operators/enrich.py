@@ -82,7 +82,7 @@ def speed_category(speed: Column) -> Column:
 
 def large_delays(stop_events: Column, over: int = 300) -> Column:
     """How many stop events are off by more than ``over`` seconds, early or late."""
-    off = lambda e: F.abs(F.coalesce(e["arrival"]["delay"], e["departure"]["delay"], F.lit(0)))
+    off = lambda e: F.abs(F.coalesce(e["delay"], e["arrival"]["delay"], e["departure"]["delay"], F.lit(0)))
     return F.size(F.filter(stop_events, lambda e: off(e) > over))
 
 

@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.clock import AsOf, as_of_column
 from tramline.functions.codes import (
-    CONGESTION_LEVEL, OCCUPANCY_STATUS, SCHEDULE_RELATIONSHIP, parse_time, to_code)
+    CONGESTION_LEVEL, OCCUPANCY_STATUS, SCHEDULE_RELATIONSHIP, instant, parse_time, to_code, wild_time)
 from tramline.functions.measures import ratio
 from tramline.schemas import RECORDS, TABLES
 
 LANGUAGE = "en"
 
+# Columns that go along from a landed line to the store: the line itself and its place in the order of arrival.
+CARRIED = ("raw", "position")
+
+
+def carried(df: DataFrame) -> list[str]:
+    return [c for c in CARRIED if c in df.columns]
+
 
 def conform(df: DataFrame, record_type: str) -> DataFrame:
     """Exactly the fields of a record type, in order; missing ones are null."""
     have = set(df.columns)
     return df.select(*[
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in RECORDS[record_type]])
+        for f in RECORDS[record_type]], *carried(df))
 
 
 # JSON:API records
@@ -38,7 +47,7 @@ def rest_predictions(raw: DataFrame) -> DataFrame:
         parse_time(a("departure_time")).alias("departure_time"),
         a("schedule_relationship").alias("schedule_relationship"),
         a("vehicle.id").alias("vehicle_id"), a("vehicle.label").alias("vehicle_label"),
-        a("status").alias("status"), a("delay").alias("delay"))
+        a("status").alias("status"), a("delay").try_cast("int").alias("delay"), *carried(raw))
 
 
 def rest_vehicles(raw: DataFrame) -> DataFrame:
@@ -48,7 +57,16 @@ def rest_vehicles(raw: DataFrame) -> DataFrame:
         F.col("attributes.trip.id").alias("trip_id"), _related("route").alias("route_id"),
         a("latitude"), a("longitude"), a("bearing"), a("speed"), a("current_status"),
         parse_time(F.col("attributes.updated_at")).alias("timestamp"),
-        a("congestion_level"), a("occupancy_status"))
+        a("congestion_level"), a("occupancy_status"), *carried(raw))
+
+
+def rest_unreadable(raw: DataFrame) -> DataFrame:
+    """Records of a known type with a field that no typed record can hold, and which kind of field it is."""
+    a = lambda name: F.col(f"attributes.{name}")
+    wild = wild_time(a("arrival_time")) | wild_time(a("departure_time")) | wild_time(a("updated_at"))
+    uneven = F.coalesce(a("delay") != a("delay").try_cast("int"), a("delay").isNotNull())
+    return raw.where("type IN ('prediction', 'vehicle')").withColumn(
+        "fault", F.when(wild, "wild_time").when(uneven, "bad_delay"))
 
 
 def rest_unknown(raw: DataFrame) -> DataFrame:
@@ -77,9 +95,19 @@ def route_directory(raw: DataFrame) -> DataFrame:
 def feed_entities(messages: DataFrame) -> DataFrame:
     """One row per entity, with the header time as an instant."""
     return messages.select(
-        F.timestamp_seconds("header.timestamp").alias("feed_timestamp"),
+        instant(F.col("header.timestamp")).alias("feed_timestamp"),
         F.col("header.gtfs_realtime_version").alias("feed_version"),
-        F.explode("entity").alias("entity"))
+        wild_time(F.col("header.timestamp")).alias("wild_header"),
+        F.explode("entity").alias("entity"), *carried(messages))
+
+
+def wild_entity() -> Column:
+    """Whether an entity, or the header of its message, has a time that is no instant."""
+    periods = F.coalesce(
+        F.col("entity.alert.active_period"), F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    return (
+        F.col("wild_header") | wild_time(F.col("entity.vehicle.timestamp"))
+        | F.exists(periods, lambda p: wild_time(p["start"]) | wild_time(p["end"])))
 
 
 def entity_kinds(entities: DataFrame) -> DataFrame:
@@ -96,20 +124,17 @@ def feed_positions(entities: DataFrame) -> DataFrame:
         v("position.latitude").alias("latitude"), v("position.longitude").alias("longitude"),
         v("position.bearing").alias("bearing"), v("position.speed").alias("speed"),
         v("current_status").alias("current_status"),
-        F.timestamp_seconds(v("timestamp")).alias("timestamp"),
+        instant(v("timestamp")).alias("timestamp"),
         v("congestion_level").alias("congestion_level"),
-        v("occupancy_status").alias("occupancy_status"), "feed_timestamp")
+        v("occupancy_status").alias("occupancy_status"), "feed_timestamp", *carried(entities))
 
 
 def mean_stop_delay(stop_events: Column) -> Column:
     """Mean of the non-zero arrival and departure delays; null when there are none."""
-    def add(acc, event):
-        arrival, departure = (F.coalesce(event[x]["delay"], F.lit(0)) for x in ("arrival", "departure"))
-        counted = F.when(arrival != 0, 1).otherwise(0) + F.when(departure != 0, 1).otherwise(0)
-        return F.struct(
-            (acc["total"] + arrival + departure).alias("total"), (acc["n"] + counted).alias("n"))
-    start = F.struct(F.lit(0).cast("bigint").alias("total"), F.lit(0).alias("n"))
-    return F.aggregate(stop_events, start, add, lambda acc: ratio(acc["total"], acc["n"]))
+    counted = F.filter(
+        F.concat(stop_events["arrival"]["delay"], stop_events["departure"]["delay"]), lambda d: d != 0)
+    total = F.aggregate(counted, F.lit(0).cast("bigint"), lambda total, d: total + d)
+    return ratio(total, F.size(counted))
 
 
 def feed_trip_updates(entities: DataFrame) -> DataFrame:
@@ -119,13 +144,14 @@ def feed_trip_updates(entities: DataFrame) -> DataFrame:
         F.coalesce(u("trip.trip_id"), F.col("entity.id")).alias("trip_id"),
         u("vehicle.id").alias("vehicle_id"), u("trip.route_id").alias("route_id"),
         F.col("feed_timestamp").alias("timestamp"),
-        mean_stop_delay(stops).alias("delay"), stops.alias("stop_time_updates"), "feed_timestamp")
+        mean_stop_delay(stops).alias("delay"), stops.alias("stop_time_updates"), "feed_timestamp",
+        *carried(entities))
 
 
 def last_given(periods: Column, field: str) -> Column:
     """The last period that states ``field`` decides it."""
     given = F.filter(F.transform(periods, lambda p: p[field]), lambda t: t.isNotNull())
-    return F.timestamp_seconds(F.try_element_at(given, F.lit(-1)))
+    return instant(F.try_element_at(given, F.lit(-1)))
 
 
 def first_text(translations: Column, language: str = LANGUAGE) -> Column:
@@ -153,7 +179,7 @@ def feed_alerts(entities: DataFrame) -> DataFrame:
         _named(informed, lambda e: e["stop_id"]).alias("affected_stops"),
         _named(informed, lambda e: e["trip"]["trip_id"]).alias("affected_trips"),
         a("severity_level").alias("alert_severity_level"), a("cause").alias("cause"),
-        a("effect").alias("effect"), "feed_timestamp")
+        a("effect").alias("effect"), "feed_timestamp", *carried(entities))
 
 
 # Loose records
@@ -195,7 +221,12 @@ def typed_records(loose: DataFrame, kind: str) -> DataFrame:
         if field.name in _EMPTY_WHEN_MISSING:
             value = F.coalesce(value, F.array().cast(field.dataType))
         return value.cast(field.dataType).alias(field.name)
-    return loose.where(F.col("record_type") == kind).select(*[column(f) for f in RECORDS[kind]])
+    return loose.where(F.col("record_type") == kind).select(*[column(f) for f in RECORDS[kind]], *carried(loose))
+
+
+def loose_wild(loose: DataFrame) -> Column:
+    """Whether a loose record has a time that is no instant."""
+    return reduce(lambda a, b: a | b, [wild_time(F.col(c)) for c in sorted(_TIMES)])
 
 
 def untyped(loose: DataFrame) -> DataFrame:
@@ -224,13 +255,17 @@ def _day(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd")
 
 
-def table_rows(df: DataFrame, kind: str, as_of: AsOf = None, batch_id: str = "0") -> DataFrame:
+def table_rows(
+    df: DataFrame, kind: str, as_of: AsOf = None, batch_id: str = "0", source: str | None = None,
+) -> DataFrame:
     """Records of one type as rows of the table that stores them.
 
     Predictions and alerts are stamped with the ingest time, positions and trip
-    updates keep the time of their source.
+    updates keep the time of their source. Facts also say which batch and source
+    they came with and when they were processed.
     """
     c, now = F.col, as_of_column(as_of)
+    df = df.withColumns({"source": F.lit(source or kind), "processed_at": now, "batch_id": F.lit(batch_id)})
     if kind == "prediction":
         named = df.withColumns({
             "id": row_key("trip_id", "stop_id", "arrival_time"),
@@ -244,12 +279,12 @@ def table_rows(df: DataFrame, kind: str, as_of: AsOf = None, batch_id: str = "0"
             "id": row_key("vehicle_id", "timestamp", "latitude", "longitude"),
             "congestion_level": to_code(c("congestion_level"), CONGESTION_LEVEL),
             "occupancy_status": to_code(c("occupancy_status"), OCCUPANCY_STATUS),
-            "partition_date": _day("timestamp"), "batch_id": F.lit(batch_id)})
+            "partition_date": _day("timestamp")})
         table = "vehicle_positions"
     elif kind == "trip_update":
         named = df.withColumns({
             "id": row_key("trip_id", "vehicle_id", "timestamp"),
-            "partition_date": _day("timestamp"), "batch_id": F.lit(batch_id)})
+            "partition_date": _day("timestamp")})
         table = "trip_updates"
     elif kind == "alert":
         named = df.withColumnsRenamed({
@@ -266,4 +301,4 @@ def table_rows(df: DataFrame, kind: str, as_of: AsOf = None, batch_id: str = "0"
     have = set(named.columns)
     return named.select(*[
         (c(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in TABLES[table]])
+        for f in TABLES[table]], *[x for x in carried(df) if x == "position"])

@@ -27,7 +27,7 @@ class Schemas(Mapping):
 
 
 STOP_EVENT_DDL = (
-    "struct<stop_id:string,stop_sequence:int,"
+    "struct<stop_id:string,stop_sequence:int,delay:int,"
     "arrival:struct<delay:int,time:bigint>,departure:struct<delay:int,time:bigint>>"
 )
 
@@ -79,49 +79,58 @@ TABLES = Schemas({
     "predictions": (
         "id string, trip_id string, route_id string, stop_id string, vehicle_id string, "
         "arrival_time timestamp, departure_time timestamp, schedule_relationship int, "
-        "status string, delay int, timestamp timestamp, partition_date string, arrival_date string"),
+        "status string, delay int, timestamp timestamp, source string, processed_at timestamp, batch_id string, "
+        "partition_date string, arrival_date string"),
     "vehicle_positions": (
         "id string, vehicle_id string, trip_id string, route_id string, direction_id int, "
         "stop_id string, latitude double, longitude double, bearing double, speed double, "
-        "congestion_level int, occupancy_status int, timestamp timestamp, "
-        "partition_date string, batch_id string"),
+        "congestion_level int, occupancy_status int, timestamp timestamp, source string, processed_at timestamp, "
+        "batch_id string, partition_date string"),
     "trip_updates": (
         "id string, trip_id string, route_id string, delay double, start_time timestamp, "
-        "end_time timestamp, timestamp timestamp, partition_date string, batch_id string"),
+        "end_time timestamp, timestamp timestamp, source string, processed_at timestamp, batch_id string, "
+        "partition_date string"),
     "alerts": (
         "alert_id string, alert_header_text string, alert_description_text string, "
         "alert_url string, alert_effect string, alert_severity_level string, "
         "affected_route_ids array<string>, affected_stop_ids array<string>, "
         "affected_trip_ids array<string>, active_period_start timestamp, "
-        "active_period_end timestamp, timestamp timestamp, partition_date string"),
+        "active_period_end timestamp, timestamp timestamp, source string, processed_at timestamp, batch_id string, "
+        "partition_date string"),
     "data_ingestion_logs": (
         "source_type string, status string, records_processed bigint, records_inserted bigint, "
         "records_updated bigint, records_failed bigint, processing_time_ms bigint, "
-        "error_message string, started_at timestamp, completed_at timestamp, batch_id string"),
+        "error_message string, started_at timestamp, completed_at timestamp, batch_id string, partition_date string"),
+    "quarantine": (
+        "kind string, reject_reasons array<string>, payload string, batch_id string, partition_date string"),
 })
 
 PARTITION_COLUMNS = {
-    "predictions": ["partition_date", "arrival_date"],
-    "vehicle_positions": ["partition_date", "batch_id"],
-    "trip_updates": ["partition_date", "batch_id"],
+    "predictions": ["arrival_date", "partition_date"],
+    "vehicle_positions": ["partition_date"],
+    "trip_updates": ["partition_date"],
     "alerts": ["partition_date"],
-    "data_ingestion_logs": ["batch_id"],
+    "data_ingestion_logs": ["partition_date"],
+    "quarantine": ["partition_date"],
 }
 
 _REF = "struct<data:struct<id:string>>"
 
 # One JSON:API record per line. Predictions, vehicles and routes share the
 # envelope, so a mixed feed is read once with the union of their attributes.
-_REST_DDL = (
+_RESOURCE_DDL = (
     "id string, type string, "
     "attributes struct<"
     "arrival_time:string,departure_time:string,schedule_relationship:string,status:string,"
-    "delay:int,vehicle:struct<id:string,label:string>,"
+    "delay:double,vehicle:struct<id:string,label:string>,"
     "latitude:double,longitude:double,bearing:double,speed:double,current_status:string,"
     "updated_at:string,congestion_level:string,occupancy_status:string,trip:struct<id:string>,"
     "long_name:string,type:int,color:string,text_color:string>, "
     f"relationships struct<stop:{_REF},trip:{_REF},route:{_REF}>")
 
+# A response document holds its records in ``data``.
+_REST_DDL = f"{_RESOURCE_DDL}, data array<struct<{_RESOURCE_DDL}>>"
+
 _TEXT = "struct<translation:array<struct<text:string,language:string>>>"
 
 _FEED_DDL = (

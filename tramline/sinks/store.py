@@ -1,8 +1,9 @@
 """Writing typed records to the stored tables.
 
 A batch can be written twice after a failure. Keyed tables take only absent
-keys, so a repeat adds nothing; append-only tables are laid out by batch id and
-a repeat replaces the folders it wrote.
+keys, and of the other tables the days that a batch touches are searched for its
+id first; so a repeat adds nothing. Folders are by day, however many batches a
+day has; ``compact_day`` puts the files of a finished day together.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from tramline.operators import referential
 from tramline.operators.flatten import table_rows
 from tramline.operators.upsert import KEYS, new_rows
 from tramline.schemas import PARTITION_COLUMNS, TABLES
-from tramline.sources.tables import create_tables, in_partitions, read_table, seeded, table_path
+from tramline.session import settle
+from tramline.sources.tables import create_tables, read_days, read_table, seeded, table_path
 
 TABLE_OF = {
     "stop": "stops", "route": "routes", "trip": "trips", "prediction": "predictions",
@@ -64,12 +66,9 @@ def rows_written(seen: Observation) -> int:
 
 def insert_absent(rows: DataFrame, root: str, table: str, *order: str) -> int:
     """Insert-if-absent into a keyed table; returns how many rows were added."""
-    target = read_table(rows.sparkSession, root, table)
-    if table == "predictions":
-        # The key holds the arrival time, so only the arrival dates of the batch
-        # can hold its keys. One value per calendar day comes to the driver.
-        days = [r[0] for r in rows.select("arrival_date").distinct().collect()]
-        target = in_partitions(target, "arrival_date", days)
+    spark = rows.sparkSession
+    # The keys of predictions hold the arrival time, so only the arrival days of the batch can hold its keys.
+    target = read_days(spark, root, table, "arrival_date", rows) if table == "predictions" else read_table(spark, root, table)
     fresh = new_rows(rows, target, KEYS[table], *order)
     if table in PARTITION_COLUMNS:
         added = Observation()
@@ -86,12 +85,26 @@ def insert_absent(rows: DataFrame, root: str, table: str, *order: str) -> int:
         fresh.unpersist()
 
 
-def append_batch(rows: DataFrame, root: str, table: str) -> int:
+def append_once(rows: DataFrame, root: str, table: str) -> int:
+    """Appends the rows of batches that their days do not hold yet; returns how many there were."""
+    held = read_days(rows.sparkSession, root, table, "partition_date", rows).select("batch_id").distinct()
     added = Observation()
-    write_rows(rows.observe(added, row_count().alias("rows")), root, table, "overwrite")
+    fresh = rows.join(held, "batch_id", "left_anti").select(rows.columns)
+    write_rows(fresh.observe(added, row_count().alias("rows")), root, table, "append")
     return rows_written(added)
 
 
+def compact_day(spark, root: str, table: str, day: str) -> None:
+    """The files of one day of a table put together into as few as its size asks for.
+
+    For days that no stream writes to any more: the rows are written to the
+    shared folder first and then take the place of the day's files.
+    """
+    column = PARTITION_COLUMNS[table][0]
+    rows = read_table(spark, root, table).where(F.col(column) == day)
+    write_rows(settle(rows, f"compact-{table}"), root, table, "overwrite")
+
+
 def repair_references(records: DataFrame, kind: str, root: str, seed_missing: bool = True) -> dict[str, int]:
     """Add placeholder dimension rows for the keys that a batch of facts uses."""
     spark = records.sparkSession
@@ -138,14 +151,16 @@ def store(
             insert_absent(
                 shaped(referential.missing_routes(read_table(records.sparkSession, root, "routes"), records),
                        "routes"), root, "routes", "route_name")
-        rows = table_rows(records, kind, as_of, batch_id)
+        rows = table_rows(records, kind, as_of, batch_id, source)
         if table in KEYS:
-            order = [c for c in rows.columns if c not in KEYS[table] and not c.startswith("affected")]
+            # The first write of a key wins: the first to arrive, or the smallest row where no order is known.
+            values = [c for c in rows.columns if c not in KEYS[table] and not c.startswith("affected")]
+            order = ["position"] if "position" in rows.columns else values
             outcome["inserted"] = insert_absent(rows, root, table, *order)
         else:
-            outcome["inserted"] = append_batch(rows, root, table)
+            outcome["inserted"] = append_once(rows, root, table)
     except Exception as fault:  # noqa: BLE001 - the outcome row carries the error to the log
-        outcome |= {"status": "error", "error": str(fault)[:1000]}
+        outcome |= {"status": "error", "error": str(fault)}
     outcome["milliseconds"] = int((time.monotonic() - began) * 1000)
     log_ingestion(records, root, outcome, f"{batch_id}-{kind}", as_of)
     return outcome
@@ -166,7 +181,7 @@ def store_all(
 
 
 def log_ingestion(df: DataFrame, root: str, outcome: dict, batch_id: str, as_of: AsOf = None) -> None:
-    """One row in the ingestion log; a repeat of the batch replaces it."""
+    """One row in the log of its day; a batch that has one with the same outcome gets no other."""
     spent = dt.timedelta(milliseconds=outcome.get("milliseconds", 0))
     done = as_of_column(as_of)
     row = df.sparkSession.range(1).select(
@@ -179,8 +194,11 @@ def log_ingestion(df: DataFrame, root: str, outcome: dict, batch_id: str, as_of:
         F.lit(outcome.get("milliseconds", 0)).alias("processing_time_ms"),
         F.lit(outcome.get("error")).alias("error_message"),
         (done - F.lit(spent)).alias("started_at"), done.alias("completed_at"),
-        F.lit(batch_id).alias("batch_id"))
-    write_rows(row, root, "data_ingestion_logs", "overwrite")
+        F.lit(batch_id).alias("batch_id"), F.date_format(done, "yyyy-MM-dd").alias("partition_date"))
+    held = read_days(df.sparkSession, root, "data_ingestion_logs", "partition_date", row)
+    fresh = row.join(held.select("batch_id", "status").distinct(), ["batch_id", "status"], "left_anti").select(row.columns)
+    if not fresh.isEmpty():
+        write_rows(fresh, root, "data_ingestion_logs", "append")
 
 
 def initialise(spark, root: str) -> int:

@@ -155,6 +155,7 @@ def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     element = lambda i: F.struct(
         F.concat(F.lit("S"), (F.col("l_suppkey") + i).cast("string")).alias("stop_id"),
         i.cast("int").alias("stop_sequence"),
+        F.when(i % 4 == 3, F.col("l_quantity").cast("int") * 25 - 400).cast("int").alias("delay"),
         F.struct(arrival(i).alias("delay"), F.lit(None).cast("bigint").alias("time")).alias("arrival"),
         F.struct(
             F.when(F.col("l_returnflag") != "N", arrival(i) + 10).alias("delay"),

@@ -20,8 +20,11 @@ CORRUPT = "_corrupt_record"
 
 
 def text_lines(spark: SparkSession, path: str, streaming: bool = False, **options: str) -> DataFrame:
+    """Lines with their ``position``: the time and name of the file, and where in it a task begins to read."""
     reader = spark.readStream if streaming else spark.read
-    return reader.options(**options).text(path)
+    return reader.options(**options).text(path).select("value", F.struct(
+        F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("name"),
+        F.col("_metadata.file_block_start").alias("block")).alias("position"))
 
 
 def kafka_lines(
@@ -33,26 +36,35 @@ def kafka_lines(
         "kafka.bootstrap.servers": servers, "subscribe": ",".join(topics),
         "startingOffsets": "earliest", **options}
     return reader.format("kafka").options(**settings).load().select(
-        F.col("value").cast("string").alias("value"), "topic", F.col("key").cast("string").alias("key"))
+        F.col("value").cast("string").alias("value"), "topic", F.col("key").cast("string").alias("key"),
+        F.struct("timestamp", "partition", "offset").alias("position"))
 
 
 def decode(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """JSON text in ``value`` as a struct column ``doc``; text that fails keeps itself in ``corrupt``.
 
+    The text goes along as ``raw``, and its ``position`` where it has one.
+
     The document goes through a one-element explode: as a plain column it would
     be parsed again in each filter that Spark moves below it.
     """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     doc = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    parsed = lines.select("value", F.explode(F.array(doc)).alias("doc"))
+    place = [c for c in ("position",) if c in lines.columns]
+    parsed = lines.select("value", *place, F.explode(F.array(doc)).alias("doc"))
     bad = F.col("doc").isNull() | F.col(f"doc.{CORRUPT}").isNotNull()
-    return parsed.select("doc", F.when(bad, F.col("value")).alias("corrupt"))
+    return parsed.select("doc", F.when(bad, F.col("value")).alias("corrupt"), F.col("value").alias("raw"), *place)
 
 
 def documents(decoded: DataFrame) -> DataFrame:
-    """The fields of the documents that could be read."""
-    names = [n for n in decoded.schema["doc"].dataType.names if n != CORRUPT]
-    return decoded.where("corrupt IS NULL").select(*[F.col(f"doc.{n}").alias(n) for n in names])
+    """The fields of the documents that could be read; a response document gives those in its ``data``."""
+    names = [n for n in decoded.schema["doc"].dataType.names if n not in (CORRUPT, "data")]
+    along = [c for c in ("raw", "position") if c in decoded.columns]
+    good = decoded.where("corrupt IS NULL")
+    if "data" not in decoded.schema["doc"].dataType.names:
+        return good.select(*[F.col(f"doc.{n}").alias(n) for n in names], *along)
+    alone = F.array(F.struct(*[F.col(f"doc.{n}").alias(n) for n in names]))
+    return good.select(F.explode(F.coalesce("doc.data", alone)).alias("doc"), *along).select("doc.*", *along)
 
 
 def undecodable(decoded: DataFrame) -> DataFrame:
@@ -82,11 +94,11 @@ def combined_pull(raw: DataFrame, route_ids=MAJOR_ROUTES) -> DataFrame:
 
 
 def rest_records(lines: DataFrame) -> DataFrame:
-    return documents(decode(lines, DOCUMENTS["rest"]))
+    return documents(decode(lines, DOCUMENTS["rest"])).drop("raw", "position")
 
 
 def feed_messages(lines: DataFrame) -> DataFrame:
-    return documents(decode(lines, DOCUMENTS["feed"]))
+    return documents(decode(lines, DOCUMENTS["feed"])).drop("raw", "position")
 
 
 def protobuf_messages(blobs: DataFrame, descriptor: str, message: str = "transit_realtime.FeedMessage") -> DataFrame:

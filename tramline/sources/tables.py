@@ -45,8 +45,25 @@ def read_newest(spark: SparkSession, root: str, name: str, n: int) -> DataFrame:
     return df if first is None else df.where(F.col("partition_date") >= first)
 
 
-def in_partitions(df: DataFrame, column: str, values: list[str]) -> DataFrame:
-    return df.where(F.col(column).isin(*values)) if values else df.where(F.lit(False))
+#: Days that are looked up one by one; rows of more days are searched for in the whole table.
+MOST_DAYS = 400
+
+
+def read_days(spark: SparkSession, root: str, name: str, column: str, rows: DataFrame) -> DataFrame:
+    """The part of a table that lies in the day folders of ``rows``; only those folders are listed.
+
+    One value per day comes to the driver. ``column`` names the outermost folders.
+    """
+    days = [r[0] for r in rows.select(column).distinct().limit(MOST_DAYS + 1).collect()]
+    if len(days) > MOST_DAYS:
+        return read_table(spark, root, name)
+    top = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, name))
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f"{table_path(root, name)}/{column}={day}" for day in days if day is not None]
+    there = [f for f in folders if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f))]
+    if not there:
+        return spark.createDataFrame([], TABLES[name])
+    return spark.read.schema(TABLES[name]).option("basePath", table_path(root, name)).parquet(*there)
 
 
 # The routes of a new store, in display order.

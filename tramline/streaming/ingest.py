@@ -6,51 +6,70 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tramline.functions.clock import AsOf
+from tramline.functions.clock import AsOf, as_of_column
 from tramline.operators import flatten
 from tramline.operators.shape import stack
 from tramline.operators.validate import REASONS, rejected, valid, validate
 from tramline.schemas import DOCUMENTS
 from tramline.session import settle
 from tramline.sinks.publish import as_json
-from tramline.sinks.store import store_all
+from tramline.sinks.store import append_once, store_all
 from tramline.sources import feeds
 
 
+class IngestError(RuntimeError):
+    """A batch of which some part was not stored; its outcomes are in ``outcome``."""
+
+    def __init__(self, outcome: dict):
+        self.outcome = outcome
+        faults = {k: o["error"] for k, o in outcome["by_type"].items() if o["error"]}
+        super().__init__(f"not stored: {faults}")
+
+
 def typed_frames(decoded: DataFrame, form: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Typed records per type, and what could not be read as ``(kind, reasons, payload)``."""
+    """Typed records per type, and what could not be read as ``(kind, reasons, payload)``.
+
+    The payload of what is refused is the line as it came; of a feed message,
+    which holds many entities, it is the entity.
+    """
     docs = feeds.documents(decoded)
-    reason = lambda text: F.array(F.lit(text)).alias(REASONS)
+    reason = lambda text: F.array(F.lit(text) if isinstance(text, str) else text).alias(REASONS)
     bad = feeds.undecodable(decoded).select(
         F.lit("unknown").alias("kind"), reason("undecodable"), F.col("corrupt").alias("payload"))
+    refuse = lambda df, why, payload="raw": df.select(F.lit("unknown").alias("kind"), reason(why), F.col(payload).alias("payload"))
     if form == "rest":
+        known = flatten.rest_unreadable(docs)
+        good = known.where("fault IS NULL").drop("fault")
         frames = {
-            "prediction": flatten.rest_predictions(docs), "vehicle_position": flatten.rest_vehicles(docs)}
-        unknown = flatten.rest_unknown(docs)
+            "prediction": flatten.rest_predictions(good), "vehicle_position": flatten.rest_vehicles(good)}
+        refused = [refuse(flatten.rest_unknown(docs), "unknown_type"), refuse(known.where("fault IS NOT NULL"), F.col("fault"))]
     elif form == "feed":
-        entities = flatten.feed_entities(docs)
+        entities = flatten.feed_entities(docs).withColumn("wild", flatten.wild_entity())
+        good = entities.where("NOT wild")
         frames = {
-            "vehicle_position": flatten.feed_positions(entities),
-            "trip_update": flatten.feed_trip_updates(entities), "alert": flatten.feed_alerts(entities)}
-        return {k: flatten.conform(df, k) for k, df in frames.items()}, bad
+            "vehicle_position": flatten.feed_positions(good),
+            "trip_update": flatten.feed_trip_updates(good), "alert": flatten.feed_alerts(good)}
+        refused = [refuse(entities.where("wild").withColumn("payload", F.to_json("entity")), "wild_time", "payload")]
     else:
-        named = flatten.record_type(docs)
-        frames = {k: flatten.typed_records(named, k) for k in flatten.RECORDS}
-        unknown = flatten.untyped(named)
-    strange = unknown.select(F.lit("unknown").alias("kind"), reason("unknown_type"), as_json("*").alias("payload"))
-    return {k: flatten.conform(df, k) for k, df in frames.items()}, stack(bad, strange)
+        named = flatten.record_type(docs).withColumn("wild", flatten.loose_wild(docs))
+        good = named.where("NOT wild")
+        frames = {k: flatten.typed_records(good, k) for k in flatten.RECORDS}
+        refused = [refuse(flatten.untyped(good), "unknown_type"), refuse(named.where("wild"), "wild_time")]
+    return {k: flatten.conform(df, k) for k, df in frames.items()}, stack(bad, *refused)
 
 
 def process_batch(
     lines: DataFrame, batch_id: str, root: str, form: str = "rest", as_of: AsOf = None,
-    seed_missing: bool = True, settled: bool = False,
+    seed_missing: bool = True, settled: bool = False, source: str | None = None,
 ) -> dict:
     """One batch from text lines to stored tables; a repeat of the batch changes nothing.
 
     Storing reads a frame several times, so text is decoded once and records are
     checked once: held in memory for a micro-batch, or ``settled`` in the shared
-    folder for a bulk load.
+    folder for a bulk load. Raises IngestError, after logging, unless all was stored.
     """
+    place = ["position"] if "position" in lines.columns else []
+    lines = lines.withColumn("position", F.struct(*place, F.monotonically_increasing_id().alias("line")))
     hold = lambda df, label: settle(df, f"{batch_id}-{label}") if settled else df.persist()
     held = []
     try:
@@ -58,27 +77,40 @@ def process_batch(
         frames, bad = typed_frames(held[0], form)
         checked = {kind: hold(validate(df, kind, as_of), kind) for kind, df in frames.items()}
         held += checked.values()
+        payload = lambda kind: as_json(*[c for c in frames[kind].columns if c not in flatten.CARRIED]) if form == "feed" else F.col("raw")
         refused = stack(bad, *[
-            rejected(df).select(F.lit(kind).alias("kind"), REASONS, as_json(*frames[kind].columns).alias("payload"))
+            rejected(df).select(F.lit(kind).alias("kind"), REASONS, payload(kind).alias("payload"))
             for kind, df in checked.items()])
-        refused.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/quarantine")
+        day = F.date_format(as_of_column(as_of), "yyyy-MM-dd")
+        append_once(refused.withColumns({"batch_id": F.lit(batch_id), "partition_date": day}), root, "quarantine")
         failed = {k: rejected(df).count() for k, df in checked.items()}
-        return store_all(
+        outcome = store_all(
             {k: valid(df) for k, df in checked.items()}, root, batch_id, as_of, seed_missing, failed)
     finally:
         for df in held:
             df.unpersist()
+    if outcome["status"] != "success":
+        raise IngestError(outcome)
+    return outcome
 
 
 def start_ingest(
-    lines: DataFrame, root: str, checkpoint: str, form: str = "rest", as_of: AsOf = None,
-    trigger: dict | None = None, seed_missing: bool = True,
+    lines: DataFrame, root: str, checkpoint: str, name: str, form: str = "rest", as_of: AsOf = None,
+    trigger: dict | None = None, seed_missing: bool = True, settled: bool = False,
 ) -> StreamingQuery:
-    """Run ``process_batch`` on every micro-batch; the checkpoint holds the source offsets."""
-    each = lambda batch, number: process_batch(batch, f"{form}-{number}", root, form, as_of, seed_missing)
+    """Run ``process_batch`` on every micro-batch; the checkpoint holds the source offsets.
+
+    A batch's id is the stream's ``name``, the id of the query, which its
+    checkpoint keeps over restarts, and the number of the batch: streams into one
+    store stay apart, also one that is begun anew. A batch that was not stored
+    ends the query, and the next start takes it again.
+    """
+    def each(batch: DataFrame, number: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        process_batch(batch, f"{name}-{query}-{number}", root, form, as_of, seed_missing, settled)
+
     return (
-        lines.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        lines.writeStream.queryName(name).foreachBatch(each).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "15 seconds"})).start())
 
 
