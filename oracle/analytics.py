@@ -145,3 +145,11 @@ QUERIES = {
                count(DISTINCT route_id) AS ar, count(DISTINCT stop_id) AS ast
         FROM {P} GROUP BY 1"""),
 }
+
+# The reports that can be asked for one route, over its facts alone.
+ONE_ROUTE = ["performance", "delays", "stops", "headways", "hourly_trends"]
+for _name in ONE_ROUTE:
+    _text = QUERIES[f"q_{_name}"]
+    for _facts in (P, V):
+        _text = _text.replace(_facts, f"{_facts[:-1]} AND route_id = 'Red')")
+    QUERIES[f"q_{_name}_one_route"] = _text

@@ -57,7 +57,7 @@ ALL_CHECKED = " UNION ALL ".join(
 
 DELAYS = "list_filter(list_concat(arrival_delays, departure_delays), lambda d: d <> 0)"
 MEAN_DELAY = f"list_sum({DELAYS})::DOUBLE / nullif(len({DELAYS}), 0)"
-LARGE = "len(list_filter(arrival_delays, lambda d: abs(d) > 300))"
+LARGE = "len(list_filter(list_zip(element_delays, arrival_delays), lambda z: abs(coalesce(z[1], z[2])) > 300))"
 SIGNIFICANCE = f"CASE WHEN {LARGE} = 0 THEN 'minor' WHEN {LARGE} <= 2 THEN 'moderate' ELSE 'major' END"
 SERVICES = (
     "array_to_string(list_sort(list_distinct(list_concat(list_transform(affected_route_ids, "
@@ -249,7 +249,8 @@ QUERIES = {
         SELECT trip_id, route_id, stop_id, vehicle_id, arrival_time, departure_time,
                CASE schedule_relationship WHEN 'scheduled' THEN 0 WHEN 'ADDED' THEN 1 WHEN 'canceled' THEN 3 END
                    AS schedule_relationship,
-               delay, timestamp, strftime(timestamp, '%Y-%m-%d') AS partition_date,
+               delay, timestamp, 'feed' AS source, timestamp AS processed_at, 'batch-1' AS batch_id,
+               strftime(timestamp, '%Y-%m-%d') AS partition_date,
                coalesce(strftime(arrival_time, '%Y-%m-%d'), 'none') AS arrival_date
         FROM v_predictions"""),
     "alert_rows": sql("""
@@ -257,8 +258,21 @@ QUERIES = {
                array_to_string(affected_route_ids, '|') AS affected_route_ids,
                array_to_string(affected_stop_ids, '|') AS affected_stop_ids,
                active_period_start, active_period_end, timestamp,
+               'feed' AS source, timestamp AS processed_at, 'batch-1' AS batch_id,
                strftime(timestamp, '%Y-%m-%d') AS partition_date
         FROM v_alerts"""),
+    "position_rows": sql("""
+        SELECT vehicle_id, trip_id, route_id, NULL::INTEGER AS direction_id, latitude, longitude, congestion_level,
+               NULL::INTEGER AS occupancy_status, timestamp, 'feed' AS source, received_at AS processed_at,
+               'batch-1' AS batch_id, strftime(timestamp, '%Y-%m-%d') AS partition_date
+        FROM v_vehicle_positions"""),
+    "trip_update_rows": sql(f"""
+        SELECT trip_id, route_id, {MEAN_DELAY} AS delay, timestamp, 'feed' AS source, received_at AS processed_at,
+               'batch-1' AS batch_id, strftime(timestamp, '%Y-%m-%d') AS partition_date
+        FROM v_trip_updates"""),
+    "flatten_rest_response": sql("""
+        SELECT prediction_id, trip_id, stop_id, route_id, arrival_time, delay
+        FROM (SELECT * FROM v_predictions UNION ALL SELECT * FROM v_predictions)"""),
     "lineage": sql(f"""
         SELECT id, timestamp AS created_at, {AS_OF} AS processed_at, 'rest_feed' AS source, '1.0' AS version,
                'batch-1' AS batch_id, strftime(timestamp, '%Y-%m-%d') AS partition_date
@@ -293,6 +307,11 @@ QUERIES = {
     "seed_routes_kept": sql("SELECT id, route_name FROM v_routes WHERE NOT EXISTS (SELECT 1 FROM v_routes)"),
     "topic_routing": sql(f"""
         SELECT topic, key, count(*) AS messages, count(route_id) AS with_route FROM ({MESSAGES}) GROUP BY ALL"""),
+    "topic_payloads": sql("""
+        SELECT 'transit.predictions.raw' AS topic, coalesce(trip_id, prediction_id) AS key, prediction_id, stop_id,
+               delay::VARCHAR AS delay, strftime(arrival_time, '%Y-%m-%dT%H:%M:%S.%f') AS arrival_time,
+               NULL::VARCHAR AS vehicle_label
+        FROM v_predictions"""),
     "store_round_trip": sql(f"""
         SELECT 'predictions' AS table_name, count(*) AS rows
         FROM (SELECT DISTINCT trip_id, stop_id, arrival_time FROM v_predictions)

@@ -46,8 +46,6 @@ def performance(rows: str) -> str:
         FROM ({rows}) WHERE timestamp >= {AS_OF} - INTERVAL 720 HOURS""")
 
 
-NEWEST = "SELECT * FROM v_predictions ORDER BY timestamp DESC, id LIMIT {n}"
-
 GUARDED = f"""
     SELECT r.id AS route_id, r.route_name, count(p.id) AS total_predictions, {LATE} AS delayed_predictions,
            CASE WHEN count(p.id) = 0 THEN 0.0::DOUBLE ELSE {pct(f'count(p.id) - {LATE}', 'count(p.id)')} END
@@ -143,10 +141,8 @@ QUERIES = {
                {LATE} AS delayed_predictions, {pct(LATE, 'count(*)')} AS delay_percentage,
                (SELECT count(*) FROM {A}) AS total_alerts
         FROM {P}"""),
-    "sampled_performance": performance(NEWEST.format(n=1000)),
     "window_performance": performance("SELECT * FROM v_predictions"),
-    "route_performance_sampled": performance(
-        f"SELECT * FROM ({NEWEST.format(n=1000)}) WHERE route_id = 'Red'"),
+    "route_performance": performance("SELECT * FROM v_predictions WHERE route_id = 'Red'"),
     "route_on_time_guarded": sql(GUARDED),
     "route_on_time_with_data": sql(f"SELECT * FROM ({GUARDED}) WHERE total_predictions > 0"),
     "table_counts": sql(" UNION ALL ".join(
@@ -155,7 +151,7 @@ QUERIES = {
     "alert_cards": sql(f"""
         SELECT count(*) AS total_alerts, count(*) FILTER (alert_severity_level = 'SEVERE') AS severe_alerts,
                count(affected_route_ids) AS routes_affected
-        FROM (SELECT * FROM {A} ORDER BY timestamp DESC, alert_id LIMIT 20)"""),
+        FROM {A}"""),
     "vehicles_per_route": sql("""
         SELECT route_id, count(DISTINCT vehicle_id) AS vehicles FROM v_vehicle_positions GROUP BY 1"""),
     "busiest_routes": sql("""
@@ -182,17 +178,17 @@ QUERIES = {
                     WHEN score >= 40 THEN 'fair' ELSE 'poor' END AS overall_status
         FROM perf, h, (SELECT count(*) AS over, (count(*) > 0)::BIGINT AS extreme FROM newest, limits
                        WHERE delay > threshold) x,
-             (SELECT (count(*) > 10)::BIGINT AS noisy FROM {window('v_alerts', 1)}) y,
+             (SELECT (count(*) > 10)::BIGINT AS noisy FROM {A}) y,
              LATERAL (SELECT 100 - CASE WHEN on_time_percentage < 80 THEN 20
                                         WHEN on_time_percentage < 90 THEN 10 ELSE 0 END
                       - 15*((extreme > 0 AND over > 5)::INTEGER + noisy)
                       - CASE WHEN total_alerts > 5 THEN 10 ELSE 0 END AS score) z""",
-        newest=NEWEST.format(n=500),
+        newest=f"SELECT * FROM {P}",
         limits="SELECT avg(delay) + 3*coalesce(stddev_samp(delay), 0) AS threshold FROM newest",
         perf=f"""
         SELECT (count(*) - {LATE})*100.0::DOUBLE/count(*) AS on_time_percentage,
                {div('sum(delay)', 'count(delay)')}/60.0::DOUBLE AS average_delay_minutes,
-               {LATE} AS delayed_trips, count(*) AS total_trips FROM ({NEWEST.format(n=1000)})""",
+               {LATE} AS delayed_trips, count(*) AS total_trips FROM {P}""",
         h=f"""
         SELECT count(*) AS total_predictions, {LATE} AS delayed_predictions,
                {pct(LATE, 'count(*)')} AS delay_percentage,
@@ -202,9 +198,9 @@ QUERIES = {
                (SELECT count(DISTINCT vehicle_id) FROM v_vehicle_positions) AS active_vehicles,
                (SELECT count(*) FROM v_alerts WHERE {ACTIVE}) AS active_alerts,
                d.*, {AS_OF} AS last_updated,
-               (SELECT string_agg(route_id, '|' ORDER BY route_id) FROM (
-                   SELECT route_id FROM v_predictions WHERE delay > 120 GROUP BY 1
-                   ORDER BY count(*) DESC, 1 LIMIT 5)) AS problem_routes,
+               (SELECT string_agg(route_id || ':' || n, '|' ORDER BY route_id) FROM (
+                   SELECT route_id, count(*) AS n FROM v_predictions
+                   WHERE delay > 120 AND route_id IS NOT NULL GROUP BY 1)) AS problem_routes,
                (SELECT string_agg(n::VARCHAR, '|' ORDER BY h) FROM (
                    SELECT h, count(DISTINCT vehicle_id) AS n FROM range(24) t(h)
                    LEFT JOIN v_vehicle_positions ON extract(hour FROM timestamp) = h GROUP BY 1))
@@ -228,7 +224,7 @@ QUERIES = {
                affected_routes, '' AS affected_stops, 0.85::DOUBLE AS confidence_score
         FROM (SELECT count(*) AS n, string_agg(DISTINCT route_id, '|' ORDER BY route_id) AS affected_routes
               FROM newest, limits WHERE delay > threshold) WHERE n > 0""",
-        newest=NEWEST.format(n=500),
+        newest=f"SELECT * FROM {P}",
         limits="SELECT avg(delay) + 3*coalesce(stddev_samp(delay), 0) AS threshold FROM newest"),
     "service_disruption": sql(f"""
         SELECT 'service_disruption' AS anomaly_type, 'high' AS severity,
@@ -306,7 +302,7 @@ QUERIES = {
              (SELECT count(*) AS n, ({LATE})*100.0::DOUBLE/count(*) AS share, max(timestamp) AS last_record,
                      (SELECT count(*) FROM v_alerts) AS total_alerts FROM v_predictions),
              (SELECT (count(*) - {LATE})*100.0::DOUBLE/count(*) AS on_time_percentage,
-                     count(*) AS total_trips FROM ({NEWEST.format(n=1000)}))""", log=LOG),
+                     count(*) AS total_trips FROM {P})""", log=LOG),
     "kpi_snapshot": sql(f"""
         SELECT 'service_health' AS kind, {AS_OF} AS as_of, total_predictions, {STATUS} AS service_status
         FROM (SELECT count(*) AS total_predictions, ({LATE})*100.0::DOUBLE/count(*) AS share,

@@ -97,6 +97,8 @@ VIEWS = {
                {code('(l_suppkey%24)')} AS route_id, l_shipdate AS timestamp,
                l_shipdate + to_minutes(l_orderkey%90) AS received_at,
                list_transform(range(1, l_linenumber+1), lambda i: 'S'||(l_suppkey+i)::VARCHAR) AS stop_ids,
+               list_transform(range(1, l_linenumber+1),
+                   lambda i: CASE WHEN i%4=3 THEN l_quantity::INTEGER*25-400 END) AS element_delays,
                list_transform(range(1, l_linenumber+1),
                    lambda i: l_quantity::INTEGER*20-300+30*(i%3)) AS arrival_delays,
                list_transform(range(1, l_linenumber+1),

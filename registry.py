@@ -72,6 +72,14 @@ for _name in analytics.REPORTS:
     _named_report(_name)
 
 
+def _one_route_report(name: str) -> None:
+    query(f"q_{name}_one_route")(lambda t: analytics.report(name, t, as_of=AS_OF, hours=HOURS, route_id="Red"))
+
+
+for _name in ("performance", "delays", "stops", "headways", "hourly_trends"):
+    _one_route_report(_name)
+
+
 # Summaries
 
 @query("route_summary")
@@ -151,17 +159,12 @@ def _on_time(t: Tables, **options) -> DataFrame:
     return row.withColumn("delay_std_dev", analytics.r2(F.col("delay_std_dev")))
 
 
-@query("sampled_performance")
-def _(t):
-    return _on_time(t)
-
-
 @query("window_performance")
 def _(t):
-    return _on_time(t, sample=None)
+    return _on_time(t)
 
 
-@query("route_performance_sampled")
+@query("route_performance")
 def _(t):
     return _on_time(t, route_id="Red")
 
@@ -234,7 +237,7 @@ def _latest(t: Tables) -> dict[str, DataFrame]:
 def _(t):
     return _latest(t)["totals"].select(
         "total_routes", "active_vehicles", "active_alerts", "delays.*",
-        joined(F.transform(F.array_sort(F.map_keys("problem_routes")), lambda k: k)).alias("problem_routes"),
+        joined(F.transform(F.array_sort(F.map_entries("problem_routes")), lambda e: F.concat_ws(":", e["key"], e["value"]))).alias("problem_routes"),
         joined(F.transform("hourly_vehicle_counts", lambda v: v.cast("string"))).alias("hourly_vehicle_counts"),
         "last_updated")
 
@@ -253,7 +256,7 @@ def _(t):
 
 @query("delay_anomaly")
 def _(t):
-    return rules.delay_anomaly(t.predictions, AS_OF).withColumns({
+    return rules.delay_anomaly(t.predictions, AS_OF, HOURS).withColumns({
         "affected_routes": joined("affected_routes"), "affected_stops": joined("affected_stops")})
 
 
@@ -610,7 +613,7 @@ def loose_lines(t: Tables) -> DataFrame:
 
 
 def loose_records(t: Tables) -> DataFrame:
-    return flatten.record_type(feeds.documents(feeds.decode(loose_lines(t), DOCUMENTS["loose"])))
+    return flatten.record_type(feeds.documents(feeds.decode(loose_lines(t), DOCUMENTS["loose"])).drop("raw"))
 
 
 @query("loose_record_types")
@@ -661,15 +664,35 @@ def _(t):
 
 @query("prediction_rows")
 def _(t):
-    return flatten.table_rows(records(t, "prediction"), "prediction", F.col("now")).drop("id", "status")
+    return flatten.table_rows(records(t, "prediction"), "prediction", F.col("now"), "batch-1", "feed").drop("id", "status")
 
 
 @query("alert_rows")
 def _(t):
-    return _plain(flatten.table_rows(records(t, "alert"), "alert", F.col("now"))).drop(
+    return _plain(flatten.table_rows(records(t, "alert"), "alert", F.col("now"), "batch-1", "feed")).drop(
         "alert_description_text", "alert_url", "affected_trip_ids")
 
 
+@query("position_rows")
+def _(t):
+    rows = flatten.table_rows(records(t, "vehicle_position"), "vehicle_position", F.col("now"), "batch-1", "feed")
+    return rows.drop("id", "stop_id", "speed", "bearing")
+
+
+@query("trip_update_rows")
+def _(t):
+    rows = flatten.table_rows(records(t, "trip_update"), "trip_update", F.col("now"), "batch-1", "feed")
+    return rows.select("trip_id", "route_id", "delay", "timestamp", "source", "processed_at", "batch_id", "partition_date")
+
+
+@query("flatten_rest_response")
+def _(t):
+    """Response documents that hold every record twice."""
+    documents = rest_prediction_lines(t).select(F.concat(
+        F.lit('{"data":['), "value", F.lit(","), "value", F.lit("]}")).alias("value"))
+    return flatten.rest_predictions(feeds.rest_records(documents)).select("prediction_id", "trip_id", "stop_id", "route_id", "arrival_time", "delay")
+
+
 @query("lineage")
 def _(t):
     df = flatten.with_lineage(t.predictions.select("id", F.col("timestamp").alias("created_at")),
@@ -809,8 +832,14 @@ def typed_feeds(t: Tables) -> dict[str, DataFrame]:
 def _(t):
     sent = publish.route_messages(typed_feeds(t))
     return sent.groupBy("topic", "key").agg(
-        F.count("*").alias("messages"),
-        F.count(F.get_json_object("value", "$.route_id")).alias("with_route"))
+        F.count("*").alias("messages"), F.count("route_id").alias("with_route"))
+
+
+@query("topic_payloads")
+def _(t):
+    sent = publish.route_messages({"prediction": records(t, "prediction").drop("now")})
+    field = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    return sent.select("topic", "key", *[field(c) for c in ("prediction_id", "stop_id", "delay", "arrival_time", "vehicle_label")])
 
 
 @query("kpi_snapshot")
@@ -895,8 +924,8 @@ def _(t):
     clock = dt.datetime(2024, 1, 30, 12)
     lines = feeds.text_lines(t.spark, f"{folder}/landed", streaming=True)
     ingest.start_ingest(
-        lines, root, f"{folder}/checkpoint", as_of=clock, trigger={"availableNow": True}).awaitTermination()
-    refused = t.spark.read.parquet(f"{root}/quarantine").select(
+        lines, root, f"{folder}/checkpoint", "feed", as_of=clock, trigger={"availableNow": True}, settled=True).awaitTermination()
+    refused = tables.read_table(t.spark, root, "quarantine").select(
         F.concat(F.lit("refused_"), "kind").alias("table_name")).groupBy("table_name").agg(
         F.count("*").alias("rows"))
     return _stored_counts(t.spark, root, ("predictions", "vehicle_positions")).unionByName(refused)

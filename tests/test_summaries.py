@@ -85,11 +85,12 @@ def test_demo_day(spark):
     assert (row.total_alerts, row.service_status) == (2, "poor")
 
 
-def test_sampled_performance_limits_before_filtering(spark):
-    rows = [(i, "Red" if i < 3 else "Blue", "s", 60, NOW, NOW - i * dt.timedelta(minutes=1)) for i in range(10)]
+def test_performance_of_a_route_reads_its_whole_window(spark):
+    rows = [(i, "Red" if i < 3000 else "Blue", "s", 60, NOW, NOW - dt.timedelta(seconds=i)) for i in range(3700)]
     p = spark.createDataFrame(rows, P)
-    assert summaries.on_time_performance(p, NOW, 1, "Blue", sample=4).first().total_trips == 1
-    none = summaries.on_time_performance(p, NOW, 1, "Green", sample=4).first()
+    assert summaries.on_time_performance(p, NOW, 1, "Red").first().total_trips == 3000
+    assert summaries.on_time_performance(p, NOW, 1, "Blue").first().total_trips == 601
+    none = summaries.on_time_performance(p, NOW, 1, "Green").first()
     assert (none.on_time_percentage, none.total_trips, none.delay_std_dev) == (0.0, 0, 0.0)
     unknown = preds(spark, ("Red", "s", None))
     assert summaries.on_time_performance(unknown, NOW).first().on_time_percentage == 100.0

@@ -7,9 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A spine of this many hours has less than 10 MB of aggregate rows.
-BROADCAST_HOURS = 100_000
-
 AsOf = dt.datetime | Column | None
 
 
@@ -62,10 +59,7 @@ def on_spine(hourly: DataFrame, as_of: AsOf, hours: float) -> DataFrame:
     """Gap fill: every spine hour, with the hourly aggregate where there is one.
 
     Hours beyond the spine are cut first, which leaves the aggregate at most one
-    row per spine hour. That count is known here, so the hint below is given
-    only for a side that is certain to be small.
+    row per spine hour.
     """
     inside = hourly.where(F.col("hour_bucket") <= F.date_trunc("hour", as_of_column(as_of)))
-    if hours <= BROADCAST_HOURS:
-        inside = F.broadcast(inside)
     return hour_spine(hourly, as_of, hours).join(inside, "hour_bucket", "left")

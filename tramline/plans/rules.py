@@ -1,4 +1,4 @@
-"""Status rules and sampled anomaly checks."""
+"""Status rules and anomaly checks."""
 
 from __future__ import annotations
 
@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions.clock import AsOf, recent
-from tramline.functions.measures import ratio, row_count
+from tramline.functions.measures import row_count
 from tramline.operators.shape import distinct_items, fold
-from tramline.operators.topk import newest
 
 
 def service_status(delay_percentage: Column, alerts: Column) -> Column:
@@ -45,34 +44,32 @@ def _texts() -> Column:
 
 
 def delay_anomaly(
-    predictions: DataFrame, as_of: AsOf = None, hours: float | None = None,
-    sample: int = 500, z: float = 3,
+    predictions: DataFrame, as_of: AsOf = None, hours: float | None = None, z: float = 3,
 ) -> DataFrame:
-    """One row when delays among the newest ``sample`` predictions stand out, else none.
+    """One row when delays of the window stand out from all of them, else none.
 
-    The sample is a fixed number of rows by definition, so it is held as one
-    array and the threshold is applied to its elements.
+    The facts are counted per route and whole second; mean and spread, the
+    threshold and the extremes come from those counts, in whole numbers.
     """
-    picked = recent(newest(predictions.select("id", "route_id", "delay", "timestamp"), sample), as_of, hours)
-    d = F.col("delay").cast("double")
-    n, total, squares = F.count("delay"), F.sum(d), F.sum(d * d)
-    spread = F.when(n > 1, F.sqrt(F.greatest((n * squares - total * total) / (n * (n - 1)), F.lit(0.0))))
-    extreme = F.filter("points", lambda p: p["delay"] > F.col("threshold"))
+    counted = recent(predictions, as_of, hours).where("delay IS NOT NULL").groupBy("route_id", "delay").agg(
+        row_count().alias("n"))
+    n, d = F.col("n").cast("decimal(38,0)"), F.col("delay").cast("decimal(38,0)")
+    moments = counted.agg(
+        F.sum(n).cast("double").alias("total"), F.sum(n * d).cast("double").alias("sum"),
+        (F.sum(n) * F.sum(n * d * d) - F.sum(n * d) * F.sum(n * d)).cast("double").alias("squares"))
+    total = F.col("total")
+    spread = F.when(total > 1, F.sqrt(F.col("squares") / (total * (total - 1))))
+    threshold = moments.select(F.col("sum") / F.nullif(total, F.lit(0.0)) + F.coalesce(spread, F.lit(0.0)) * z)
     return (
-        picked.where("delay IS NOT NULL")
-        .agg(
-            F.collect_list(F.struct("delay", "route_id")).alias("points"),
-            (ratio(total, n) + F.coalesce(spread, F.lit(0.0)) * z).alias("threshold"))
-        .withColumn("extreme", extreme)
-        .withColumn("count", F.size("extreme"))
+        counted.where(F.col("delay") > threshold.scalar())
+        .agg(F.sum("n").alias("count"), F.array_sort(F.collect_set("route_id")).alias("affected_routes"))
         .where("count > 0")
         .select(
             F.lit("extreme_delays").alias("anomaly_type"),
             F.when(F.col("count") > 5, "high").otherwise("medium").alias("severity"),
             F.concat(F.lit("Detected "), F.col("count").cast("string"),
                      F.lit(" extreme delays above threshold")).alias("description"),
-            F.array_sort(F.array_distinct(F.transform("extreme", lambda p: p["route_id"])))
-            .alias("affected_routes"),
+            "affected_routes",
             _texts().alias("affected_stops"),
             F.lit(0.85).alias("confidence_score")))
 
@@ -94,5 +91,5 @@ def service_disruption(
         F.lit(0.90).alias("confidence_score"))
 
 
-def anomalies(predictions: DataFrame, alerts: DataFrame, as_of: AsOf = None) -> DataFrame:
-    return delay_anomaly(predictions, as_of).unionByName(service_disruption(alerts, as_of))
+def anomalies(predictions: DataFrame, alerts: DataFrame, as_of: AsOf = None, hours: float = 1) -> DataFrame:
+    return delay_anomaly(predictions, as_of, hours).unionByName(service_disruption(alerts, as_of, hours))

@@ -14,7 +14,6 @@ from tramline.functions.measures import (
     SEVERE_SECONDS, is_late, lateness, percent, r2, ratio, row_count, zero_if_null)
 from tramline.operators.enrich import region_of
 from tramline.operators.shape import as_map, fold, stack, tagged
-from tramline.operators.topk import newest
 from tramline.plans import rules
 
 # Lower edges of minor, moderate and major delays, in seconds.
@@ -193,16 +192,9 @@ def stored_service_health(
 
 def on_time_performance(
     predictions: DataFrame, as_of: AsOf = None, hours: float = 1, route_id: str | None = None,
-    sample: int | None = 1000,
 ) -> DataFrame:
-    """One row on the newest ``sample`` predictions, cut to the route and window after sampling.
-
-    ``sample=None`` reads the whole window instead.
-    """
-    facts = predictions.select("id", "route_id", "delay", "timestamp")
-    if sample is not None:
-        facts = newest(facts, sample)
-    facts = recent(facts, as_of, hours)
+    """One row on all predictions of the window, of one route if it is given."""
+    facts = recent(predictions, as_of, hours).select("route_id", "delay")
     if route_id is not None:
         facts = facts.where(F.col("route_id") == route_id)
     d = F.col("delay")
@@ -248,9 +240,8 @@ def table_counts(frames: dict[str, DataFrame], as_of: AsOf = None) -> DataFrame:
         "table_name", zero_if_null(F.col("rows")).alias("rows"))
 
 
-def alert_cards(alerts: DataFrame, as_of: AsOf = None, hours: float = 24, limit: int = 20) -> DataFrame:
-    shown = newest(recent(alerts, as_of, hours), limit, tie="alert_id")
-    return shown.agg(
+def alert_cards(alerts: DataFrame, as_of: AsOf = None, hours: float = 24) -> DataFrame:
+    return recent(alerts, as_of, hours).agg(
         row_count().alias("total_alerts"),
         F.count_if(F.col("alert_severity_level") == "SEVERE").alias("severe_alerts"),
         F.count("affected_route_ids").alias("routes_affected"))
@@ -296,7 +287,7 @@ def service_summary(
     predictions: DataFrame, alerts: DataFrame, as_of: AsOf = None, hours: float = 1,
 ) -> DataFrame:
     """One row: on-time performance, stored health, anomalies and the overall status."""
-    found = rules.anomalies(predictions, alerts, as_of).agg(
+    found = rules.anomalies(predictions, alerts, as_of, hours).agg(
         F.collect_list(F.struct("anomaly_type", "severity", "description", "confidence_score"))
         .alias("anomalies"),
         F.count_if(F.col("severity") == "high").alias("high_anomalies"))
@@ -335,7 +326,7 @@ def latest_stats(tables, as_of: AsOf = None) -> dict[str, DataFrame]:
         positions.agg(F.count_distinct("vehicle_id").alias("active_vehicles")),
         active.agg(row_count().alias("active_alerts")),
         delay_distribution(predictions).select(F.struct("*").alias("delays")),
-        as_map(problem_routes(predictions), "route_id", "delays", "problem_routes"),
+        as_map(problem_routes(predictions, k=None), "route_id", "delays", "problem_routes"),
         slots,
     ).withColumn("last_updated", as_of_column(as_of))
     return {

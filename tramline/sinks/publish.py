@@ -24,12 +24,18 @@ def as_json(*columns: Column | str) -> Column:
 
 
 def messages(df: DataFrame, kind: str) -> DataFrame:
-    """Records as keyed topic messages; types without a topic give no rows."""
+    """Records as keyed topic messages with their route; types without a topic give no rows.
+
+    Topic, key and route come from the record itself, so the text of a message
+    is only made where it is written.
+    """
     if kind not in TOPICS:
-        return df.select(*[F.lit(None).cast("string").alias(c) for c in ("topic", "key", "value")]).where(F.lit(False))
+        names = ("topic", "key", "route_id", "value")
+        return df.select(*[F.lit(None).cast("string").alias(c) for c in names]).where(F.lit(False))
     topic, keys = TOPICS[kind]
     return df.select(
         F.lit(topic).alias("topic"), F.coalesce(*[F.col(k) for k in keys]).alias("key"),
+        (F.col("route_id") if "route_id" in df.columns else F.lit(None).cast("string")).alias("route_id"),
         as_json("*").alias("value"))
 
 
@@ -39,6 +45,7 @@ def route_messages(frames: dict[str, DataFrame]) -> DataFrame:
 
 def write_messages(rows: DataFrame, path: str | None = None, servers: str | None = None) -> None:
     """To Kafka where servers are given, else to one folder per topic."""
+    rows = rows.select("topic", "key", "value")
     if servers:
         rows.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
     else:
