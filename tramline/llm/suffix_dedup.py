@@ -239,7 +239,7 @@ def _runs(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     only balances them.
     """
     n = anchors.count()
-    ranges = max(1, -(-n // RANGE))
+    ranges, most = max(1, -(-n // RANGE)), RUN
     texts = docs.select("key", "text")
     lists = lambda some: some.groupBy("key").agg(F.collect_list("at").alias("ats"))
     splitters: list[bytes] = []
@@ -261,7 +261,7 @@ def _runs(docs: DataFrame, anchors: DataFrame) -> DataFrame:
                 for at in batch.column("ats")[i].values.to_pylist():
                     pos = at >> 7
                     rows.append((text[pos:pos + SPAN], text[max(0, pos - LEFT):pos][::-1], key, at))
-                if len(rows) >= RUN:
+                if len(rows) >= most:
                     yield _front_coded(rows, splitters)
                     rows = []
         if rows:
