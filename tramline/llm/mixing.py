@@ -53,17 +53,25 @@ def mixed_order(docs: DataFrame, weights: dict[str, int], other: int, seed: int
     A source is numbered in many parts (the leading digits of the order key),
     whose sizes are counted before; so no source is one task's work.
     """
-    slots = docs.sparkSession.createDataFrame(period({**weights, OTHER: other}), "share string, nth long, at long")
+    row = F.struct("doc_id", "source")
+    return _placed(docs.select(row.alias("row")), weights, other, seed, block).select(
+        "row.doc_id", "row.source", "share", "block", "slot", "position")
+
+
+def _placed(rows: DataFrame, weights: dict[str, int], other: int, seed: int, block: int) -> DataFrame:
+    """``rows`` (structs ``row`` with doc_id and source) with their share, block, slot and position."""
+    slots = rows.sparkSession.createDataFrame(period({**weights, OTHER: other}), "share string, nth long, at long")
     total = sum(weights.values()) + other
-    named = F.col("source").isin(*weights) if weights else F.lit(False)
-    keyed = docs.select(
-        "doc_id", "source", F.coalesce(F.when(named, F.col("source")), F.lit(OTHER)).alias("share"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")).alias("key")) \
+    source, doc_id = F.col("row.source"), F.col("row.doc_id")
+    named = source.isin(*weights) if weights else F.lit(False)
+    keyed = rows.select(
+        "row", F.coalesce(F.when(named, source), F.lit(OTHER)).alias("share"),
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary")).alias("key")) \
         .withColumn("part", F.substring("key", 1, DIGITS))
     sizes = keyed.groupBy("share", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("share").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("share", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("share", "part").orderBy("key", "doc_id")
+    within = Window.partitionBy("share", "part").orderBy("key", doc_id, F.xxhash64("row"))
     each = F.create_map(*[F.lit(x) for pair in sorted({**weights, OTHER: other}.items()) for x in pair])
     ranked = keyed.withColumn("nth", F.row_number().over(within)).join(sizes, ["share", "part"]) \
         .withColumn("rank", F.col("before") + F.col("nth") - 1) \
@@ -72,8 +80,7 @@ def mixed_order(docs: DataFrame, weights: dict[str, int], other: int, seed: int
         .withColumn("nth", F.expr("block % weight").cast("long"))
     slot = F.expr(f"(block div weight) * {total} + at")
     return ranked.join(F.broadcast(slots), ["share", "nth"]).select(
-        "doc_id", "source", "share", "block", slot.alias("slot"),
-        (slot * block + F.col("rank") % block).alias("position"))
+        "row", "share", "block", slot.alias("slot"), (slot * block + F.col("rank") % block).alias("position"))
 
 
 def mixed_documents(docs: DataFrame, weights: dict[str, int], other: int, seed: int = 0, block: int = BLOCK) -> DataFrame:
@@ -82,11 +89,6 @@ def mixed_documents(docs: DataFrame, weights: dict[str, int], other: int, seed:
     Rows are dealt out by ranges of the position and sorted where they lie.
     Rows that repeat an id stay as many as they were.
     """
-    whole = F.struct(*docs.columns)
-    alike = Window.partitionBy("doc_id").orderBy("position")
-    places = mixed_order(docs, weights, other, seed, block) \
-        .select("doc_id", "position", F.row_number().over(alike).alias("nth"))
-    rows = docs.select(F.col("doc_id").alias("id"), whole.alias("row"))
-    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("row"))))
-    return rows.join(places, rows["id"].eqNullSafe(places["doc_id"]) & (rows["n"] == places["nth"])) \
-        .select("row", "position").repartitionByRange("position").sortWithinPartitions("position").select("row.*")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return _placed(rows, weights, other, seed, block) \
+        .repartitionByRange("position").sortWithinPartitions("position").select("row.*")
