@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramline.llm.common import Rolling, chunks, numbered, settle, strings, unique_ids
 
@@ -78,8 +79,10 @@ def _cut(docs: DataFrame, as_text: bool) -> DataFrame:
         .filter(F.col("end") - F.col("start") >= SPAN)
     spans = covered.union(_merged(_runs(docs, sorted_ones)))
     lists = spans.groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
-    schema = f"row {docs.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, " \
-             f"spans array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}"
+    schema = T.StructType([
+        docs.schema["row"], T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
+        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
+        T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
