@@ -143,8 +143,8 @@ class Unigram:
         out: list = [None] * len(parts)
         for lo, hi in ((0, 8), (8, 16), (16, LONG)):
             some = np.flatnonzero((sizes > lo) & (sizes <= hi))
-            for begin in range(0, len(some), 50_000):
-                self._many(parts, some[begin:begin + 50_000], hi, out)
+            for begin in range(0, len(some), 5000):
+                self._many(parts, some[begin:begin + 5000], hi, out)
         for i in np.flatnonzero(sizes > LONG):
             out[i] = self.best(parts[i])
         for i in np.flatnonzero(sizes == 0):
@@ -255,21 +255,33 @@ def load(model: str) -> tuple[Unigram, WordPool]:
     return unigram, WordPool(unigram.encode)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
+    unigram, words = load(model)
+    for batch in batches:
+        data, offsets = strings(batch.column("text"))
+        for lo, hi in chunks(offsets):
+            flat, at = words.ids(*unigram.parts(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id")[lo:hi], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))],
+                ["doc_id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
+    unigram, _ = load(model)
+    for batch in batches:
+        ids = [np.zeros(0, np.int32) if x.values is None else x.values.to_numpy() for x in batch.column("ids")]
+        yield pa.RecordBatch.from_arrays([
+            *batch.columns, pa.array([len(x) for x in ids], pa.int64()),
+            pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
+            pa.array([unigram.decode(x).decode("utf-8", "replace") for x in ids], pa.string())],
+            ["doc_id", "ids", "n_tokens", "ids_crc32", "text"])
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """``docs`` (its ``doc_id`` and ``text``) as ``doc_id, ids``; null or empty text has no ids. Rows are taken one by one."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unigram, words = load(model)
-        for batch in batches:
-            data, offsets = strings(batch.column("text"))
-            for lo, hi in chunks(offsets):
-                flat, at = words.ids(*unigram.parts(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[lo:hi], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))],
-                    ["doc_id", "ids"])
-
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")) \
+        .mapInArrow(lambda batches: _encoded(batches, model), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -278,21 +290,13 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     Null ids are none. The checksum is over the ids as little-endian unsigned 32-bit integers.
     """
     kind = encoded.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unigram, _ = load(model)
-        for batch in batches:
-            ids = [np.zeros(0, np.int32) if x.values is None else x.values.to_numpy() for x in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays([
-                *batch.columns, pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                pa.array([unigram.decode(x).decode("utf-8", "replace") for x in ids], pa.string())],
-                ["doc_id", "ids", "n_tokens", "ids_crc32", "text"])
-
     return encoded.select("doc_id", "ids").mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, n_tokens long, ids_crc32 long, text string")
+        lambda batches: _decoded(batches, model), f"doc_id {kind}, ids array<int>, n_tokens long, ids_crc32 long, text string")
 
 
 def both_ways(docs: DataFrame, model: str) -> DataFrame:
-    """Encodes ``docs`` and decodes the ids: the columns of decode()."""
-    return decode(encode(docs, model), model)
+    """Encodes ``docs`` and decodes the ids, in one worker: the columns of decode()."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+        lambda batches: _decoded(_encoded(batches, model), model),
+        f"doc_id {kind}, ids array<int>, n_tokens long, ids_crc32 long, text string")

@@ -9,7 +9,7 @@ import numpy as np
 from tramline.llm.common import Rolling
 
 _ROLLING = Rolling(909)
-_SLOTS = 1 << 21
+_SLOTS = 1 << 20
 
 
 class WordPool:
@@ -21,7 +21,7 @@ class WordPool:
     64-bit hash, which also holds the part's length.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most_ids: int = 1 << 23):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most_ids: int = 1 << 22):
         self._encode, self._most = encode, most_ids
         self._clear()
 
