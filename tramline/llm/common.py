@@ -9,16 +9,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.session import settle, shared_base
+from tramline.session import settle, shared_base, shared_dir
 
 #: Bytes of text that a Python task looks at at once; a longer text is looked at alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Scratch:
+    """Tables written to the shared folder that are deleted once a result no longer needs them."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def settle(self, df: DataFrame, label: str) -> DataFrame:
+        path = shared_dir(self._spark, label)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        for path in self._paths:
+            where = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(where, True)
+        self._paths = []
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once into the checkpoint folder, so that a lost executor costs no rework."""
     shared_base(df.sparkSession)

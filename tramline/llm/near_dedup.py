@@ -9,9 +9,10 @@ on the full sets, and only a checked pair is a link.
 
 Comparisons within a band's bucket are first with its smallest member. That
 connects nearly all there is; buckets that still hold several components are
-then compared block by block, member against member of another component, on
-the sketches alone. So no link is lost in a bucket of any size, no bucket meets
-in one task as a whole, and what leaves a block is only what looks alike.
+then compared block by block, member against member of another component, by
+sketches and then by shingles, until the components of a block are settled. So
+no link is lost in a bucket of any size, no bucket meets in one task as a whole,
+and a block puts out no more pairs than it has components to connect.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.common import chunks, checkpointed, mixed, settle, strings
+from tramline.llm.common import Scratch, checkpointed, chunks, mixed, settle, strings
 from tramline.llm.components import components
 from tramline.llm.shingles import shingle_sets
 
@@ -45,7 +46,7 @@ class Settings:
     rows: int = 5
     bits: int = 1024
     slack: int = 70
-    block: int = 2000
+    block: int = 1000
 
     @property
     def most_bits(self) -> int:
@@ -64,22 +65,24 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     text get the same answer each. Rows without an id are never compared, have
     no component and are kept. Other columns of ``docs`` are not looked at.
     """
-    signed = settle(signatures(docs, settings), "signatures")
+    scratch = Scratch(docs.sparkSession)
+    signed = scratch.settle(signatures(docs, settings), "signatures")
     sets = signed.filter("doc_id is not null and n_shingles > 0")
-    classes = settle(sets.groupBy("set_hash").agg(
+    classes = scratch.settle(sets.groupBy("set_hash").agg(
         F.min("doc_id").alias("id"), F.any_value("sketch").alias("sketch"), F.any_value("bands").alias("bands")), "sets")
     buckets = classes.select(F.col("set_hash").alias("set"), F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(F.min("set").alias("lead"), F.count("*").alias("members")).filter("members > 1")
-    buckets = settle(buckets.join(shared, "band"), "buckets")
+    buckets = scratch.settle(buckets.join(shared, "band"), "buckets")
 
-    stars = buckets.filter("set != lead").select(F.col("set").alias("b"), F.col("lead").alias("a")).distinct()
+    # Of the first members of its buckets a set is compared with the one it shares most buckets with, and the smallest.
+    leads = buckets.filter("set != lead").groupBy("set").agg(F.mode("lead", True).alias("most"), F.min("lead").alias("least"))
+    stars = leads.select(F.col("set").alias("b"), F.explode(F.array_distinct(F.array("most", "least"))).alias("a"))
     close = _close(stars, classes, settings).groupBy("b").agg(F.min(F.struct("apart", "a")).alias("best"))
     links = checkpointed(_linked(close.select("b", "best.a"), classes, docs, settings))
     found = checkpointed(components(links))
-    rest = checkpointed(_across(buckets, found, classes, settings))
+    rest = checkpointed(_across(buckets, found, classes, docs, settings, scratch))
     if not rest.isEmpty():
-        more = _linked(rest, classes, docs, settings)
-        found = components(links.union(more.select(links.columns)))
+        found = _merged(found, _linked(rest, classes, docs, settings))
     least = classes.join(found.withColumnRenamed("node", "set_hash"), "set_hash") \
         .select("set_hash", "component", "id")
     smallest = least.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -90,8 +93,21 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         .select("doc_id", "n_shingles", "component_id")
     alone = signed.filter("doc_id is null or n_shingles = 0") \
         .select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return of_sets.union(alone).select(
-        "*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    result = settle(of_sets.union(alone).select(
+        "*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "near-duplicates")
+    scratch.clear()
+    return result
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (node, component) with the components put together that ``links`` connect."""
+    label = lambda side: found.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    between = links.join(label("a"), "a", "left").join(label("b"), "b", "left") \
+        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    joined = components(between).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    inside = found.join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    alone = joined.join(found.select(F.col("node").alias("component")), "component", "left_anti").toDF("node", "component")
+    return checkpointed(inside.union(alone))
 
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -154,71 +170,125 @@ def _close(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFram
         .filter(F.col("apart") <= settings.most_bits)
 
 
-def _across(buckets: DataFrame, found: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Close pairs ``a, b`` of one bucket whose components differ, for every bucket that holds several.
+def _texts(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``set_hash, text`` of a document for each of the wanted ``sets`` (column ``set``); of repeated ids also other texts."""
+    wanted = sets.select("set").distinct() \
+        .join(classes.select(F.col("set_hash").alias("set"), "id"), "set").select("id", F.col("set").alias("set_hash"))
+    return docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")) \
+        .join(wanted, "id").select("set_hash", "text")
+
+
+def _packed(texts: DataFrame, settings: Settings, kind: str) -> DataFrame:
+    """``set_hash, shingles``: the sorted set of each text as bytes, of whole hashes (``<u8``) or their upper halves (``<u4``)."""
+    shift = np.uint64(0 if kind == "<u8" else 32)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = strings(batch.column("text"))
+            for lo, hi in chunks(offsets):
+                sets = shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], settings.words)
+                part = pa.RecordBatch.from_arrays(
+                    [batch.column("set_hash")[lo:hi], pa.array([(s >> shift).astype(kind).tobytes() for s in sets], pa.binary())],
+                    ["set_hash", "shingles"])
+                hashes = np.array([_set_hash(s) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
+                yield part.filter(pa.array(hashes == part.column("set_hash").to_numpy()))
+
+    return texts.mapInArrow(pack, "set_hash long, shingles binary").dropDuplicates(["set_hash"])
 
-    A bucket is cut into blocks of about ``block`` members by hash; each pair of blocks is a group of its own.
+
+def _across(
+    buckets: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings, scratch: Scratch,
+) -> DataFrame:
+    """Pairs ``a, b`` that connect components within buckets that hold several.
+
+    A bucket is cut into blocks of about ``block`` members by hash; each pair of
+    blocks is a group of its own, and a pair of members is looked at in the
+    first of the buckets that it shares. Sketches first tell which members of a
+    group are close to one of another component. Only these are then compared,
+    on the upper halves of their shingles' hashes, which lose no shared shingle.
+    A pair that is linked whatever halves collide joins its components for the
+    group, so further pairs of theirs are not looked at; a pair on the edge is
+    only put out. Of all groups one pair for each two components goes on, or the
+    pairs on the edge where there is no other.
     """
     labelled = buckets.select("band", "set", "members").join(found.withColumnRenamed("node", "set"), "set", "left") \
         .select("band", "set", "members", F.coalesce("component", "set").alias("component"))
     several = labelled.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
     mixed_ones = labelled.join(several.select("band"), "band", "left_semi")
     sides = F.ceil(F.col("members") / settings.block).cast("int")
-    own = F.pmod(F.xxhash64("set"), sides).cast("int")
-    cells = mixed_ones.withColumn("sides", sides).withColumn("own", own) \
+    looks = classes.select(F.col("set_hash").alias("set"), "sketch", "bands")
+    cells = mixed_ones.withColumn("sides", sides) \
+        .withColumn("own", F.pmod(F.xxhash64("set"), F.col("sides")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))) \
-        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
-                "set", "component") \
-        .join(classes.select(F.col("set_hash").alias("set"), "sketch"), "set")
+        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "component")
+    group = ["band", "i", "j"]
 
-    def compare(_, group):
-        ids = group.column("set").to_numpy()
+    def near_pairs(key, group, label):
+        """Places x and arrays of places y of close members of the two blocks whose labels differ just then."""
+        band, i, j = (k.as_py() for k in key)
         own = group.column("own").to_numpy()
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        component = group.column("component").to_numpy()
-        bits = group.column("sketch").combine_chunks().values.to_numpy().view(np.uint64).reshape(len(ids), -1)
-        left = np.flatnonzero(own == i)
+        bits = group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(own), -1)
+        bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(own), -1)
         right = np.flatnonzero(own == j)
-        a, b = [], []
-        for x in left:
-            other = right[(component[right] != component[x]) & ((ids[right] > ids[x]) if i == j else True)]
-            if len(other):
-                near = other[np.bitwise_count(bits[other] ^ bits[x]).sum(axis=1) <= settings.most_bits]
-                a.append(np.full(len(near), ids[x]))
-                b.append(ids[near])
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return cells.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+        for x in np.flatnonzero(own == i):
+            other = right[label[right] != label[x]]
+            if i == j:
+                other = other[other > x]
+            near = other[np.bitwise_count(bits[other] ^ bits[x]).sum(axis=1) <= settings.most_bits]
+            near = near[bands[near, (bands[near] == bands[x]).argmax(axis=1)] == band]
+            if len(near):
+                yield x, near
+
+    def sift(key, group):
+        label = group.column("component").to_numpy()
+        some = np.zeros(len(label), bool)
+        for x, near in near_pairs(key, group, label):
+            some[x] = True
+            some[near] = True
+        return group.select(["band", "i", "j", "own", "set", "component"]).filter(pa.array(some))
+
+    kind = "band long, i int, j int, own int, set long, component long"
+    close = scratch.settle(cells.join(looks, "set").groupBy(*group).applyInArrow(sift, kind), "close")
+    halves = _packed(_texts(docs, classes, close), settings, "<u4").withColumnRenamed("set_hash", "set")
+
+    def compare(key, group):
+        ids, component = (group.column(c).to_numpy() for c in ("set", "component"))
+        shingles = [np.frombuffer(x.as_buffer(), "<u4") for x in group.column("shingles").combine_chunks()]
+        label = component.copy()
+        out = []
+        for x, near in near_pairs(key, group, label):
+            for y in near:
+                if label[x] == label[y]:
+                    continue
+                both, total = len(np.intersect1d(shingles[x], shingles[y])), len(shingles[x]) + len(shingles[y])
+                # Halves of different shingles may be equal; far more than that is likely is allowed for.
+                slack = 4 + 8 * len(shingles[x]) * len(shingles[y]) / 2 ** 32
+                if 100 * (both + slack) >= settings.percent * (total - both - slack):
+                    sure = 100 * (both - slack) >= settings.percent * (total - both + slack)
+                    out.append((*sorted((component[x], component[y])), ids[x], ids[y], sure))
+                    if sure:
+                        label[label == label[y]] = label[x]
+        out = list(zip(*out)) or [()] * 5
+        return pa.table({n: pa.array(v, t) for n, v, t in zip(("c", "d", "a", "b", "sure"), out, [pa.int64()] * 4 + [pa.bool_()])})
+
+    pairs = scratch.settle(close.join(looks, "set").join(halves, "set").groupBy(*group)
+                   .applyInArrow(compare, "c long, d long, a long, b long, sure boolean"), "pairs")
+    sure = pairs.filter("sure").groupBy("c", "d").agg(F.min(F.struct("a", "b")).alias("pair"))
+    edge = pairs.filter("not sure").select("c", "d", "a", "b").distinct().join(sure, ["c", "d"], "left_anti")
+    return sure.select("pair.a", "pair.b").union(edge.select("a", "b"))
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """Of the pairs ``a, b`` of sets those that the full sets of their documents link."""
     pairs = checkpointed(pairs.select("a", "b"))
-    wanted = pairs.select("a").union(pairs.select("b")).distinct() \
-        .join(classes.select(F.col("set_hash").alias("a"), "id", "set_hash"), "a").select("id", "set_hash")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")) \
-        .join(wanted, "id")
-
-    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = strings(batch.column("text"))
-            for lo, hi in chunks(offsets):
-                sets = shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], settings.words)
-                part = pa.RecordBatch.from_arrays(
-                    [batch.column("set_hash")[lo:hi], pa.array([s.tobytes() for s in sets], pa.binary())],
-                    ["set_hash", "shingles"])
-                hashes = np.array([_set_hash(s) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
-                yield part.filter(pa.array(hashes == part.column("set_hash").to_numpy()))
-
-    sets = texts.select("set_hash", "text").mapInArrow(full_sets, "set_hash long, shingles binary") \
-        .dropDuplicates(["set_hash"])
+    either = pairs.select(F.col("a").alias("set")).union(pairs.select("b"))
+    sets = _packed(_texts(docs, classes, either), settings, "<u8")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= settings.percent * (len(x) + len(y) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
