@@ -217,10 +217,11 @@ def _across(
     mixed_ones = labelled.join(several.select("band"), "band", "left_semi")
     sides = F.ceil(F.col("members") / settings.block).cast("int")
     looks = classes.select(F.col("set_hash").alias("set"), "sketch", "bands")
-    cells = mixed_ones.withColumn("sides", sides) \
+    cells = mixed_ones.join(looks, "set").withColumn("sides", sides) \
         .withColumn("own", F.pmod(F.xxhash64("set"), F.col("sides")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))) \
-        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "component")
+        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "component",
+                "sketch", "bands")
     group = ["band", "i", "j"]
 
     def near_pairs(key, group, label):
@@ -248,7 +249,7 @@ def _across(
         return group.select(["band", "i", "j", "own", "set", "component"]).filter(pa.array(some))
 
     kind = "band long, i int, j int, own int, set long, component long"
-    close = scratch.settle(cells.join(looks, "set").groupBy(*group).applyInArrow(sift, kind), "close")
+    close = scratch.settle(cells.groupBy(*group).applyInArrow(sift, kind), "close")
     halves = _packed(_texts(docs, classes, close), settings, "<u4").withColumnRenamed("set_hash", "set")
 
     def compare(key, group):
