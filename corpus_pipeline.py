@@ -43,14 +43,18 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the mixture; the written table has that order."""
+    """All documents, in the order of the mixture; the written files have that order, and to_pieces() gives the places."""
     return mixing.mixed_documents(docs, WEIGHTS, OTHER_WEIGHT)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, n_tokens, ids_crc32, text`` per document; the text is what the ids decode to."""
+    """``doc_id, ids, n_tokens, ids_crc32, text, source, slot, position`` per document; the text is what the ids decode to.
+
+    Tables that are read again come in no order of rows, so the places in the
+    mixture are worked out anew, put out, and the rows written in their order.
+    """
     model = vocabulary("piece_bpe_32k.model")
-    return pieces.both_ways(docs, model)
+    return pieces.both_ways(mixing.placed_documents(docs, WEIGHTS, OTHER_WEIGHT), model, ("source", "slot", "position"))
 
 
 STAGES = [
@@ -66,7 +70,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, in the order of the mixture."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return docs.orderBy("position")

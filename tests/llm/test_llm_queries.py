@@ -13,8 +13,8 @@ sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tramline.llm import pieces, token_files, toxicity  # noqa: E402
-from tramline.llm.queries import ORACLE, QUERIES, vocabulary  # noqa: E402
+from tramline.llm import mixing, pieces, token_files, toxicity  # noqa: E402
+from tramline.llm.queries import ORACLE, OTHER_WEIGHT, QUERIES, WEIGHTS, vocabulary  # noqa: E402
 from tramline.session import settle  # noqa: E402
 
 
@@ -159,3 +159,36 @@ def test_pipeline_of_an_empty_table(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = settle(stage(spark, docs, sf_dir), "test")
     assert docs.count() == 0
+
+
+def test_pipeline_gives_the_mixture(spark, sf_dir, tmp_path, monkeypatch):
+    """Over a table of many files of odd sizes; the stages that take rows out have their own tests."""
+    rng = np.random.default_rng(3)
+    source = [("src0", "src1", "src2", "web", None)[i] for i in rng.choice(5, 3000, p=[0.4, 0.2, 0.2, 0.1, 0.1])]
+    rows = [(i, "word " * int(rng.integers(1, 30)) + str(i), "en", s, 0) for i, s in enumerate(source)] + [(7, "twice", "en", "src0", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    frame.repartition(7, "n_chars", "source").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [s for s in corpus_pipeline.STAGES if s[0] in ("mixing", "pieces")])
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and sorted((r.doc_id, r.text, r.source) for r in got if r.source) == sorted((i, t, s) for i, t, _, s, _ in rows if s)
+    assert [r.position for r in got] == sorted({r.position for r in got})
+    share = lambda s: s if s in WEIGHTS else ""
+    weight, total = {**WEIGHTS, "": OTHER_WEIGHT}, sum(WEIGHTS.values()) + OTHER_WEIGHT
+    blocks = {r.slot: share(r.source) for r in got}
+    assert len({(r.slot, share(r.source)) for r in got}) == len(blocks) and all(r.slot == r.position // mixing.BLOCK for r in got)
+    ends = {s: max(t for t, x in blocks.items() if x == s) for s in set(blocks.values())}
+    for s, end in ends.items():
+        had = 0
+        for slot in range(end + 1):
+            had += blocks.get(slot) == s
+            assert abs(had - weight[s] * (slot + 1) / total) < 1
+    assert len(ends) == 4
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, f) for n, f in corpus_pipeline.STAGES if n == "pieces"])
+    assert [tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()] == [tuple(r) for r in got]
+
+
+def test_pipeline_rows_have_their_places(spark, sf_dir):
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    want = mixing.mixed_order(spark.createDataFrame([(r.doc_id, r.source) for r in got], "doc_id long, source string"), WEIGHTS, OTHER_WEIGHT)
+    assert [(r.doc_id, r.source, r.slot, r.position) for r in got] == [
+        (r.doc_id, r.source, r.slot, r.position) for r in want.orderBy("position").collect()]

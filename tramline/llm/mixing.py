@@ -89,6 +89,17 @@ def mixed_documents(docs: DataFrame, weights: dict[str, int], other: int, seed:
     Rows are dealt out by ranges of the position and sorted where they lie.
     Rows that repeat an id stay as many as they were.
     """
+    return _in_order(docs, weights, other, seed, block).select("row.*")
+
+
+def placed_documents(docs: DataFrame, weights: dict[str, int], other: int, seed: int = 0, block: int = BLOCK) -> DataFrame:
+    """``doc_id, text, source, slot, position`` of all rows of ``docs``, in the order of the mixture as mixed_documents() gives it.
+
+    A place depends on the rows alone, not on the order they come in, so the rows of mixed_documents() get the places it gave them.
+    """
+    return _in_order(docs, weights, other, seed, block).select("row.doc_id", "row.text", "row.source", "slot", "position")
+
+
+def _in_order(docs: DataFrame, weights: dict[str, int], other: int, seed: int, block: int) -> DataFrame:
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    return _placed(rows, weights, other, seed, block) \
-        .repartitionByRange("position").sortWithinPartitions("position").select("row.*")
+    return _placed(rows, weights, other, seed, block).repartitionByRange("position").sortWithinPartitions("position")

@@ -261,9 +261,10 @@ def _encoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.Recor
         data, offsets = strings(batch.column("text"))
         for lo, hi in chunks(offsets):
             flat, at = words.ids(*unigram.parts(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]))
+            carried = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id")[lo:hi], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))],
-                ["doc_id", "ids"])
+                [*(batch.column(c)[lo:hi] for c in carried), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))],
+                [*carried, "ids"])
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
@@ -274,7 +275,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.Recor
             *batch.columns, pa.array([len(x) for x in ids], pa.int64()),
             pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
             pa.array([unigram.decode(x).decode("utf-8", "replace") for x in ids], pa.string())],
-            ["doc_id", "ids", "n_tokens", "ids_crc32", "text"])
+            [*batch.schema.names, "n_tokens", "ids_crc32", "text"])
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -294,9 +295,10 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         lambda batches: _decoded(batches, model), f"doc_id {kind}, ids array<int>, n_tokens long, ids_crc32 long, text string")
 
 
-def both_ways(docs: DataFrame, model: str) -> DataFrame:
-    """Encodes ``docs`` and decodes the ids, in one worker: the columns of decode()."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+def both_ways(docs: DataFrame, model: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Encodes ``docs`` and decodes the ids, in one worker: the columns of decode(), then those named in ``carried``. Rows keep their order."""
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", *carried))
+    return docs.select("doc_id", *carried, F.col("text").cast("string").alias("text")).mapInArrow(
         lambda batches: _decoded(_encoded(batches, model), model),
-        f"doc_id {kind}, ids array<int>, n_tokens long, ids_crc32 long, text string")
+        f"{kinds}, ids array<int>, n_tokens long, ids_crc32 long, text string") \
+        .select("doc_id", "ids", "n_tokens", "ids_crc32", "text", *carried)
