@@ -1,6 +1,7 @@
 """Near-duplicates, components and repeated byte strings against brute force."""
 
 import random
+from collections import Counter
 import sys
 from pathlib import Path
 
@@ -104,6 +105,26 @@ def test_repeats_equal_brute_force(spark, monkeypatch, seed):
     check_repeats(spark, rows)
 
 
+@pytest.mark.parametrize("size", [30, 70, 130])
+def test_a_common_line_is_no_single_task(spark, monkeypatch, size):
+    monkeypatch.setattr(suffix_dedup, "RANGE", 15)
+    rng = random.Random(size)
+    fill = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line, near, after = fill(size), [fill(k) for k in (20, 45, 90)], [fill(k) for k in (30, 60, 80)]
+    sides = lambda some: rng.choice(["", rng.choice(some), rng.choice(some)])
+    texts = [fill(rng.randrange(0, 120)) + sides(near) + line + sides(after) + fill(rng.randrange(0, 120)) for _ in range(250)]
+    parts, merged = Counter(), suffix_dedup._merged
+
+    def counted(runs):
+        for r in runs.collect():
+            parts[tuple(r[c] for c in runs.columns if c in ("part", "lo", "hi"))] += len(r["keys"]) // 8
+        return merged(runs)
+
+    monkeypatch.setattr(suffix_dedup, "_merged", counted)
+    check_repeats(spark, list(enumerate(texts)))
+    assert sum(parts.values()) > 250 and max(parts.values()) <= 4 * suffix_dedup.RANGE
+
+
 def test_repeats_with_repeated_and_missing_ids(spark):
     texts = some_texts(5, 12)
     check_repeats(spark, [(1, texts[0]), (1, texts[0]), (1, texts[1]), (None, texts[0]), (None, texts[2]), (0, texts[2]), (9, None), (9, None)])

@@ -14,12 +14,20 @@ carries common-prefix lengths puts the runs of one range together without
 looking at a known prefix twice. The prefix lengths of the sorted suffixes, and
 those of the sorted reversed left contexts, then say for every window around an
 anchor which anchors share it.
+
+A gram with very many contexts is not merged whole. Windows that begin ``lo``
+to ``hi`` bytes ahead of their anchor and are equal share ``lo`` bytes on its
+left and ``SPAN - hi`` on its right, so its anchors are dealt out by those bytes
+for each half of the offsets, and halves with groups that are still too large
+are halved again. At a single offset a group is one and the same window.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -72,12 +80,16 @@ def _cut(docs: DataFrame, as_text: bool) -> DataFrame:
         docs = numbered(docs.select(row, text), [F.col("row.doc_id").asc_nulls_last(), F.col("text")], "key")
     docs = docs.filter("key is not null")
     found = settle(_repeated(docs), "anchors")
-    sorted_ones = found.filter("several")
+    cold, hot = _by_heat(found)
     covered = found.filter("not several").select("key", "at") \
         .select("key", F.shiftright("at", 7).alias("pos"), F.col("at").bitwiseAND(127).alias("right")) \
         .select("key", F.greatest(F.col("pos") - LEFT, F.lit(0)).alias("start"), (F.col("pos") + F.col("right")).alias("end")) \
         .filter(F.col("end") - F.col("start") >= SPAN)
-    spans = covered.union(_merged(_runs(docs, sorted_ones)))
+    runs = _runs(docs, cold)
+    if hot is not None:
+        more, same = _dealt(docs, hot)
+        runs, covered = runs.union(more), covered.union(same)
+    spans = covered.union(_merged(runs))
     lists = spans.groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     schema = T.StructType([
         docs.schema["row"], T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -170,10 +182,14 @@ def _long(data: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _repeated(docs: DataFrame) -> DataFrame:
-    """``key, at, several``: anchors whose whole context is not the first of its kind, and with ``several`` one anchor for every context of a gram that has more than one.
+    """``key, at, several, gram, hot``: anchors whose whole context is not the first of its kind, and with ``several`` one anchor for every context of a gram that has more than one.
 
-    Equal contexts of a task are put together before the shuffle.
+    Equal contexts of a task are put together before the shuffle. ``gram`` is
+    the gram's hash where there are several; a gram of more than ``RANGE``
+    contexts has ``hot`` in one row.
     """
+    most = RANGE
+
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy()
@@ -199,25 +215,29 @@ def _repeated(docs: DataFrame) -> DataFrame:
             group = np.cumsum(new_gram)
             before = 0 if new_gram[0] else seen
             kinds = np.bincount(group, weights=new).astype(int)
+            ahead = np.concatenate(([0], np.cumsum(kinds)[:-1]))
+            ahead[0] -= before
             kinds[0] += before
             several = new & (kinds[group] > 1)
-            out = [(key[several], at[several], True), (key[~new], at[~new], False)]
+            nth = np.cumsum(new) - ahead[group]
+            out = [(key[several], at[several], True, gram[several], nth[several] == most + 1),
+                   (key[~new], at[~new], False, 0, False)]
             if before == 1 and kinds[0] > 1:
-                out.append((*first, True))
+                out.append((*first, True, last_gram, most == 0))
             for x in batch.column("more").drop_null():
                 pairs = np.frombuffer(x.as_buffer(), np.int64).reshape(2, -1)
-                out.append((pairs[0], pairs[1], False))
+                out.append((pairs[0], pairs[1], False, 0, False))
             seen = kinds[group[-1]]
             if group[-1]:
                 first = (key[new_gram][-1:], at[new_gram][-1:])
             last_gram, last_context = gram[-1], context[-1]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([o[0] for o in out])), pa.array(np.concatenate([o[1] for o in out])),
-                pa.array(np.concatenate([np.full(len(o[0]), o[2]) for o in out]))], ["key", "at", "several"])
+            filled = zip(*([np.broadcast_to(x, len(o[0])) for x in o] for o in out))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c)) for c in filled], ["key", "at", "several", "gram", "hot"])
 
     rows = docs.select("key", "text").mapInArrow(describe, "gram long, context long, key long, at long, more binary")
     return rows.repartition("gram").sortWithinPartitions("gram", "context", "key", "at") \
-        .mapInArrow(sift, "key long, at long, several boolean")
+        .mapInArrow(sift, "key long, at long, several boolean, gram long, hot boolean")
 
 
 def _gathered(key: np.ndarray, at: np.ndarray, gram: np.ndarray, context: np.ndarray) -> pa.RecordBatch:
@@ -235,6 +255,108 @@ def _gathered(key: np.ndarray, at: np.ndarray, gram: np.ndarray, context: np.nda
         ["gram", "context", "key", "at", "more"])
 
 
+def _by_heat(found: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``key, at`` of the anchors to be sorted: those of grams with few contexts, and those of hot grams, if there are any.
+
+    There is one hot gram at most for every ``RANGE`` anchors, so the list is short.
+    """
+    several = found.filter("several")
+    grams = several.filter("hot").select("gram")
+    if grams.isEmpty():
+        return several.select("key", "at"), None
+    grams = F.broadcast(grams)
+    return tuple(several.join(grams, "gram", how).select("key", "at") for how in ("left_anti", "left_semi"))
+
+
+def _lists(anchors: DataFrame) -> DataFrame:
+    return anchors.groupBy("key").agg(F.collect_list("at").alias("ats"))
+
+
+def _dealt(docs: DataFrame, anchors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The anchors of hot grams as runs of groups of at most ``RANGE``, and as ``key, start, end`` the repeats of windows that more anchors share.
+
+    An anchor goes to one group for each half of the offsets ``lo`` to ``hi`` at
+    which a window can begin ahead of it: that of the bytes all of those windows
+    have, and with no more bytes than one of them has. Larger groups are dealt
+    out by halves again.
+    """
+    most = RANGE
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = strings(batch.column("text"))
+            for i, key in enumerate(batch.column("key").to_pylist()):
+                text = data[offsets[i]:offsets[i + 1]]
+                ats = batch.column("ats")[i].values.to_numpy()
+                for n in range(0, len(ats), 10_000):
+                    some = ats[n:n + 10_000]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(some), key)), pa.array(some),
+                        pa.array([text[max(0, at - LEFT):at].tobytes() for at in (some >> 7).tolist()], pa.binary()),
+                        pa.array([text[at:at + SPAN].tobytes() for at in (some >> 7).tolist()], pa.binary())],
+                        ["key", "at", "left", "right"])
+
+    left, right = "substring(left, -{0}, {0})", f"substring(right, 1, {SPAN} - {{0}})"
+    level = settle(docs.select("key", "text").join(_lists(anchors), "key").select("key", "text", "ats").mapInArrow(
+        read, "key long, at long, left binary, right binary"), "hot") \
+        .withColumns({"lo": F.lit(0), "hi": F.lit(LEFT)})
+    runs, same = [], []
+    while True:
+        level = level.withColumn("half", F.explode(F.expr(
+            "array(struct(lo, (lo + hi) div 2 AS hi), struct((lo + hi) div 2 + 1 AS lo, hi))"))) \
+            .select("key", "at", "left", "right", F.col("half.lo").cast("int").alias("lo"), F.col("half.hi").cast("int").alias("hi")) \
+            .filter(f"length(left) >= lo AND length(right) >= {SPAN} - hi") \
+            .withColumns({"left": F.expr("substring(left, -least(hi, length(left)), hi)"), "right": F.expr(right.format("lo"))}) \
+            .withColumn("code", F.expr(f"xxhash64(lo, hi, {left.format('lo')}, {right.format('hi')})"))
+        size = level.groupBy("code").count()
+        large = F.col("count") > most
+        total = size.agg(F.sum(F.when(~large, F.col("count"))).alias("rows"), F.collect_list(F.when(large, F.col("code"))).alias("codes")).first()
+        codes = F.broadcast(docs.sparkSession.createDataFrame([(c,) for c in total.codes], "code long"))
+        if total.rows:
+            parts = max(1, -(-total.rows // most))
+            small = level.join(codes, "code", "left_anti") if total.codes else level
+            runs.append(_dealt_runs(small.withColumn("part", F.expr(f"int(pmod(code, {parts}))"))))
+        if not total.codes:
+            break
+        level = level.join(codes, "code", "left_semi")
+        window = level.filter("lo = hi").select(
+            "key", "at", "lo", F.expr(f"concat({left.format('lo')}, {right.format('lo')})").alias("window"))
+        firsts = window.groupBy("lo", "window").agg(F.min(F.struct("key", "at")).alias("first"))
+        start = F.shiftright("at", 7) - F.col("lo")
+        same.append(window.join(F.broadcast(firsts), ["lo", "window"]).filter(F.struct("key", "at") != F.col("first"))
+                    .select("key", start.alias("start"), (start + SPAN).alias("end")))
+        level = level.filter("lo < hi").select("key", "at", "left", "right", "lo", "hi")
+    none = docs.sparkSession.createDataFrame([], "key long, start long, end long")
+    return reduce(DataFrame.union, runs or [_dealt_runs(level.withColumn("part", F.lit(0)))]), reduce(DataFrame.union, same or [none])
+
+
+def _dealt_runs(groups: DataFrame) -> DataFrame:
+    """The suffixes of ``groups`` as sorted, front-coded runs: one row per task, run, range of offsets and part."""
+    most = RUN
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            lists = (batch.column(c).to_pylist() for c in ("lo", "hi", "part", "right", "left", "key", "at"))
+            rows += [((lo, hi, part), right, left[::-1], key, at) for lo, hi, part, right, left, key, at in zip(*lists)]
+            if len(rows) >= most:
+                yield coded(rows)
+                rows = []
+        if rows:
+            yield coded(rows)
+
+    def coded(rows: list[tuple]) -> pa.RecordBatch:
+        rows.sort()
+        cuts, at = [], 0
+        for group, some in groupby(r[0] for r in rows):
+            end = at + sum(1 for _ in some)
+            cuts.append((group, at, end))
+            at = end
+        return _coded([r[1:] for r in rows], cuts)
+
+    return groups.select("lo", "hi", "part", "right", "left", "key", "at").mapInArrow(write, _RUN)
+
+
 def _runs(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     """The suffixes at ``anchors`` as sorted, front-coded runs: one row per task, run and range.
 
@@ -244,13 +366,12 @@ def _runs(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     n = anchors.count()
     ranges, most = max(1, -(-n // RANGE)), RUN
     texts = docs.select("key", "text")
-    lists = lambda some: some.groupBy("key").agg(F.collect_list("at").alias("ats"))
     splitters: list[bytes] = []
     if ranges > 1:
         few = anchors.sample(min(1.0, 10 * ranges / n), seed=5).orderBy(F.xxhash64("key", "at")).limit(20 * ranges)
         grams = F.transform("ats", lambda at: F.substring(
             F.encode("text", "utf-8"), (F.shiftright(at, 7) + 1).cast("int"), GRAM))
-        got = texts.join(F.broadcast(lists(few)), "key").select(F.explode(grams).alias("gram")).collect()
+        got = texts.join(F.broadcast(_lists(few)), "key").select(F.explode(grams).alias("gram")).collect()
         got = sorted(bytes(r["gram"]) for r in got)
         splitters = sorted({got[len(got) * i // ranges] for i in range(1, ranges)}) if got else []
 
@@ -270,8 +391,7 @@ def _runs(docs: DataFrame, anchors: DataFrame) -> DataFrame:
         if rows:
             yield _front_coded(rows, splitters)
 
-    return texts.join(lists(anchors), "key").select("key", "text", "ats").mapInArrow(
-        write, "part int, prefix binary, size binary, rest binary, left_size binary, left binary, keys binary, ats binary")
+    return texts.join(_lists(anchors), "key").select("key", "text", "ats").mapInArrow(write, _RUN)
 
 
 def _prefixes(items: list[bytes], sizes: np.ndarray, width: int) -> np.ndarray:
@@ -282,30 +402,39 @@ def _prefixes(items: list[bytes], sizes: np.ndarray, width: int) -> np.ndarray:
     return np.concatenate(([0], np.minimum(first, np.minimum(sizes[1:], sizes[:-1])))).astype(np.uint8)
 
 
+#: A run: the offsets of the windows that are looked at, the range of the merge, and the anchors.
+_RUN = "lo int, hi int, part int, prefix binary, size binary, rest binary, left_size binary, left binary, keys binary, ats binary"
+
+
 def _front_coded(rows: list[tuple], splitters: list[bytes]) -> pa.RecordBatch:
     rows.sort()
-    sizes = np.array([len(r[0]) for r in rows], np.int64)
-    prefix = _prefixes([r[0] for r in rows], sizes, SPAN)
     cuts, at = [], 0
     suffixes = [r[0][:GRAM] for r in rows]
     while at < len(rows):
         part = bisect_right(splitters, suffixes[at])
         end = bisect_left(suffixes, splitters[part], at) if part < len(splitters) else len(rows)
-        cuts.append((part, at, end))
+        cuts.append(((0, LEFT, part), at, end))
         at = end
-    out: list[list] = [[] for _ in range(8)]
-    for part, lo, hi in cuts:
+    return _coded(rows, cuts)
+
+
+def _coded(rows: list[tuple], cuts: list[tuple]) -> pa.RecordBatch:
+    """A run for each of ``cuts``: its offsets and part, and which of ``rows`` it has, in the order of their suffixes."""
+    sizes = np.array([len(r[0]) for r in rows], np.int64)
+    prefix = _prefixes([r[0] for r in rows], sizes, SPAN)
+    out: list[list] = [[] for _ in range(10)]
+    for group, lo, hi in cuts:
         prefix[lo] = 0
         some = rows[lo:hi]
         for column, value in zip(out, (
-                part, prefix[lo:hi].tobytes(), sizes[lo:hi].astype(np.uint8).tobytes(),
+                *group, prefix[lo:hi].tobytes(), sizes[lo:hi].astype(np.uint8).tobytes(),
                 b"".join(r[0][p:] for r, p in zip(some, prefix[lo:hi].tolist())),
                 bytes(len(r[1]) for r in some), b"".join(r[1] for r in some),
                 np.array([r[2] for r in some], np.int64).tobytes(), np.array([r[3] for r in some], np.int64).tobytes())):
             column.append(value)
     return pa.RecordBatch.from_arrays(
-        [pa.array(out[0], pa.int32()), *(pa.array(c, pa.binary()) for c in out[1:])],
-        ["part", "prefix", "size", "rest", "left_size", "left", "keys", "ats"])
+        [*(pa.array(c, pa.int32()) for c in out[:3]), *(pa.array(c, pa.binary()) for c in out[3:])],
+        ["lo", "hi", "part", "prefix", "size", "rest", "left_size", "left", "keys", "ats"])
 
 
 def _read_run(prefix: bytes, size: bytes, rest: bytes) -> list[bytes]:
@@ -385,7 +514,8 @@ def merge_runs(runs: list[list[bytes]], prefixes: list[bytes]) -> tuple[list[int
 def _merged(runs: DataFrame) -> DataFrame:
     """``key, start, end``: what the anchors of each range cover of windows that start earlier elsewhere."""
 
-    def merge(_, group):
+    def merge(of, group):
+        lo, hi, _ = (x.as_py() for x in of)
         read = {c: group.column(c).to_pylist() for c in group.column_names}
         suffixes = [_read_run(*x) for x in zip(read["prefix"], read["size"], read["rest"])]
         order, common = merge_runs(suffixes, read["prefix"])
@@ -398,13 +528,14 @@ def _merged(runs: DataFrame) -> DataFrame:
         order = np.array(order)
         right = np.frombuffer(b"".join(read["size"]), np.uint8).astype(np.int64)
         keys, ats = (np.frombuffer(b"".join(read[c]), np.int64) for c in ("keys", "ats"))
-        return pa.table(dict(zip(("key", "start", "end"), _covered(order, np.array(common), right, lefts, keys, ats))))
+        return pa.table(dict(zip(("key", "start", "end"), _covered(order, np.array(common), right, lefts, keys, ats, lo, hi))))
 
-    return runs.groupBy("part").applyInArrow(merge, "key long, start long, end long")
+    return runs.groupBy("lo", "hi", "part").applyInArrow(merge, "key long, start long, end long")
 
 
 def _covered(order: np.ndarray, common: np.ndarray, right: np.ndarray, lefts: list[bytes], keys: np.ndarray,
-             ats: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+             ats: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What is covered by windows that begin ``least`` to ``most`` bytes ahead of their anchor."""
     n = len(order)
     left = np.array([len(x) for x in lefts], np.int64)
     back = np.array(sorted(range(n), key=lefts.__getitem__))
@@ -412,7 +543,7 @@ def _covered(order: np.ndarray, common: np.ndarray, right: np.ndarray, lefts: li
     first = np.lexsort((ats, keys))
     low, high = np.full(n, SPAN), np.full(n, -1)
     behind, ahead = np.empty(n, np.int64), np.empty(n, np.int64)
-    for o in range(LEFT + 1):
+    for o in range(least, most + 1):
         behind[back] = np.cumsum(shared < o)
         ahead[order] = np.cumsum(common < SPAN - o)
         some = first[(left[first] >= o) & (right[first] >= SPAN - o)]
