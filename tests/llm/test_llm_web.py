@@ -85,6 +85,27 @@ def test_cut_off_pages(model):
         assert whole.startswith(main_text(page[:n], model).rstrip("&")[:60][:20])
 
 
+@pytest.mark.parametrize("attribute", [
+    'aria-hidden="false"', 'title="a hidden gem"', 'data-x=\'hidden\'', 'data-hidden', 'data-x = hidden', 'class="x hidden y"', 'data-x="a > hidden >"',
+    'x=y/hidden', "data-id='hidden'"])
+def test_only_an_attribute_named_hidden_hides(model, attribute):
+    page = f"<body><article {attribute}><h1>Head</h1><p {attribute}>{LINE}<a {attribute} href=/blog/hidden/x>link</a></p></article></body>"
+    assert main_text(page, model) == f"Head\n\n{LINE}link"
+
+
+@pytest.mark.parametrize("attribute", ["hidden", 'HIDDEN=""', "class=a hidden", "class='a'hidden id=b", "hidden=hidden", 'a="hidden" hidden/', "a/hidden"])
+def test_hidden_elements_give_no_text(model, attribute):
+    assert main_text(f"<body><article><h1>Head</h1><p {attribute}>{LINE}no</p><p>{LINE}</p></article></body>", model) == f"Head\n\n{LINE.strip()}"
+
+
+@pytest.mark.parametrize("start", ["<body>", "<BODY class=x>", "", "</head>", "<head>", "<header><p>x</header>"])
+def test_a_head_need_not_be_closed(model, start):
+    head = "<html><head><meta charset=utf-8><title>no</title>\n<script>no()</script><link rel=x> <style>no</style>\n"
+    assert main_text(f"{head}{start}<article><h1>Head</h1><p>{LINE}</p></article>", model).endswith(f"Head\n\n{LINE.strip()}")
+    seen = lambda html: [n.text for n in ordered(parse(html)) if n.text]
+    assert seen(f"{head}Some <b>text</b>") == ["Some text"] and seen(f"{head}<b>text</b>") == ["text"] and seen(head) == []
+
+
 def test_extract(spark):
     rows = [(1, "u", f"<article><h1>T</h1><p>{LINE}</p></article>", 5), (2, None, None, 6), (3, "u", "", 7), (3, "u", "", 7), (None, None, "<p>", 8)]
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()

@@ -27,6 +27,8 @@ from tramline.llm.labelled_pages import PAGES
 # Elements by kind, as HTML has them.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template iframe textarea title xmp noembed noframes".split())
+# What an open head may hold; all else ends it.
+HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 UNSEEN = RAW | set("head select button object audio video canvas svg math map datalist option".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
@@ -40,7 +42,7 @@ WALLS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|data-main|data-not)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?(?=[\s/>])""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+")
 
 SMOOTH = 0.02
@@ -66,7 +68,7 @@ def _attributes(tag: str) -> tuple[tuple[str, ...], bool | None, bool]:
     """Words of class, id and role; a label, if the tag bears one; whether it is hidden."""
     names: list[str] = []
     label, hidden = None, False
-    for key, a, b, c in _ATTRIBUTE.findall(tag[1:]):
+    for key, a, b, c in _ATTRIBUTE.findall(tag, _NAME.match(tag).end()):
         key = key.lower()
         if key == "data-main":
             label = True
@@ -74,7 +76,7 @@ def _attributes(tag: str) -> tuple[tuple[str, ...], bool | None, bool]:
             label = False
         elif key == "hidden":
             hidden = True
-        else:
+        elif key in ("class", "id", "role"):
             value = a or b or c
             names += [w.lower() for w in _WORDS.findall(value)] or [value.lower()[:20]]
     return tuple(sorted(set(names)))[:12], label, hidden
@@ -115,6 +117,8 @@ def parse(html: str) -> Node:
 
     def say(raw: str) -> None:
         nonlocal linked
+        if opened[-1][0] == "head" and raw.strip():
+            close(len(opened) - 1)
         if raw and not opened[-1][3]:
             text = unescape(raw) if "&" in raw else raw
             run.append(text)
@@ -146,6 +150,11 @@ def parse(html: str) -> Node:
             if tag == "p" and not any(o[0] == "p" for o in opened):
                 flush()
             continue
+        if opened[-1][0] == "head":
+            if tag == "head":
+                continue
+            if tag not in HEAD:
+                close(len(opened) - 1)
         if tag == "br":
             run.append(" ")
             continue
