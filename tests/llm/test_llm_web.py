@@ -106,6 +106,14 @@ def test_a_head_need_not_be_closed(model, start):
     assert seen(f"{head}Some <b>text</b>") == ["Some text"] and seen(f"{head}<b>text</b>") == ["text"] and seen(head) == []
 
 
+def test_all_words_of_a_class_count(model):
+    words = "wp block group alignfull has background is layout flow container core entry related posts sidebar widget".split()
+    box = parse(f'<body><div class="{" ".join(words)}" id="{"7" * 30}" role="{"8" * 20}"><p>x</p></div></body>').children[0].children[0]
+    assert box.names == tuple(sorted([*words, "7" * 30, "8" * 20]))
+    page = f"<body><article class=content><h1>Head</h1><p>{LINE * 3}</p></article><div class=\"{' '.join(words)} share social sponsored\"><p>{LINE * 2}</p></div></body>"
+    assert main_text(page, model) == f"Head\n\n{(LINE * 3).strip()}"
+
+
 def test_extract(spark):
     rows = [(1, "u", f"<article><h1>T</h1><p>{LINE}</p></article>", 5), (2, None, None, 6), (3, "u", "", 7), (3, "u", "", 7), (None, None, "<p>", 8)]
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()

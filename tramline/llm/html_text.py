@@ -78,8 +78,8 @@ def _attributes(tag: str) -> tuple[tuple[str, ...], bool | None, bool]:
             hidden = True
         elif key in ("class", "id", "role"):
             value = a or b or c
-            names += [w.lower() for w in _WORDS.findall(value)] or [value.lower()[:20]]
-    return tuple(sorted(set(names)))[:12], label, hidden
+            names += [w.lower() for w in _WORDS.findall(value)] or [value.lower()]
+    return tuple(sorted(set(names))), label, hidden
 
 
 def parse(html: str) -> Node:
