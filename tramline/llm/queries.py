@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import html_text, merkle, mixing, near_dedup, pieces, suffix_dedup, token_files, toxicity, vector_tree, warc
+from tramline.llm import alignment, html_text, merkle, mixing, near_dedup, pieces, suffix_dedup, token_files, toxicity, vector_tree, warc, word_table
 from tramline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,16 @@ def _(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op11_words_both_ways")
+def _(spark, sf_dir):
+    return word_table.both_ways(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op12_align_tokenizers")
+def _(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 _NAMES = sorted([*WEIGHTS, mixing.OTHER])
 _TARGETS = ", ".join(f"({i + 1}, '{n}', {WEIGHTS.get(n, OTHER_WEIGHT)})" for i, n in enumerate(_NAMES))
 _TOTAL = sum(WEIGHTS.values()) + OTHER_WEIGHT
