@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.llm import alignment, html_text, merkle, mixing, near_dedup, pieces, suffix_dedup, token_files, toxicity, vector_tree, warc, word_table
+from tramline.llm import alignment, conversations, html_text, merkle, mixing, near_dedup, pieces, suffix_dedup, token_files, toxicity, vector_tree, warc, word_table
 from tramline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,11 @@ def _(spark, sf_dir):
     return alignment.align(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
 
 
+@query("op13_repair_conversations")
+def _(spark, sf_dir):
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
 _NAMES = sorted([*WEIGHTS, mixing.OTHER])
 _TARGETS = ", ".join(f"({i + 1}, '{n}', {WEIGHTS.get(n, OTHER_WEIGHT)})" for i, n in enumerate(_NAMES))
 _TOTAL = sum(WEIGHTS.values()) + OTHER_WEIGHT
