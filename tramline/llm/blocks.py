@@ -1,7 +1,7 @@
 """Texts as blocks: the distinct parts of a bounded stretch of documents once, and each document as places in them.
 
 A block is a file in the shared folder, written by one task: the block's
-distinct parts, then one array of places per document. Its parts can travel
+distinct parts by falling frequency, then one array of places per document. Its parts can travel
 through shuffles, each once a block, while the documents stay where they are;
 what was worked out for the parts is joined back to the documents by position.
 A block holds at most ``most_bytes`` of text (one document at least), so
@@ -55,13 +55,17 @@ def split(text: str) -> list[str]:
     return parts
 
 
-def _packed(batch: pa.RecordBatch) -> bytes:
+def packed(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
+#: Places are written byte by byte, each in a column of its own.
+_PLANES = (0, 8, 16, 24)
+
+
 class _Block:
     def __init__(self) -> None:
         self.places: dict[str, int] = defaultdict()
@@ -78,11 +82,17 @@ class _Block:
 
     def written(self, folder: str, place: int, sequence: int) -> dict:
         counts = np.fromiter(map(len, self.arrays), np.int32, len(self.arrays))
-        parts = _packed(pa.RecordBatch.from_arrays([pa.array(list(self.places), pa.large_string())], ["part"]))
-        docs = _packed(pa.RecordBatch.from_arrays([pa.array(self.keys, pa.int64()), pa.array(counts)], ["key", "n"]))
         flat = np.concatenate([np.zeros(0, np.int32), *self.arrays])
+        # Frequent parts get the small numbers, whose high bytes are mostly zeros.
+        order = np.argsort(-np.bincount(flat, minlength=len(self.places)), kind="stable")
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order))
+        flat = rank[flat]
+        parts = packed(pa.RecordBatch.from_arrays([pa.array(list(self.places), pa.large_string()).take(pa.array(order))], ["part"]))
+        docs = packed(pa.RecordBatch.from_arrays([pa.array(self.keys, pa.int64()), pa.array(counts)], ["key", "n"]))
+        planes = [pa.array((flat >> shift).astype(np.uint8)) for shift in _PLANES]
         file = Output(folder, f"block-{place}-{sequence}", ".blk")
-        for data in (parts, docs, _packed(pa.RecordBatch.from_arrays([pa.array(flat)], ["place"]))):
+        for data in (parts, docs, packed(pa.RecordBatch.from_arrays(planes, [f"bits{x}" for x in _PLANES]))):
             file.write(len(data).to_bytes(8, "little"))
             file.write(data)
         file.close()
@@ -138,7 +148,7 @@ class Block:
         with open_stream(url) as file:
             self.parts = _stream(file).column(0)
             docs = _stream(file)
-            self.places = _stream(file).column(0).to_numpy(zero_copy_only=False)
+            self.places = sum(plane.to_numpy().astype(np.int32) << shift for plane, shift in zip(_stream(file).columns, _PLANES))
         self.keys = docs.column("key")
         self.at = np.concatenate(([0], np.cumsum(docs.column("n").to_numpy(), dtype=np.int64)))
 

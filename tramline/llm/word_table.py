@@ -19,6 +19,7 @@ import hashlib
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.blocks import BLOCK_BYTES, ROWS, Block, read_parts, spread, write_blocks
+from tramline.llm.blocks import Block, packed, read_parts, spread, write_blocks
 from tramline.llm.common import strings
 
 
+#: Text of one block: larger blocks send fewer words, smaller ones take less memory of a worker.
+BLOCK_BYTES = 32 << 20
+
+
 @lru_cache(maxsize=2)
 def tokenizer(vocabulary: str, plain: bool = False):
     """The library's tokenizer; with ``plain``, strings of special tokens inside a text are ordinary text."""
@@ -74,19 +79,46 @@ def encoded(words: list[str], vocabulary: str) -> list[np.ndarray]:
     return [np.array(e.ids, "<u4") for e in tokenizer(vocabulary).encode_batch_fast(words, add_special_tokens=False)]
 
 
+def _pack(*columns: pa.Array) -> bytes:
+    return packed(pa.RecordBatch.from_arrays(list(columns), [str(i) for i in range(len(columns))]))
+
+
+def _unpack(data: bytes) -> list[pa.Array]:
+    with pa.ipc.open_stream(data) as reader:
+        return reader.read_next_batch().columns
+
+
 def encoded_parts(manifest: DataFrame, vocabulary: str) -> DataFrame:
-    """``block, place, ids binary`` (little-endian unsigned 32-bit): every distinct word encoded once, for all its places."""
+    """``block, found binary``: packs of places and ids (``unpacked``); every distinct word is encoded once, for all its places.
+
+    The words of a block travel in packs by a hash of the word, and so do the
+    ids of a task by block: fewer and smaller rows, which become words again
+    where they are sorted.
+    """
+    spark = manifest.sparkSession
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, url in zip(batch.column("block").to_pylist(), batch.column("url").to_pylist()):
                 parts = read_parts(url)
-                for lo in range(0, len(parts), ROWS):
-                    some = parts[lo:lo + ROWS].cast(pa.string())
+                bucket = np.fromiter((crc32(x.as_buffer()) % buckets for x in parts.cast(pa.large_binary())), np.int64, len(parts))
+                order = np.argsort(bucket, kind="stable")
+                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                filled = np.flatnonzero(np.diff(cuts))
+                for lo in range(0, len(filled), 64):
+                    some = filled[lo:lo + 64]
+                    places = [pa.array(np.sort(order[cuts[i]:cuts[i + 1]]).astype(np.int32)) for i in some]
                     yield pa.RecordBatch.from_arrays([
-                        some, pa.array(np.full(len(some), block)), pa.array(np.arange(lo, lo + len(some), dtype=np.int32))],
-                        ["word", "block", "place"])
+                        pa.array(some.astype(np.int32)), pa.array(np.full(len(some), block)),
+                        pa.array([_pack(parts.take(x), x) for x in places], pa.binary())], ["bucket", "block", "pack"])
 
-    encode = encoded
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, pack in zip(batch.column("block").to_pylist(), batch.column("pack")):
+                some, places = _unpack(pack.as_buffer())
+                yield pa.RecordBatch.from_arrays(
+                    [some.cast(pa.string()), pa.array(np.full(len(some), block)), places], ["word", "block", "place"])
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, None
@@ -94,18 +126,43 @@ def encoded_parts(manifest: DataFrame, vocabulary: str) -> DataFrame:
             # Equal words are neighbours: a new word begins where a row differs from the one before.
             some = batch.column("word").to_pylist()
             fresh = [w for i, w in enumerate(some) if w != (some[i - 1] if i else last)]
-            ids = iter(encode(fresh, vocabulary))
+            ids = iter(encoded(fresh, vocabulary))
             out = []
             for word in some:
                 if word != last:
                     last, known = word, next(ids).tobytes()
                 out.append(known)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("place"), pa.array(out, pa.binary())], ["block", "place", "ids"])
-
-    return spread(manifest.sparkSession, manifest).mapInArrow(words, "word string, block long, place int") \
-        .repartition("word").sortWithinPartitions("word") \
-        .mapInArrow(once, "block long, place int, ids binary")
+            found, block = pa.array(out, pa.large_binary()), batch.column("block").to_numpy()
+            order = np.lexsort((batch.column("place").to_numpy(), block))
+            blocks, cuts = np.unique(block[order], return_index=True)
+            cuts = [*cuts.tolist(), len(order)]
+            packs = []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                mine = pa.array(order[a:b])
+                data, ends = strings(found.take(mine))
+                packs.append(_pack(batch.column("place").take(mine), pa.array(np.diff(ends).astype(np.int32)))
+                             + _pack(pa.array(np.frombuffer(data, "<u4"))))
+            yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(packs, pa.binary())], ["block", "found"])
+
+    return spread(spark, manifest).mapInArrow(words, "bucket int, block long, pack binary") \
+        .repartition("bucket").mapInArrow(apart, "word string, block long, place int").sortWithinPartitions("word") \
+        .mapInArrow(once, "block long, found binary")
+
+
+def unpacked(packs: pa.ChunkedArray) -> pa.Array:
+    """The ids (little-endian unsigned 32-bit) of a block's words, each at its place."""
+    places, widths, flats = [], [], []
+    for pack in packs:
+        stream = pa.BufferReader(pack.as_buffer())
+        for into in ((places, widths), (flats,)):
+            with pa.ipc.open_stream(stream) as reader:
+                for column, values in zip(into, reader.read_next_batch().columns):
+                    column.append(values.to_numpy())
+                reader.read_all()
+    place, width, flat = (np.concatenate([np.zeros(0, x), *c]) for x, c in ((np.int32, places), (np.int32, widths), (np.uint32, flats)))
+    ends = np.concatenate(([0], np.cumsum(width, dtype=np.int64)))
+    ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(place), [None, pa.py_buffer(ends), pa.py_buffer(flat.tobytes())])
+    return ids.take(pa.array(np.argsort(place)))
 
 
 Rows = Callable[[Block, int, int, memoryview, np.ndarray], list[pa.Array]]
@@ -117,11 +174,8 @@ def _per_document(docs: DataFrame, key: str, text: str, vocabulary: str, rows: R
 
     def together(at: tuple, parts: pa.Table, found: pa.Table) -> pa.Table:
         block = Block(found.column("url")[0].as_py())
-        data, ends = strings(parts.column("ids").cast(pa.large_binary()))
-        order = np.argsort(parts.column("place").to_numpy())
-        ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(order), [None, pa.py_buffer(ends), pa.py_buffer(data)])
-        ids = ids.take(pa.array(order))
-        width = np.diff(ends)[order]
+        ids = unpacked(parts.column("found"))
+        width = np.diff(strings(ids)[1])
         batches = [pa.RecordBatch.from_arrays(rows(block, lo, hi, *block.gathered(ids, lo, hi)), names)
                    for lo, hi in block.packs(width)]
         return pa.Table.from_batches(batches)
