@@ -13,6 +13,8 @@ from tramline.session import settle, shared_base, shared_dir
 
 #: Bytes of text that a Python task looks at at once; a longer text is looked at alone.
 CHUNK = 1 << 19
+#: Characters of a text that tell ranges apart: what is sampled for them stays short.
+PREFIX = 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,14 +117,15 @@ def unique_ids(df: DataFrame, key: str) -> bool:
     return twice.isEmpty()
 
 
-def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+def numbered(df: DataFrame, order: list, name: str, ranges: list | None = None) -> DataFrame:
     """``df`` with its rows numbered from 0 in the global order of ``order``.
 
-    Rows are dealt out by range and sorted where they lie; only one count per
-    partition comes to the driver.
+    Rows are dealt out by ranges of ``ranges``, short keys that never go against
+    ``order`` (a sample of them comes to the driver), and sorted where they lie;
+    besides, only one count per partition comes to the driver.
     """
     placed = settle(
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df.repartitionByRange(*(ranges or order)).sortWithinPartitions(*order)
         .withColumn(name, F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(F.col(name), 33)
     before, start = 0, {}

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.common import Rolling, chunks, numbered, settle, strings, unique_ids
+from tramline.llm.common import PREFIX, Rolling, chunks, numbered, settle, strings, unique_ids
 
 SPAN = 100
 GRAM = 24
@@ -77,7 +77,8 @@ def _cut(docs: DataFrame, as_text: bool) -> DataFrame:
     if unique_ids(docs, "doc_id"):
         docs = docs.select(row, text, F.col("doc_id").cast("long").alias("key"))
     else:
-        docs = numbered(docs.select(row, text), [F.col("row.doc_id").asc_nulls_last(), F.col("text")], "key")
+        docs = numbered(docs.select(row, text), [F.col("row.doc_id").asc_nulls_last(), F.col("text")], "key",
+                        [F.col("row.doc_id").asc_nulls_last(), F.substring("text", 1, PREFIX)])
     docs = docs.filter("key is not null")
     found = settle(_repeated(docs), "anchors")
     cold, hot = _by_heat(found)

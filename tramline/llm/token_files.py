@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tramline.llm.common import chunks, settle, strings
+from tramline.llm.common import PREFIX, chunks, settle, strings
 from tramline.llm.files import Output, make_folder, open_random
 from tramline.llm.word_pool import WordPool
 from tramline.session import shared_dir
@@ -39,7 +39,7 @@ TRAILER = struct.Struct("<QQ4s")
 FILE_BYTES = 64 << 20
 #: Documents, and bytes of the ids of each, that the dictionary is trained on; it shapes sizes, not contents.
 TRAINED_DOCUMENTS = 2000
-TRAINED_BYTES = 1 << 16
+TRAINED_BYTES = 1 << 12
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 
@@ -178,7 +178,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
         if writer:
             yield writer.finished(place, sequence)
 
-    manifest = docs.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text") \
+    ranges = [order[0], F.substring("text", 1, PREFIX)]
+    manifest = docs.repartitionByRange(*ranges).sortWithinPartitions(*order).select("doc_id", "text") \
         .mapInArrow(write, "url string, place int, sequence int, n_documents long, n_tokens long")
     manifest.write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
