@@ -178,3 +178,31 @@ def test_deduplicated_keeps_all_columns(spark):
     assert out.columns == docs.columns
     assert {r.doc_id: r.text for r in out.collect()} == {
         i: kept.decode("utf-8", "ignore") for i, (_, _, _, kept) in enumerate(brute.repeats([texts[i % 10] for i in range(20)]))}
+
+
+def test_short_near_copies_put_out_few_pairs(spark, monkeypatch):
+    """A thousand texts of 30 words, three of them changed: all in few buckets, few of them 80 % alike."""
+    import random
+
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(30)]
+    rows = []
+    for i in range(1000):
+        words = list(base)
+        for at in rng.sample(range(30), 3):
+            words[at] = f"x{rng.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, whole = [], near_dedup.Scratch.settle
+
+    def noted(self, df, label):
+        out = whole(self, df, label)
+        if label == "pairs":
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup.Scratch, "settle", noted)
+    settings = near_dedup.Settings(words=2, block=300)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, settings).collect())
+    assert got == sorted(brute.near(rows, 2))
+    assert kept and kept[0] <= 4000, kept

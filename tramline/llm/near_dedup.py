@@ -8,11 +8,11 @@ for sets that are much alike. Only pairs whose sketches are close are checked
 on the full sets, and only a checked pair is a link.
 
 Comparisons within a band's bucket are first with its smallest member. That
-connects nearly all there is; buckets that still hold several components are
-then compared block by block, member against member of another component, by
-sketches and then by shingles, until the components of a block are settled. So
-no link is lost in a bucket of any size, no bucket meets in one task as a whole,
-and a block puts out no more pairs than it has components to connect.
+connects nearly all there is; of buckets that still hold several components the
+members outside the largest one are then compared with all others, block by
+block, by sketches and then on full sets, until the components of a block are
+settled. So no link is lost in a bucket of any size, no bucket meets in one task
+as a whole, and a block puts out fewer pairs than it has components to connect.
 """
 
 from __future__ import annotations
@@ -38,7 +38,8 @@ class Settings:
     With 40 bands of 5 values a pair at 80 % shares no band once in eight
     million pairs. ``slack`` is how many bits more than expected at ``percent``
     two sketches may differ before a pair is dropped unchecked: six standard
-    deviations. ``block`` bounds the members of a bucket that meet in one task.
+    deviations. ``block`` bounds the members of a bucket that meet in one task,
+    ``block_shingles`` about the shingles they have together.
     """
     words: int = 5
     percent: int = 80
@@ -47,6 +48,7 @@ class Settings:
     bits: int = 1024
     slack: int = 70
     block: int = 1000
+    block_shingles: int = 2_000_000
 
     @property
     def most_bits(self) -> int:
@@ -69,10 +71,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     signed = scratch.settle(signatures(docs, settings), "signatures")
     sets = signed.filter("doc_id is not null and n_shingles > 0")
     classes = scratch.settle(sets.groupBy("set_hash").agg(
-        F.min("doc_id").alias("id"), F.any_value("sketch").alias("sketch"), F.any_value("bands").alias("bands")), "sets")
-    buckets = classes.select(F.col("set_hash").alias("set"), F.explode("bands").alias("band"))
-    shared = buckets.groupBy("band").agg(F.min("set").alias("lead"), F.count("*").alias("members")).filter("members > 1")
-    buckets = scratch.settle(buckets.join(shared, "band"), "buckets")
+        F.min("doc_id").alias("id"), F.any_value("sketch").alias("sketch"), F.any_value("bands").alias("bands"),
+        F.any_value("n_shingles").alias("n")), "sets")
+    buckets = classes.select(F.col("set_hash").alias("set"), "n", F.explode("bands").alias("band"))
+    shared = buckets.groupBy("band").agg(
+        F.min("set").alias("lead"), F.count("*").alias("members"), F.sum("n").alias("shingles")).filter("members > 1")
+    buckets = scratch.settle(buckets.drop("n").join(shared, "band"), "buckets")
 
     # Of the first members of its buckets a set is compared with the one it shares most buckets with, and the smallest.
     leads = buckets.filter("set != lead").groupBy("set").agg(F.mode("lead", True).alias("most"), F.min("lead").alias("least"))
@@ -82,7 +86,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     found = checkpointed(components(links))
     rest = checkpointed(_across(buckets, found, classes, docs, settings, scratch))
     if not rest.isEmpty():
-        found = _merged(found, _linked(rest, classes, docs, settings))
+        found = _merged(found, rest)
     least = classes.join(found.withColumnRenamed("node", "set_hash"), "set_hash") \
         .select("set_hash", "component", "id")
     smallest = least.groupBy("component").agg(F.min("id").alias("component_id"))
@@ -178,9 +182,8 @@ def _texts(docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
         .join(wanted, "id").select("set_hash", "text")
 
 
-def _packed(texts: DataFrame, settings: Settings, kind: str) -> DataFrame:
-    """``set_hash, shingles``: the sorted set of each text as bytes, of whole hashes (``<u8``) or their upper halves (``<u4``)."""
-    shift = np.uint64(0 if kind == "<u8" else 32)
+def _packed(texts: DataFrame, settings: Settings) -> DataFrame:
+    """``set_hash, shingles``: the sorted set of each text as bytes (``<u8``)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +191,7 @@ def _packed(texts: DataFrame, settings: Settings, kind: str) -> DataFrame:
             for lo, hi in chunks(offsets):
                 sets = shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], settings.words)
                 part = pa.RecordBatch.from_arrays(
-                    [batch.column("set_hash")[lo:hi], pa.array([(s >> shift).astype(kind).tobytes() for s in sets], pa.binary())],
+                    [batch.column("set_hash")[lo:hi], pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
                     ["set_hash", "shingles"])
                 hashes = np.array([_set_hash(s) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
                 yield part.filter(pa.array(hashes == part.column("set_hash").to_numpy()))
@@ -199,42 +202,57 @@ def _packed(texts: DataFrame, settings: Settings, kind: str) -> DataFrame:
 def _across(
     buckets: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings, scratch: Scratch,
 ) -> DataFrame:
-    """Pairs ``a, b`` that connect components within buckets that hold several.
-
-    A bucket is cut into blocks of about ``block`` members by hash; each pair of
-    blocks is a group of its own, and a pair of members is looked at in the
-    first of the buckets that it shares. Sketches first tell which members of a
-    group are close to one of another component. Only these are then compared,
-    on the upper halves of their shingles' hashes, which lose no shared shingle.
-    A pair that is linked whatever halves collide joins its components for the
-    group, so further pairs of theirs are not looked at; a pair on the edge is
-    only put out. Of all groups one pair for each two components goes on, or the
-    pairs on the edge where there is no other.
+    """Links ``a, b`` that connect components within buckets that hold several.
+
+    All links that are missing have an end outside the largest component of
+    their bucket. So the members outside are its guests: guests and members are
+    cut into blocks by hash, and each block of members and block of guests is a
+    group of its own. Members of the largest component go to as many groups as
+    there are blocks of guests, mostly one. Sketches first tell which members
+    of a group are close to a guest of another component; only these are then
+    compared, on their full sets, and a pair that is linked joins its
+    components for the group. A group so puts out fewer pairs than it has
+    components, and of all groups one pair for each two components goes on. A
+    pair is looked at in the first of the buckets that it shares.
     """
-    labelled = buckets.select("band", "set", "members").join(found.withColumnRenamed("node", "set"), "set", "left") \
-        .select("band", "set", "members", F.coalesce("component", "set").alias("component"))
-    several = labelled.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y")
-    mixed_ones = labelled.join(several.select("band"), "band", "left_semi")
-    sides = F.ceil(F.col("members") / settings.block).cast("int")
+    labelled = buckets.select("band", "set", "members", "shingles") \
+        .join(found.withColumnRenamed("node", "set"), "set", "left") \
+        .select("band", "set", "members", "shingles", F.coalesce("component", "set").alias("component"))
+    several = labelled.groupBy("band", "component").agg(
+        F.count("*").alias("n"), F.any_value("members").alias("members"), F.any_value("shingles").alias("shingles")) \
+        .groupBy("band").agg(
+            F.count("*").alias("components"), F.max(F.struct("n", "component")).alias("largest"),
+            F.any_value("members").alias("members"), F.any_value("shingles").alias("shingles")) \
+        .filter("components > 1")
+    # Blocks are bounded by members and, on average, by shingles, so that long texts fit as well.
+    dense = F.greatest(F.lit(1.0 / settings.block), F.col("shingles") / F.col("members") / settings.block_shingles)
+    several = several.select(
+        "band", F.col("largest.component").alias("largest"), F.ceil(F.col("members") * dense).cast("int").alias("sides"),
+        F.ceil((F.col("members") - F.col("largest.n")) * dense).cast("int").alias("guest_sides"))
     looks = classes.select(F.col("set_hash").alias("set"), "sketch", "bands")
-    cells = mixed_ones.join(looks, "set").withColumn("sides", sides) \
-        .withColumn("own", F.pmod(F.xxhash64("set"), F.col("sides")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1))) \
-        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "component",
-                "sketch", "bands")
+    mixed_ones = labelled.select("band", "set", "component").join(several, "band").join(looks, "set")
+
+    def block(sides):
+        return F.pmod(F.xxhash64("set"), F.col(sides)).cast("int")
+
+    def every(sides):
+        return F.explode(F.sequence(F.lit(0), F.col(sides) - 1))
+
+    columns = ["band", "i", "j", "guest", "set", "component", "sketch", "bands"]
+    cells = mixed_ones.withColumns({"i": block("sides"), "guest": F.lit(False)}).withColumn("j", every("guest_sides")).select(columns) \
+        .union(mixed_ones.filter("component != largest").withColumns({"j": block("guest_sides"), "guest": F.lit(True)})
+               .withColumn("i", every("sides")).select(columns))
     group = ["band", "i", "j"]
 
     def near_pairs(key, group, label):
-        """Places x and arrays of places y of close members of the two blocks whose labels differ just then."""
-        band, i, j = (k.as_py() for k in key)
-        own = group.column("own").to_numpy()
-        bits = group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(own), -1)
-        bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(own), -1)
-        right = np.flatnonzero(own == j)
-        for x in np.flatnonzero(own == i):
-            other = right[label[right] != label[x]]
-            if i == j:
-                other = other[other > x]
+        """Places x of members and arrays of places y of close guests whose labels differ just then."""
+        band = key[0].as_py()
+        guest = group.column("guest").to_numpy()
+        bits = group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(guest), -1)
+        bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(guest), -1)
+        guests = np.flatnonzero(guest)
+        for x in np.flatnonzero(~guest):
+            other = guests[label[guests] != label[x]]
             near = other[np.bitwise_count(bits[other] ^ bits[x]).sum(axis=1) <= settings.most_bits]
             near = near[bands[near, (bands[near] == bands[x]).argmax(axis=1)] == band]
             if len(near):
@@ -246,52 +264,45 @@ def _across(
         for x, near in near_pairs(key, group, label):
             some[x] = True
             some[near] = True
-        return group.select(["band", "i", "j", "own", "set", "component"]).filter(pa.array(some))
+        return group.select(["band", "i", "j", "guest", "set", "component"]).filter(pa.array(some))
 
-    kind = "band long, i int, j int, own int, set long, component long"
+    kind = "band long, i int, j int, guest boolean, set long, component long"
     close = scratch.settle(cells.groupBy(*group).applyInArrow(sift, kind), "close")
-    halves = _packed(_texts(docs, classes, close), settings, "<u4").withColumnRenamed("set_hash", "set")
+    sets = _packed(_texts(docs, classes, close), settings).withColumnRenamed("set_hash", "set")
 
     def compare(key, group):
         ids, component = (group.column(c).to_numpy() for c in ("set", "component"))
-        shingles = [np.frombuffer(x.as_buffer(), "<u4") for x in group.column("shingles").combine_chunks()]
+        shingles = [np.frombuffer(x.as_buffer(), "<u8") for x in group.column("shingles").combine_chunks()]
         label = component.copy()
         out = []
         for x, near in near_pairs(key, group, label):
             for y in near:
-                if label[x] == label[y]:
-                    continue
-                both, total = len(np.intersect1d(shingles[x], shingles[y])), len(shingles[x]) + len(shingles[y])
-                # Halves of different shingles may be equal; far more than that is likely is allowed for.
-                slack = 4 + 8 * len(shingles[x]) * len(shingles[y]) / 2 ** 32
-                if 100 * (both + slack) >= settings.percent * (total - both - slack):
-                    sure = 100 * (both - slack) >= settings.percent * (total - both + slack)
-                    out.append((*sorted((component[x], component[y])), ids[x], ids[y], sure))
-                    if sure:
-                        label[label == label[y]] = label[x]
-        out = list(zip(*out)) or [()] * 5
-        return pa.table({n: pa.array(v, t) for n, v, t in zip(("c", "d", "a", "b", "sure"), out, [pa.int64()] * 4 + [pa.bool_()])})
-
-    pairs = scratch.settle(close.join(looks, "set").join(halves, "set").groupBy(*group)
-                   .applyInArrow(compare, "c long, d long, a long, b long, sure boolean"), "pairs")
-    sure = pairs.filter("sure").groupBy("c", "d").agg(F.min(F.struct("a", "b")).alias("pair"))
-    edge = pairs.filter("not sure").select("c", "d", "a", "b").distinct().join(sure, ["c", "d"], "left_anti")
-    return sure.select("pair.a", "pair.b").union(edge.select("a", "b"))
+                if label[x] != label[y] and _alike(shingles[x], shingles[y], settings.percent):
+                    out.append((*sorted((component[x], component[y])), ids[x], ids[y]))
+                    label[label == label[y]] = label[x]
+        out = list(zip(*out)) or [()] * 4
+        return pa.table({n: pa.array(v, pa.int64()) for n, v in zip(("c", "d", "a", "b"), out)})
+
+    pairs = scratch.settle(close.join(looks, "set").join(sets, "set").groupBy(*group)
+                           .applyInArrow(compare, "c long, d long, a long, b long"), "pairs")
+    return pairs.groupBy("c", "d").agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.a", "pair.b")
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
 def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
     """Of the pairs ``a, b`` of sets those that the full sets of their documents link."""
     pairs = checkpointed(pairs.select("a", "b"))
     either = pairs.select(F.col("a").alias("set")).union(pairs.select("b"))
-    sets = _packed(_texts(docs, classes, either), settings, "<u8")
+    sets = _packed(_texts(docs, classes, either), settings)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= settings.percent * (len(x) + len(y) - both))
+            keep = [_alike(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"), settings.percent)
+                    for x, y in zip(batch.column("x"), batch.column("y"))]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     side = lambda name, as_: sets.select(F.col("set_hash").alias(name), F.col("shingles").alias(as_))
