@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.llm import mixing, near_dedup, pieces, suffix_dedup, toxicity
-from tramline.llm.common import numbered, table, unique_ids
+from tramline.llm.common import PREFIX, numbered, table, unique_ids
 from tramline.llm.queries import OTHER_WEIGHT, WEIGHTS, vocabulary
 from tramline.session import settle
 
@@ -31,7 +31,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if unique_ids(docs, "doc_id"):
         keyed = keyed.withColumn("key", F.col("row.doc_id").cast("long"))
     else:
-        keyed = numbered(keyed, [F.col("row.doc_id").asc_nulls_last(), F.col("row.text")], "key")
+        keyed = numbered(keyed, [F.col("row.doc_id").asc_nulls_last(), F.col("row.text")], "key",
+                         [F.col("row.doc_id").asc_nulls_last(), F.substring("row.text", 1, PREFIX)])
     found = near_dedup.near_duplicates(keyed.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")))
     return keyed.join(found.filter("not kept").select(F.col("doc_id").alias("key")), "key", "left_anti").select("row.*")
 
