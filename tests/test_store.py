@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tramline.operators import upsert
 from tramline.operators.flatten import conform
 from tramline.plans import health
-from tramline.sinks import publish, store
+from tramline.sinks import commits, publish, store
 from tramline.operators.topk import newest
 from tramline.sources.tables import SEED_ROUTES, read_newest, read_table, seeded
 from tramline.streaming.ingest import IngestError, process_batch
@@ -220,8 +220,8 @@ def test_many_batches_of_a_day_share_its_folder(spark, root):
     df = conform(spark.createDataFrame([("v1", 42.3, -71.0, NOW)], "vehicle_id string, latitude double, longitude double, timestamp timestamp"),
                  "vehicle_position")
     for n in range(8):
-        store.append_once(store.table_rows(df, "vehicle_position", NOW, f"b{n}"), root, "vehicle_positions")
-    assert store.append_once(store.table_rows(df, "vehicle_position", NOW, "b3"), root, "vehicle_positions") == 0
+        store.append_once(store.table_rows(df, "vehicle_position", NOW, f"b{n}"), root, "vehicle_positions", f"b{n}")
+    assert store.append_once(store.table_rows(df, "vehicle_position", NOW, "b3"), root, "vehicle_positions", "b3") == 0
     assert len(glob.glob(f"{root}/vehicle_positions/*=*")) == 1
     store.compact_day(spark, root, "vehicle_positions", "2024-03-01")
     assert len(glob.glob(f"{root}/vehicle_positions/*=*/*.parquet")) == 1
@@ -270,3 +270,67 @@ def test_the_newest_rows_are_found_in_the_last_days(spark, root):
         want = {r.id for r in newest(read_table(spark, root, "predictions"), n).collect()}
         assert {r.id for r in newest(rows, n).collect()} == want
     assert read_newest(spark, root, "vehicle_positions", 5).count() == 0
+
+
+def two_days(spark):
+    """Three positions: of two days and of no day."""
+    return conform(spark.createDataFrame(
+        [("v1", NOW), ("v2", NOW - dt.timedelta(days=1)), ("v3", None)], "vehicle_id string, timestamp timestamp"), "vehicle_position")
+
+
+def vehicles(spark, root):
+    return sorted(r.vehicle_id for r in read_table(spark, root, "vehicle_positions").collect())
+
+
+def test_a_batch_that_stopped_between_days_is_whole_after_a_replay(spark, root, monkeypatch):
+    df, move = two_days(spark), commits.Folder.move
+    moved = []
+
+    def stopping(self, source, target):
+        if "/_plans/" not in target:
+            moved.append(target)
+            if len(moved) == 2:
+                raise OSError("the driver is gone")
+        move(self, source, target)
+
+    monkeypatch.setattr(commits.Folder, "move", stopping)
+    first = store.store(df, "vehicle_position", root, "b1", NOW)
+    assert first["status"] == "error" and "driver is gone" in first["error"]
+    monkeypatch.setattr(commits.Folder, "move", move)
+    # One file lies in the table, but no reader sees half a batch.
+    assert spark.read.parquet(f"{root}/vehicle_positions").count() == 1 and vehicles(spark, root) == []
+    assert store.store(df, "vehicle_position", root, "b1", NOW)["status"] == "success"
+    assert vehicles(spark, root) == ["v1", "v2", "v3"]
+    for _ in range(2):
+        assert store.store(df, "vehicle_position", root, "b1", NOW)["inserted"] == 0
+    assert vehicles(spark, root) == ["v1", "v2", "v3"]
+    assert store.store(df, "vehicle_position", root, "b2", NOW)["inserted"] == 3
+
+
+def test_a_batch_that_stopped_while_it_was_staged_is_staged_anew(spark, root, monkeypatch):
+    df = two_days(spark)
+    with monkeypatch.context() as broken:
+        broken.setattr(commits.Folder, "write", lambda *_: (_ for _ in ()).throw(OSError("no plan")))
+        with pytest.raises(OSError):
+            store.append_once(store.table_rows(df, "vehicle_position", NOW, "b"), root, "vehicle_positions", "b")
+    assert vehicles(spark, root) == []
+    assert store.append_once(store.table_rows(df, "vehicle_position", NOW, "b"), root, "vehicle_positions", "b") == 3
+    assert vehicles(spark, root) == ["v1", "v2", "v3"]
+
+
+def test_open_plans_are_finished_when_a_store_is_opened_and_old_ones_forgotten(spark, root):
+    rows = store.table_rows(two_days(spark), "vehicle_position", NOW, "b")
+    write = lambda df, path: store.write_files(df, path, "vehicle_positions", "append")
+    assert commits.stage(rows, root, "vehicle_positions", "b", write)
+    commits.publish(spark, root, "vehicle_positions", commits.batch_name("b"), most=1)
+    assert vehicles(spark, root) == []
+    store.initialise(spark, root)
+    assert vehicles(spark, root) == ["v1", "v2", "v3"] and not commits.unpublished(spark, root, "vehicle_positions")
+    assert commits.forget(spark, root, "vehicle_positions", 1) == 0
+    assert commits.forget(spark, root, "vehicle_positions", -1) == 1
+
+
+def test_a_batch_without_rows_is_done_at_once(spark, root):
+    none = store.table_rows(two_days(spark).limit(0), "vehicle_position", NOW, "e")
+    assert [store.append_once(none, root, "vehicle_positions", "e") for _ in range(2)] == [0, 0]
+    assert vehicles(spark, root) == []

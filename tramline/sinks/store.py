@@ -1,9 +1,10 @@
 """Writing typed records to the stored tables.
 
-A batch can be written twice after a failure. Keyed tables take only absent
-keys, and of the other tables the days that a batch touches are searched for its
-id first; so a repeat adds nothing. Folders are by day, however many batches a
-day has; ``compact_day`` puts the files of a finished day together.
+A batch can be written twice after a failure, also one that stopped half-way.
+Keyed tables take only absent keys, so a repeat adds what is missing; the other
+tables take a batch under a plan of its files (``commits``), which is finished
+or found done. Folders are by day, however many batches a day has;
+``compact_day`` puts the files of a finished day together.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from tramline.operators.flatten import table_rows
 from tramline.operators.upsert import KEYS, new_rows
 from tramline.schemas import PARTITION_COLUMNS, TABLES
 from tramline.session import settle
+from tramline.sinks import commits
 from tramline.sources.tables import create_tables, read_days, read_table, seeded, table_path
 
 TABLE_OF = {
@@ -45,6 +47,11 @@ def shaped(df: DataFrame, table: str) -> DataFrame:
 
 def write_rows(df: DataFrame, root: str, table: str, mode: str) -> None:
     """Write rows to their folders; rebalancing gives a small day one file and splits a hot one."""
+    write_files(df, table_path(root, table), table, mode)
+
+
+def write_files(df: DataFrame, path: str, table: str, mode: str) -> None:
+    """Write rows of a table below any folder, as ``write_rows``."""
     rows, folders = shaped(df, table), PARTITION_COLUMNS.get(table, [])
     if folders:
         rows = rows.hint("rebalance", *folders)
@@ -53,7 +60,7 @@ def write_rows(df: DataFrame, root: str, table: str, mode: str) -> None:
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if folders:
         writer = writer.partitionBy(*folders)
-    writer.parquet(table_path(root, table))
+    writer.parquet(path)
 
 
 def rows_written(seen: Observation) -> int:
@@ -85,13 +92,12 @@ def insert_absent(rows: DataFrame, root: str, table: str, *order: str) -> int:
         fresh.unpersist()
 
 
-def append_once(rows: DataFrame, root: str, table: str) -> int:
-    """Appends the rows of batches that their days do not hold yet; returns how many there were."""
-    held = read_days(rows.sparkSession, root, table, "partition_date", rows).select("batch_id").distinct()
+def append_once(rows: DataFrame, root: str, table: str, batch_id: str) -> int:
+    """Appends a batch that the table does not have yet; returns how many rows this call wrote."""
     added = Observation()
-    fresh = rows.join(held, "batch_id", "left_anti").select(rows.columns)
-    write_rows(fresh.observe(added, row_count().alias("rows")), root, table, "append")
-    return rows_written(added)
+    watched = rows.observe(added, row_count().alias("rows"))
+    fresh = commits.append(watched, root, table, batch_id, lambda df, path: write_files(df, path, table, "append"))
+    return rows_written(added) if fresh else 0
 
 
 def compact_day(spark, root: str, table: str, day: str) -> None:
@@ -100,6 +106,7 @@ def compact_day(spark, root: str, table: str, day: str) -> None:
     For days that no stream writes to any more: the rows are written to the
     shared folder first and then take the place of the day's files.
     """
+    commits.finish(spark, root, table)
     column = PARTITION_COLUMNS[table][0]
     rows = read_table(spark, root, table).where(F.col(column) == day)
     write_rows(settle(rows, f"compact-{table}"), root, table, "overwrite")
@@ -158,7 +165,7 @@ def store(
             order = ["position"] if "position" in rows.columns else values
             outcome["inserted"] = insert_absent(rows, root, table, *order)
         else:
-            outcome["inserted"] = append_once(rows, root, table)
+            outcome["inserted"] = append_once(rows, root, table, batch_id)
     except Exception as fault:  # noqa: BLE001 - the outcome row carries the error to the log
         outcome |= {"status": "error", "error": str(fault)}
     outcome["milliseconds"] = int((time.monotonic() - began) * 1000)
@@ -195,13 +202,12 @@ def log_ingestion(df: DataFrame, root: str, outcome: dict, batch_id: str, as_of:
         F.lit(outcome.get("error")).alias("error_message"),
         (done - F.lit(spent)).alias("started_at"), done.alias("completed_at"),
         F.lit(batch_id).alias("batch_id"), F.date_format(done, "yyyy-MM-dd").alias("partition_date"))
-    held = read_days(df.sparkSession, root, "data_ingestion_logs", "partition_date", row)
-    fresh = row.join(held.select("batch_id", "status").distinct(), ["batch_id", "status"], "left_anti").select(row.columns)
-    if not fresh.isEmpty():
-        write_rows(fresh, root, "data_ingestion_logs", "append")
+    append_once(row, root, "data_ingestion_logs", f"{batch_id}-{outcome['status']}")
 
 
 def initialise(spark, root: str) -> int:
-    """Create missing tables and put the seed routes into an empty store."""
+    """Create missing tables, finish batches that stopped half-way, and put the seed routes into an empty store."""
     create_tables(spark, root)
+    for table in ("vehicle_positions", "trip_updates", "quarantine", "data_ingestion_logs"):
+        commits.finish(spark, root, table)
     return insert_absent(shaped(seeded(read_table(spark, root, "routes")), "routes"), root, "routes", "route_name")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tramline.functions.clock import AsOf, recent
 from tramline.functions.measures import row_count
 from tramline.schemas import TABLES
+from tramline.sinks.commits import unpublished
 
 
 def table_path(root: str, name: str) -> str:
@@ -23,8 +24,10 @@ def create_tables(spark: SparkSession, root: str) -> None:
 def read_table(
     spark: SparkSession, root: str, name: str, as_of: AsOf = None, hours: float | None = None,
 ) -> DataFrame:
-    """A stored table with its declared schema; a window also prunes its date folders."""
+    """A stored table with its declared schema, whole batches only; a window also prunes its date folders."""
     df = spark.read.schema(TABLES[name]).parquet(table_path(root, name))
+    for batch in unpublished(spark, root.rstrip("/"), name):
+        df = df.where(~F.col("_metadata.file_name").startswith(batch))
     return recent(df, as_of, hours)
 
 

@@ -82,7 +82,7 @@ def process_batch(
             rejected(df).select(F.lit(kind).alias("kind"), REASONS, payload(kind).alias("payload"))
             for kind, df in checked.items()])
         day = F.date_format(as_of_column(as_of), "yyyy-MM-dd")
-        append_once(refused.withColumns({"batch_id": F.lit(batch_id), "partition_date": day}), root, "quarantine")
+        append_once(refused.withColumns({"batch_id": F.lit(batch_id), "partition_date": day}), root, "quarantine", batch_id)
         failed = {k: rejected(df).count() for k, df in checked.items()}
         outcome = store_all(
             {k: valid(df) for k, df in checked.items()}, root, batch_id, as_of, seed_missing, failed)
