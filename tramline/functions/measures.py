@@ -40,6 +40,15 @@ def is_late(delay: Column) -> Column:
     return delay > 0
 
 
+def exact_speed() -> Column:
+    """Speed as a decimal, so that a sum does not depend on the order of the rows."""
+    return F.col("speed").cast("decimal(18,6)")
+
+
+def mean_speed(total: Column, n: Column) -> Column:
+    return F.round(F.try_divide(total, n.cast("decimal(19,0)")), 2).cast("double")
+
+
 def sample_stddev(n: Column, total: Column, squares: Column) -> Column:
     """Sample standard deviation from whole-number moments; null below two rows.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tramline.functions.clock import AsOf, on_spine, recent, up_to_hour
 from tramline.functions.measures import (
-    SEVERE_SECONDS, is_late, lateness, percent, r2, ratio, row_count, sample_stddev, zero_if_null)
+    SEVERE_SECONDS, exact_speed, is_late, lateness, mean_speed, percent, r2, ratio, row_count, sample_stddev, zero_if_null)
 from tramline.operators.headway import headway_moments
 
 def _delay() -> Column:
@@ -29,15 +29,6 @@ def _minutes(seconds: Column, n: Column) -> Column:
     return r2(ratio(seconds, n * 60.0))
 
 
-def _exact_speed() -> Column:
-    """Speed as a decimal, so that a sum does not depend on the order of the rows."""
-    return F.col("speed").cast("decimal(18,6)")
-
-
-def _mean_speed(total: Column, n: Column) -> Column:
-    return F.round(F.try_divide(total, n.cast("decimal(19,0)")), 2).cast("double")
-
-
 def combine_delays(facts: DataFrame, *keys: str) -> DataFrame:
     """Delay counters per key combination; they add up over any coarser key."""
     return facts.groupBy(*keys).agg(
@@ -150,7 +141,7 @@ def vehicle_activity(positions: DataFrame, as_of: AsOf = None, hours: float = 24
         .groupBy(F.date_trunc("hour", "timestamp").alias("hour_bucket"), "vehicle_id")
         .agg(
             F.count_if(F.col("congestion_level") > 0).alias("congested"),
-            F.sum(_exact_speed()).alias("speed_sum"), F.count("speed").alias("speed_n"),
+            F.sum(exact_speed()).alias("speed_sum"), F.count("speed").alias("speed_n"),
             F.max("speed").alias("fastest"), F.min("speed").alias("slowest"))
         .groupBy("hour_bucket")
         .agg(
@@ -163,7 +154,7 @@ def vehicle_activity(positions: DataFrame, as_of: AsOf = None, hours: float = 24
             "hour_bucket",
             zero_if_null(count).alias("vehicle_count"),
             zero_if_null(F.col("congested")).alias("congested_count"),
-            zero_if_null(_mean_speed(F.col("speed_sum"), F.col("speed_n"))).alias("avg_speed_mps"),
+            zero_if_null(mean_speed(F.col("speed_sum"), F.col("speed_n"))).alias("avg_speed_mps"),
             zero_if_null(r2(F.col("fastest"))).alias("max_speed_mps"),
             zero_if_null(r2(F.col("slowest"))).alias("min_speed_mps"),
             F.when(count.isNull(), "No Data").when(count == 0, "No Vehicles")
@@ -306,7 +297,7 @@ def realtime(
         _minutes(F.sum(lateness(_delay()).cast("bigint")), row_count())).toDF(*names)
     fleet = recent(positions, as_of, hours).agg(
         F.lit("vehicles"), F.count_distinct("vehicle_id"), F.count_if(F.col("congestion_level") > 0),
-        _mean_speed(F.sum(_exact_speed()), F.count("speed"))).toDF(*names)
+        mean_speed(F.sum(exact_speed()), F.count("speed"))).toDF(*names)
     notices = recent(alerts, as_of, hours).agg(
         F.lit("alerts"), row_count(),
         F.count_if(F.col("alert_severity_level").isin(*high_values)), F.lit(0.0)).toDF(*names)
