@@ -1,5 +1,6 @@
 """SQL of validation, enrichment, flattening, inserts, the store and the streams."""
 
+from oracle.analytics import QUERIES as ANALYTICS
 from oracle.views import AS_OF, LATE, POS, mins, pct, r2, sql
 
 BOX = (
@@ -388,6 +389,16 @@ QUERIES = {
                    PARTITION BY route_id, direction_id ORDER BY timestamp)))/1000000.0::DOUBLE
                    AS headway_seconds
         FROM v_vehicle_positions GROUP BY route_id, direction_id, timestamp"""),
+    "stream_feed_stalls": sql("""
+        SELECT source_type, unnest(['active', 'stalled']) AS state,
+               unnest([min(timestamp), max(timestamp) + INTERVAL 2 HOURS]) AS since, count(*) AS runs, sum(n)::BIGINT AS records
+        FROM (SELECT *, sum(opens) OVER (PARTITION BY source_type ORDER BY timestamp, id) AS spell
+              FROM (SELECT *, CASE WHEN timestamp - lag(timestamp) OVER (
+                        PARTITION BY source_type ORDER BY timestamp, id) < INTERVAL 2 HOURS THEN 0 ELSE 1 END AS opens
+                    FROM (SELECT vehicle_id AS source_type, timestamp, abs(delay) AS n, row_number() OVER () AS id
+                          FROM v_predictions WHERE abs(delay) > 0)))
+        GROUP BY source_type, spell"""),
+    "kept_summary": ANALYTICS["q_performance"],
     "stream_ingest": sql(f"""
         SELECT 'predictions' AS table_name, count(*) AS rows FROM (
             SELECT DISTINCT trip_id, stop_id, arrival_time FROM v_predictions WHERE {GOOD_PREDICTION})

@@ -23,7 +23,7 @@ from tramline.sinks import commits, publish, store
 from tramline.sources import feeds, tables
 from tramline.sources.driver_views import VIEWS
 from tramline.streaming import headway as live
-from tramline.streaming import ingest, kpis
+from tramline.streaming import ingest, kpis, monitor, summary
 
 AS_OF = dt.datetime(2024, 1, 31)
 HOURS = 720
@@ -951,6 +951,27 @@ def _(t):
     return _whole(t, "headways", live.live_headways, "vehicle_positions")
 
 
+@query("stream_feed_stalls")
+def _(t):
+    """Silences of two hours in the log; the closing row moves the clock past the last ones."""
+    log = ingestion_log(t).drop("started_at")
+    return ingest.run_in_parts(
+        t.spark, {"log": log}, lambda s: monitor.feed_stalls(s["log"], "2 hours"), shared_dir(t.spark, "stalls"), (MID,),
+        time="completed_at")
+
+
+@query("kept_summary")
+def _(t):
+    """Predictions in three batches of which one is taken twice; the summary is the sum of their counters."""
+    root = shared_dir(t.spark, "summary")
+    store.initialise(t.spark, root)
+    at, later = F.col("timestamp"), MID + dt.timedelta(days=3)
+    batches = {"a": at < MID, "b": (at >= MID) & (at < later), "c": at >= later}
+    for name in ("a", "b", "b", "c"):
+        summary.add_batch(t.predictions.where(batches[name]), root, name)
+    return summary.kept_performance(t.spark, root, t.routes, AS_OF, HOURS)
+
+
 @query("stream_ingest")
 def _(t):
     """The mixed feed landed as files, ingested as a stream at a fixed clock."""

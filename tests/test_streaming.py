@@ -10,7 +10,8 @@ from tramline.operators.headway import ticks
 from tramline.sinks import store
 from tramline.sources import feeds
 from tramline.sources.tables import read_table
-from tramline.streaming import headway, ingest, kpis, monitor
+from tramline.plans import analytics
+from tramline.streaming import headway, ingest, kpis, monitor, summary
 
 T0 = dt.datetime(2024, 3, 1, 8)
 MIN = dt.timedelta(minutes=1)
@@ -225,3 +226,33 @@ def test_a_run_in_parts_is_the_whole_result(spark, tmp_path):
     assert key(one) == key(two) and sum(r[3] for r in key(one)) == 90
     none = spark.createDataFrame([], V)
     assert ingest.run_in_parts(spark, {"p": none}, lambda s: kpis.vehicle_sessions(s["p"]), str(tmp_path / "none")).count() == 0
+
+
+def test_kept_summary_equals_the_batch_report(spark, tmp_path):
+    root = str(tmp_path / "store")
+    store.initialise(spark, root)
+    land = Landing(spark, tmp_path / "in", P)
+    land.drop(pred(1, 5), pred(2, 70, None), pred(3, 9, -30))
+    land.drop(pred(4, 7, 400), pred(5, 130, 90))
+    for _ in range(2):
+        summary.start_summary(land.stream(), root, str(tmp_path / "cp"), "kept", {"availableNow": True}).awaitTermination()
+    routes = spark.createDataFrame([("Red", "Red Line")], "id string, route_name string")
+    now = T0 + 300 * MIN
+    rows = spark.read.schema(P).parquet(str(tmp_path / "in"))
+    want = [tuple(r) for r in analytics.performance(rows, routes, now, 24).collect()]
+    assert [tuple(r) for r in summary.kept_performance(spark, root, routes, now, 24).collect()] == want
+    # The same batch once more, with the checkpoint lost half-way: nothing is added.
+    assert summary.add_batch(rows, root, "again") > 0 and summary.add_batch(rows, root, "again") == 0
+
+
+def test_a_feed_that_falls_silent_is_found_by_the_others(spark, tmp_path, run):
+    log = "source_type string, status string, records_processed bigint, completed_at timestamp"
+    row = lambda source, minute, n=5, status="success": (source, status, n, T0 + minute * MIN)
+    land = Landing(spark, tmp_path / "in", log)
+    land.drop(row("rest", 0), row("feed", 0), row("rest", 10))
+    land.drop(row("feed", 12), row("rest", 14, 0), row("rest", 15, 3, "error"), row("feed", 24))
+    land.drop(row("feed", 36), row("feed", 48))
+    land.drop(row("rest", 50), row("feed", 58))
+    got = run(monitor.feed_stalls(land.stream(), "15 minutes", "2 minutes"))
+    assert sorted((r.source_type, r.state, (r.since - T0).total_seconds() / 60, r.runs, r.records) for r in got.collect()) == [
+        ("rest", "active", 0, 2, 10), ("rest", "stalled", 25, 2, 10)]

@@ -103,6 +103,9 @@ TABLES = Schemas({
         "error_message string, started_at timestamp, completed_at timestamp, batch_id string, partition_date string"),
     "quarantine": (
         "kind string, reject_reasons array<string>, payload string, batch_id string, partition_date string"),
+    "delay_summary": (
+        "hour_bucket timestamp, route_id string, n bigint, late bigint, severe bigint, late_s bigint, "
+        "late_squares decimal(38,0), delay_s bigint, known bigint, worst int, batch_id string, partition_date string"),
 })
 
 PARTITION_COLUMNS = {
@@ -112,6 +115,7 @@ PARTITION_COLUMNS = {
     "alerts": ["partition_date"],
     "data_ingestion_logs": ["partition_date"],
     "quarantine": ["partition_date"],
+    "delay_summary": ["partition_date"],
 }
 
 _REF = "struct<data:struct<id:string>>"

@@ -17,9 +17,12 @@ from __future__ import annotations
 import hashlib
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Files from which on some are moved at the same time.
+MANY, MOVERS = 32, 8
 OPEN, DONE, STAGED = "_plans/open", "_plans/done", "_plans/staged"
 
 
@@ -102,11 +105,20 @@ def publish(spark: SparkSession, root: str, table: str, name: str, most: int | N
     if not disk.exists(plan):
         return
     files = json.loads(disk.read(plan))["files"]
-    for file in files[:most]:
+
+    def place(file: str) -> None:
         folder, _, last = file.rpartition("/")
         source, target = f"{root}/{STAGED}/{table}/{name}/{file}", f"{root}/{table}/{folder}/{name}-{last}"
         if not disk.exists(target):
             disk.move(source, target)
+
+    # Which files come first does not matter; those of many days are moved by a few threads.
+    if len(files) < MANY:
+        for file in files[:most]:
+            place(file)
+    else:
+        with ThreadPoolExecutor(MOVERS) as pool:
+            list(pool.map(place, files[:most]))
     if most is None or most >= len(files):
         disk.move(plan, f"{root}/{DONE}/{table}/{name}")
         disk.delete(f"{root}/{STAGED}/{table}/{name}")

@@ -208,6 +208,6 @@ def log_ingestion(df: DataFrame, root: str, outcome: dict, batch_id: str, as_of:
 def initialise(spark, root: str) -> int:
     """Create missing tables, finish batches that stopped half-way, and put the seed routes into an empty store."""
     create_tables(spark, root)
-    for table in ("vehicle_positions", "trip_updates", "quarantine", "data_ingestion_logs"):
+    for table in ("vehicle_positions", "trip_updates", "quarantine", "data_ingestion_logs", "delay_summary"):
         commits.finish(spark, root, table)
     return insert_absent(shaped(seeded(read_table(spark, root, "routes")), "routes"), root, "routes", "route_name")

@@ -149,18 +149,19 @@ def stream_to_frame(spark: SparkSession, stream: DataFrame, folder: str, mode: s
 AFTER_ALL = "interval 30 days"
 
 
-def closing_rows(df: DataFrame, latest) -> DataFrame:
+def closing_rows(df: DataFrame, latest, time: str = "timestamp") -> DataFrame:
     """One row of ``df``'s columns with nothing but a time long after ``latest``.
 
     At the end of a source that has run dry it lets the watermark pass all that
     is still open. Its own window or session stays open, so no result holds it.
     """
-    at = (F.lit(latest).cast("timestamp") + F.expr(AFTER_ALL)).alias("timestamp")
-    return df.sparkSession.range(1).select(*[at if f.name == "timestamp" else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
+    at = (F.lit(latest).cast("timestamp") + F.expr(AFTER_ALL)).alias(time)
+    return df.sparkSession.range(1).select(*[at if f.name == time else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema])
 
 
 def run_in_parts(
     spark: SparkSession, sources: dict[str, DataFrame], make, folder: str, cuts: tuple = (), mode: str = "append",
+    time: str = "timestamp",
 ) -> DataFrame:
     """The whole result of a stream over sources that arrive part by part and then run dry.
 
@@ -169,17 +170,17 @@ def run_in_parts(
     checkpoint, and after the last part a row per source closes what is open.
     ``make`` turns streams, by name, into the stream that is run.
     """
-    newest = [df.agg(F.max("timestamp")).first()[0] for df in sources.values()]
+    newest = [df.agg(F.max(time)).first()[0] for df in sources.values()]
     latest = max((x for x in newest if x is not None), default=dt.datetime(1970, 1, 2))
     place = {name: f"{folder}/{name}" for name in sources}
     stream = lambda: make({name: spark.readStream.schema(df.schema).parquet(place[name]) for name, df in sources.items()})
-    at = F.col("timestamp")
+    at = F.col(time)
     edges = [None, *cuts, None]
     for low, high in zip(edges[:-1], edges[1:]):
         for name, df in sources.items():
             part = df if low is None else df.where((at >= F.lit(low)) | at.isNull())
             part = part if high is None else part.where(at < F.lit(high))
-            part = part.unionByName(closing_rows(df, latest)) if high is None and mode == "append" else part
+            part = part.unionByName(closing_rows(df, latest, time)) if high is None and mode == "append" else part
             part.write.mode("append").parquet(place[name])
         run_to_table(stream(), f"{folder}/table", f"{folder}/checkpoint", mode)
     return spark.read.schema(stream().schema).parquet(f"{folder}/table")
