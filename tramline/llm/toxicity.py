@@ -193,21 +193,19 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     used = np.flatnonzero(model.weight)
 
-    @F.pandas_udf("double")
+    @F.arrow_udf("double")
     def score(texts):
-        import pandas as pd
-
         model = shared.value
         if model.constant is not None:
-            return pd.Series(np.full(len(texts), model.constant))
+            return pa.array(np.full(len(texts), model.constant))
         place = np.full(model.settings.buckets, -1, np.int64)
         place[used] = np.arange(len(used))
-        data, offsets = strings(pa.array(texts, pa.string(), from_pandas=True))
+        data, offsets = strings(texts)
         out = np.zeros(len(texts))
         for lo, hi in chunks(offsets):
             text, at = features(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], model.settings, place)
             z = model.bias + np.bincount(text, model.weight[used].astype(float)[at], hi - lo)
             out[lo:hi] = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        return pd.Series(out)
+        return pa.array(out)
 
     return docs.filter(score(F.col("text").cast("string")) < 0.5)
