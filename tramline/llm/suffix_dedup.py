@@ -24,6 +24,7 @@ are halved again. At a single offset a group is one and the same window.
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import reduce
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.common import PREFIX, Rolling, chunks, numbered, settle, strings, unique_ids
+from tramline.llm.common import CHUNK, PREFIX, Rolling, chunks, numbered, settle, shared_dir, strings, unique_ids
 
 SPAN = 100
 GRAM = 24
@@ -46,6 +47,9 @@ RANGE = 20_000
 RUN = 50_000
 #: Bytes of a long text whose windows are looked at at once.
 SEGMENT = 4 << 20
+#: Bytes of text in a bucket, about, and the most buckets that Spark gives a table.
+BUCKET = 64 << 20
+MOST_BUCKETS = 100_000
 
 _GRAMS = Rolling(11)
 _CONTEXTS = Rolling(12)
@@ -79,19 +83,19 @@ def _cut(docs: DataFrame, as_text: bool) -> DataFrame:
     else:
         docs = numbered(docs.select(row, text), [F.col("row.doc_id").asc_nulls_last(), F.col("text")], "key",
                         [F.col("row.doc_id").asc_nulls_last(), F.substring("text", 1, PREFIX)])
-    docs = docs.filter("key is not null")
+    docs, buckets = _bucketed(docs.filter("key is not null"))
     found = settle(_repeated(docs), "anchors")
     cold, hot = _by_heat(found)
     covered = found.filter("not several").select("key", "at") \
         .select("key", F.shiftright("at", 7).alias("pos"), F.col("at").bitwiseAND(127).alias("right")) \
         .select("key", F.greatest(F.col("pos") - LEFT, F.lit(0)).alias("start"), (F.col("pos") + F.col("right")).alias("end")) \
         .filter(F.col("end") - F.col("start") >= SPAN)
-    runs = _runs(docs, cold)
+    runs = _runs(docs, cold, buckets)
     if hot is not None:
-        more, same = _dealt(docs, hot)
+        more, same = _dealt(docs, hot, buckets)
         runs, covered = runs.union(more), covered.union(same)
     spans = covered.union(_merged(runs))
-    lists = spans.groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+    lists = spans.repartition(buckets, "key").groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     schema = T.StructType([
         docs.schema["row"], T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
@@ -120,6 +124,17 @@ def _cut(docs: DataFrame, as_text: bool) -> DataFrame:
     return docs.join(lists, "key", "left").select("row", "text", "starts", "ends").mapInArrow(cut, schema)
 
 
+def _bucketed(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``docs`` as a table in buckets of ``key``, and how many: places dealt out alike meet their texts without another shuffle of texts."""
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET)))
+    name = f"tramline_texts_{uuid.uuid4().hex}"
+    docs.repartition(buckets, "key").write.format("parquet").bucketBy(buckets, "key") \
+        .option("path", shared_dir(spark, "texts")).saveAsTable(name)
+    return spark.table(name), buckets
+
+
 def _joined(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     """Overlapping or touching intervals made one."""
     order = np.argsort(start, kind="stable")
@@ -195,7 +210,7 @@ def _repeated(docs: DataFrame) -> DataFrame:
         for batch in batches:
             keys = batch.column("key").to_numpy()
             data, offsets = strings(batch.column("text"))
-            for lo, hi in chunks(offsets):
+            for lo, hi in chunks(offsets, min(CHUNK, SEGMENT)):
                 part, cuts = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
                 if len(part) > SEGMENT:
                     row, at, gram, context = _long(part)
@@ -265,21 +280,22 @@ def _by_heat(found: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     grams = several.filter("hot").select("gram")
     if grams.isEmpty():
         return several.select("key", "at"), None
-    grams = F.broadcast(grams)
     return tuple(several.join(grams, "gram", how).select("key", "at") for how in ("left_anti", "left_semi"))
 
 
-def _lists(anchors: DataFrame) -> DataFrame:
-    return anchors.groupBy("key").agg(F.collect_list("at").alias("ats"))
+def _lists(anchors: DataFrame, buckets: int) -> DataFrame:
+    return anchors.repartition(buckets, "key").groupBy("key").agg(F.collect_list("at").alias("ats"))
 
 
-def _dealt(docs: DataFrame, anchors: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _dealt(docs: DataFrame, anchors: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     """The anchors of hot grams as runs of groups of at most ``RANGE``, and as ``key, start, end`` the repeats of windows that more anchors share.
 
     An anchor goes to one group for each half of the offsets ``lo`` to ``hi`` at
     which a window can begin ahead of it: that of the bytes all of those windows
-    have, and with no more bytes than one of them has. Larger groups are dealt
-    out by halves again.
+    have, and with no more bytes than one of them has. Groups are told by a hash
+    of these bytes; an anchor that is alone in its group shares no window there
+    and is left out before any bytes travel. Larger groups are dealt out by
+    halves again.
     """
     most = RANGE
 
@@ -288,47 +304,53 @@ def _dealt(docs: DataFrame, anchors: DataFrame) -> tuple[DataFrame, DataFrame]:
             data, offsets = strings(batch.column("text"))
             for i, key in enumerate(batch.column("key").to_pylist()):
                 text = data[offsets[i]:offsets[i + 1]]
-                ats = batch.column("ats")[i].values.to_numpy()
-                for n in range(0, len(ats), 10_000):
-                    some = ats[n:n + 10_000]
+                marks = batch.column("marks")[i].values
+                for n in range(0, len(marks), 10_000):
+                    at, lo, hi, code = marks.slice(n, 10_000).flatten()
+                    places = (at.to_numpy() >> 7).tolist()
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(some), key)), pa.array(some),
-                        pa.array([text[max(0, at - LEFT):at].tobytes() for at in (some >> 7).tolist()], pa.binary()),
-                        pa.array([text[at:at + SPAN].tobytes() for at in (some >> 7).tolist()], pa.binary())],
-                        ["key", "at", "left", "right"])
+                        pa.array(np.full(len(at), key)), at, lo, hi, code,
+                        pa.array([text[max(0, x - LEFT):x].tobytes() for x in places], pa.binary()),
+                        pa.array([text[x:x + SPAN].tobytes() for x in places], pa.binary())],
+                        ["key", "at", "lo", "hi", "code", "left", "right"])
+
+    def contexts(marks: DataFrame) -> DataFrame:
+        """``key, at, lo, hi, code`` with the bytes on both sides."""
+        lists = marks.repartition(buckets, "key").groupBy("key").agg(F.collect_list(F.struct("at", "lo", "hi", "code")).alias("marks"))
+        return docs.select("key", "text").join(lists, "key").select("key", "text", "marks").mapInArrow(
+            read, "key long, at long, lo int, hi int, code long, left binary, right binary")
 
     left, right = "substring(left, -{0}, {0})", f"substring(right, 1, {SPAN} - {{0}})"
-    level = settle(docs.select("key", "text").join(_lists(anchors), "key").select("key", "text", "ats").mapInArrow(
-        read, "key long, at long, left binary, right binary"), "hot") \
-        .withColumns({"lo": F.lit(0), "hi": F.lit(LEFT)})
+    level = anchors.select("key", "at", F.lit(0).alias("lo"), F.lit(LEFT).alias("hi"), F.lit(0).cast("long").alias("code"))
     runs, same = [], []
     while True:
-        level = level.withColumn("half", F.explode(F.expr(
+        halves = contexts(level).withColumn("half", F.explode(F.expr(
             "array(struct(lo, (lo + hi) div 2 AS hi), struct((lo + hi) div 2 + 1 AS lo, hi))"))) \
             .select("key", "at", "left", "right", F.col("half.lo").cast("int").alias("lo"), F.col("half.hi").cast("int").alias("hi")) \
-            .filter(f"length(left) >= lo AND length(right) >= {SPAN} - hi") \
-            .withColumns({"left": F.expr("substring(left, -least(hi, length(left)), hi)"), "right": F.expr(right.format("lo"))}) \
-            .withColumn("code", F.expr(f"xxhash64(lo, hi, {left.format('lo')}, {right.format('hi')})"))
-        size = level.groupBy("code").count()
-        large = F.col("count") > most
-        total = size.agg(F.sum(F.when(~large, F.col("count"))).alias("rows"), F.collect_list(F.when(large, F.col("code"))).alias("codes")).first()
-        codes = F.broadcast(docs.sparkSession.createDataFrame([(c,) for c in total.codes], "code long"))
-        if total.rows:
-            parts = max(1, -(-total.rows // most))
-            small = level.join(codes, "code", "left_anti") if total.codes else level
-            runs.append(_dealt_runs(small.withColumn("part", F.expr(f"int(pmod(code, {parts}))"))))
-        if not total.codes:
+            .filter(f"length(left) >= lo AND length(right) >= {SPAN} - hi")
+        codes = settle(halves.select(
+            "key", "at", "lo", "hi", F.expr(f"xxhash64(lo, hi, {left.format('lo')}, {right.format('hi')})").alias("code")), "codes")
+        sizes = codes.groupBy("code").count().filter("count > 1")
+        shared = settle(codes.join(sizes, "code"), "shared")
+        small, large = shared.filter(f"count <= {most}"), shared.filter(f"count > {most}")
+        total = shared.agg(F.count_if(F.col("count") <= most).alias("small"), F.count_if(F.col("count") > most).alias("large")).first()
+        if total.small:
+            parts = max(1, -(-total.small // most))
+            runs.append(_dealt_runs(contexts(small).withColumns({
+                "left": F.expr("substring(left, -least(hi, length(left)), hi)"), "right": F.expr(right.format("lo")),
+                "part": F.expr(f"int(pmod(code, {parts}))")})))
+        if not total.large:
             break
-        level = level.join(codes, "code", "left_semi")
-        window = level.filter("lo = hi").select(
-            "key", "at", "lo", F.expr(f"concat({left.format('lo')}, {right.format('lo')})").alias("window"))
+        window = settle(contexts(large.filter("lo = hi")).select(
+            "key", "at", "lo", F.expr(f"concat({left.format('lo')}, {right.format('lo')})").alias("window")), "windows")
         firsts = window.groupBy("lo", "window").agg(F.min(F.struct("key", "at")).alias("first"))
         start = F.shiftright("at", 7) - F.col("lo")
-        same.append(window.join(F.broadcast(firsts), ["lo", "window"]).filter(F.struct("key", "at") != F.col("first"))
+        same.append(window.join(firsts, ["lo", "window"]).filter(F.struct("key", "at") != F.col("first"))
                     .select("key", start.alias("start"), (start + SPAN).alias("end")))
-        level = level.filter("lo < hi").select("key", "at", "left", "right", "lo", "hi")
+        level = large.filter("lo < hi").select("key", "at", "lo", "hi", "code")
     none = docs.sparkSession.createDataFrame([], "key long, start long, end long")
-    return reduce(DataFrame.union, runs or [_dealt_runs(level.withColumn("part", F.lit(0)))]), reduce(DataFrame.union, same or [none])
+    return reduce(DataFrame.union, runs or [_dealt_runs(
+        contexts(level.limit(0)).withColumn("part", F.lit(0)))]), reduce(DataFrame.union, same or [none])
 
 
 def _dealt_runs(groups: DataFrame) -> DataFrame:
@@ -358,7 +380,7 @@ def _dealt_runs(groups: DataFrame) -> DataFrame:
     return groups.select("lo", "hi", "part", "right", "left", "key", "at").mapInArrow(write, _RUN)
 
 
-def _runs(docs: DataFrame, anchors: DataFrame) -> DataFrame:
+def _runs(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
     """The suffixes at ``anchors`` as sorted, front-coded runs: one row per task, run and range.
 
     The ranges are cut at grams that a sample of the anchors gives; the sample
@@ -372,7 +394,7 @@ def _runs(docs: DataFrame, anchors: DataFrame) -> DataFrame:
         few = anchors.sample(min(1.0, 10 * ranges / n), seed=5).orderBy(F.xxhash64("key", "at")).limit(20 * ranges)
         grams = F.transform("ats", lambda at: F.substring(
             F.encode("text", "utf-8"), (F.shiftright(at, 7) + 1).cast("int"), GRAM))
-        got = texts.join(F.broadcast(_lists(few)), "key").select(F.explode(grams).alias("gram")).collect()
+        got = texts.join(_lists(few, buckets), "key").select(F.explode(grams).alias("gram")).collect()
         got = sorted(bytes(r["gram"]) for r in got)
         splitters = sorted({got[len(got) * i // ranges] for i in range(1, ranges)}) if got else []
 
@@ -392,7 +414,7 @@ def _runs(docs: DataFrame, anchors: DataFrame) -> DataFrame:
         if rows:
             yield _front_coded(rows, splitters)
 
-    return texts.join(_lists(anchors), "key").select("key", "text", "ats").mapInArrow(write, _RUN)
+    return texts.join(_lists(anchors, buckets), "key").select("key", "text", "ats").mapInArrow(write, _RUN)
 
 
 def _prefixes(items: list[bytes], sizes: np.ndarray, width: int) -> np.ndarray:
