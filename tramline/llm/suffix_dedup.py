@@ -47,9 +47,8 @@ RANGE = 20_000
 RUN = 50_000
 #: Bytes of a long text whose windows are looked at at once.
 SEGMENT = 4 << 20
-#: Bytes of text in a bucket, about, and the most buckets that Spark gives a table.
+#: Bytes of text in a bucket, about; its places, at most half as much, are hashed in memory.
 BUCKET = 64 << 20
-MOST_BUCKETS = 100_000
 
 _GRAMS = Rolling(11)
 _CONTEXTS = Rolling(12)
@@ -104,31 +103,36 @@ def _cut(docs: DataFrame, as_text: bool) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = strings(batch.column("text"))
-            size, gone, spans, kept = [], [], [], []
-            for i in range(batch.num_rows):
-                text = data[offsets[i]:offsets[i + 1]]
-                start, end = (batch.column(c)[i].values for c in ("starts", "ends"))
-                one = _joined(start.to_numpy(), end.to_numpy()) if start is not None else []
-                size.append(len(text))
-                gone.append(sum(b - a for a, b in one))
-                spans.append([{"start": a, "end": b} for a, b in one])
-                edges = [0, *(x for pair in one for x in pair), len(text)]
-                left = b"".join(text[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2]))
-                kept.append(left.decode("utf-8", "ignore") if as_text else left)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("row"), pa.array(size, pa.int64()), pa.array(gone, pa.int64()),
-                pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                pa.array(kept, pa.string() if as_text else pa.binary())],
-                ["row", "n_bytes", "n_removed", "spans", "kept"])
-
-    return docs.join(lists, "key", "left").select("row", "text", "starts", "ends").mapInArrow(cut, schema)
+            for lo, hi in chunks(offsets):
+                size, gone, spans, kept = [], [], [], []
+                for i in range(lo, hi):
+                    text = data[offsets[i]:offsets[i + 1]]
+                    start, end = (batch.column(c)[i].values for c in ("starts", "ends"))
+                    one = _joined(start.to_numpy(), end.to_numpy()) if start is not None else []
+                    size.append(len(text))
+                    gone.append(sum(b - a for a, b in one))
+                    spans.append([{"start": a, "end": b} for a, b in one])
+                    edges = [0, *(x for pair in one for x in pair), len(text)]
+                    left = b"".join(text[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2]))
+                    kept.append(left.decode("utf-8", "ignore") if as_text else left)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("row")[lo:hi], pa.array(size, pa.int64()), pa.array(gone, pa.int64()),
+                    pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    pa.array(kept, pa.string() if as_text else pa.binary())],
+                    ["row", "n_bytes", "n_removed", "spans", "kept"])
+
+    return docs.join(lists.hint("shuffle_hash"), "key", "left").select("row", "text", "starts", "ends").mapInArrow(cut, schema)
 
 
 def _bucketed(docs: DataFrame) -> tuple[DataFrame, int]:
-    """``docs`` as a table in buckets of ``key``, and how many: places dealt out alike meet their texts without another shuffle of texts."""
+    """``docs`` as a table in buckets of ``key``, and how many: places dealt out alike meet their texts without another shuffle of texts.
+
+    Spark allows ``spark.sql.sources.bucketing.maxBuckets``; beyond 6 TB of text that has to be raised to keep buckets small.
+    """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET)))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    buckets = min(most, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET)))
     name = f"tramline_texts_{uuid.uuid4().hex}"
     docs.repartition(buckets, "key").write.format("parquet").bucketBy(buckets, "key") \
         .option("path", shared_dir(spark, "texts")).saveAsTable(name)
@@ -317,7 +321,7 @@ def _dealt(docs: DataFrame, anchors: DataFrame, buckets: int) -> tuple[DataFrame
     def contexts(marks: DataFrame) -> DataFrame:
         """``key, at, lo, hi, code`` with the bytes on both sides."""
         lists = marks.repartition(buckets, "key").groupBy("key").agg(F.collect_list(F.struct("at", "lo", "hi", "code")).alias("marks"))
-        return docs.select("key", "text").join(lists, "key").select("key", "text", "marks").mapInArrow(
+        return docs.select("key", "text").join(lists.hint("shuffle_hash"), "key").select("key", "text", "marks").mapInArrow(
             read, "key long, at long, lo int, hi int, code long, left binary, right binary")
 
     left, right = "substring(left, -{0}, {0})", f"substring(right, 1, {SPAN} - {{0}})"
@@ -394,7 +398,7 @@ def _runs(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
         few = anchors.sample(min(1.0, 10 * ranges / n), seed=5).orderBy(F.xxhash64("key", "at")).limit(20 * ranges)
         grams = F.transform("ats", lambda at: F.substring(
             F.encode("text", "utf-8"), (F.shiftright(at, 7) + 1).cast("int"), GRAM))
-        got = texts.join(_lists(few, buckets), "key").select(F.explode(grams).alias("gram")).collect()
+        got = texts.join(_lists(few, buckets).hint("shuffle_hash"), "key").select(F.explode(grams).alias("gram")).collect()
         got = sorted(bytes(r["gram"]) for r in got)
         splitters = sorted({got[len(got) * i // ranges] for i in range(1, ranges)}) if got else []
 
@@ -414,7 +418,7 @@ def _runs(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
         if rows:
             yield _front_coded(rows, splitters)
 
-    return texts.join(_lists(anchors, buckets), "key").select("key", "text", "ats").mapInArrow(write, _RUN)
+    return texts.join(_lists(anchors, buckets).hint("shuffle_hash"), "key").select("key", "text", "ats").mapInArrow(write, _RUN)
 
 
 def _prefixes(items: list[bytes], sizes: np.ndarray, width: int) -> np.ndarray:
