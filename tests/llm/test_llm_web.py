@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import io
 import random
+import time
 
 import pytest
 
@@ -78,6 +79,45 @@ def test_broken_pages(model, html):
     assert isinstance(main_text(html, model), str)
 
 
+BROKEN = {
+    "open tags": lambda n: "<a " * n, "open quotes": lambda n: '<a "' * n, "open values": lambda n: '<a b="' * n,
+    "quoted ends": lambda n: '<a b=">"' * n, "stray ends": lambda n: "<b>" * n + "</i>" * n, "open noscript": lambda n: "<noscript>" * n,
+    "open end tags": lambda n: "<noscript></noscript " * n, "blocks in inline": lambda n: "<b>" * n + "<div></div>" * n,
+    "ends behind a wall": lambda n: "<b><td>" + "<i>" * n + "</b>" * n, "items in boxes": lambda n: "<ul>" + "<div>" * n + "<li></li>" * n,
+    "sections": lambda n: "<![CDATA[" * n, "references": lambda n: "&#1" * n, "digits": lambda n: "&#" + "1" * n + ";&#" + "0" * n + "65;"}
+
+
+@pytest.mark.parametrize("kind", BROKEN)
+def test_broken_pages_take_time_in_proportion(model, kind):
+    page = BROKEN[kind](1)
+    start = time.perf_counter()
+    main_text(BROKEN[kind](1_000_000 // len(page)), model)
+    assert time.perf_counter() - start < 30
+
+
+@pytest.mark.parametrize("html, text", [
+    ("just plain text, AT&amp;T\n and more", "just plain text, AT&T and more"), ("if a < b and c <d then e", "if a < b and c <d then e"),
+    ("&#0000000065;&#x00041;&#00;", "AA\ufffd"), ("", ""), ("<a href=x>only a link</a>", ""), ("a<!-->b<!--->c<!-- x -->d", "abcd"),
+    ("a<![CDATA[ x > y ]]>b", "ab"), ("cut off <a hre", "cut off"), ("cut off <a href=\"x", "cut off"), ("it<b title=it's>'s</b> so", "it's so")])
+def test_pages_without_elements(model, html, text):
+    assert main_text(html, model) == text
+
+
+@pytest.mark.parametrize("inside, text", [
+    ("Euler showed that <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> holds. ", "Euler showed that x=1 holds. "),
+    ("Press the <button>red</button> knob. ", "Press the red knob. "), ("<template> Words. ", "Words. "),
+    ("<noscript> Words. ", "Words. "), ("<noscript>no</noscript>Words. ", "Words. "), ("<select> Words. ", "Words. "), ("<svg> Words. ", "Words. "),
+    ("<svg><text>no</text></svg>Words. ", "Words. "), ("<iframe src=x> Words. ", "Words. "), ("a <b title=\"x>y\">b</b> c. ", "a b c. ")])
+def test_no_words_are_lost(model, inside, text):
+    page = f"<body><nav><a href=x>a</a></nav><article><h1>Head</h1><p>{LINE}{inside}{LINE}</p><p>{LINE}</p></article></body>"
+    assert main_text(page, model) == f"Head\n\n{LINE}{text}{LINE.strip()}\n\n{LINE.strip()}"
+
+
+def test_buttons_at_the_edge_of_a_block_give_no_text(model):
+    page = f"<body><article><h1>Head <button>Share</button></h1><p><button>Play</button> {LINE}<button>More</button> <button>Less</button></p></article></body>"
+    assert main_text(page, model) == f"Head\n\n{LINE.strip()}"
+
+
 def test_cut_off_pages(model):
     page = f"<body><nav><a href=x>a</a></nav><article><h1>Head</h1><p>{LINE}</p><p>{LINE}</p></article></body>"
     whole = main_text(page, model)

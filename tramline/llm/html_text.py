@@ -29,7 +29,9 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style noscript template iframe textarea title xmp noembed noframes".split())
 # What an open head may hold; all else ends it.
 HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
-UNSEEN = RAW | set("head select button object audio video canvas svg math map datalist option".split())
+UNSEEN = RAW | set("head select object audio video canvas svg map datalist option annotation annotation-xml".split())
+# Raw elements that browsers read to the end of the page when no end tag follows; of all others the start tag is passed over.
+ENDLESS = set("script style".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr "
@@ -40,7 +42,14 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 WALLS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"},
          "tbody": {"table"}, "tfoot": {"table"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</?[a-zA-Z][^\s/>]*(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>", re.S)
+_OPENING = re.compile(r"<(?=[a-zA-Z!?/])")
+#: A tag up to its ``>`` or the end of the page. A quote that never closes is taken as part of a name; nothing is tried twice.
+_TAG = re.compile(
+    r"""</?[a-zA-Z][^\s/>]*+(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+)*+""")
+#: What the end of a page leaves of a tag.
+_CUT = re.compile(r"</?[a-zA-Z][^\s<>]*(?:\s+[^\s=<>]+\s*=|\s*[\w-]*\Z)")
+_ZEROS = re.compile(r"(&#|&#[xX](?=0+[0-9a-fA-F]))0+(?=[0-9])|(&#[xX])0+(?=[a-fA-F])")
+_HUGE = re.compile(r"&#(?:[0-9]{9,}|[xX][0-9a-fA-F]{9,});?")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+")
@@ -63,7 +72,6 @@ class Node:
             parent.children.append(self)
 
 
-@lru_cache(maxsize=10_000)
 def _attributes(tag: str) -> tuple[tuple[str, ...], bool | None, bool]:
     """Words of class, id and role; a label, if the tag bears one; whether it is hidden."""
     names: list[str] = []
@@ -82,85 +90,200 @@ def _attributes(tag: str) -> tuple[tuple[str, ...], bool | None, bool]:
     return tuple(sorted(set(names))), label, hidden
 
 
+_cached_attributes = lru_cache(maxsize=10_000)(_attributes)
+
+
+def _unescaped(raw: str) -> str:
+    if "&" not in raw:
+        return raw
+    if "&#" in raw:
+        raw = _HUGE.sub("\N{REPLACEMENT CHARACTER}", _ZEROS.sub(lambda m: m.group(1) or m.group(2), raw))
+    return unescape(raw)
+
+
+class _Scanner:
+    """Splits a page into text and tags in one pass forward, in time proportional to its length.
+
+    Comments, declarations and marked sections are passed over. A tag that is
+    open at the end of the page ends at its first ``>``, and from there on
+    quotes are not looked at any more; without any ``>`` it goes if it looks cut
+    off, and is text otherwise.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.at = 0
+        self.last = html.rfind(">")
+        self.quotes = True
+        self.next_end: dict[str, int] = {}
+
+    def _upto(self, mark: str, start: int, missing: int) -> int:
+        found = self.html.find(mark, start)
+        return missing if found < 0 else found + len(mark)
+
+    def tokens(self) -> Iterator[tuple[bool, str]]:
+        """(is a tag, the text or tag), in order; ``at`` may be moved forward after a tag."""
+        html, n = self.html, len(self.html)
+        said = 0
+        while self.at < n:
+            m = _OPENING.search(html, self.at)
+            if m is None:
+                break
+            i = m.start()
+            end = self._end(i)
+            if end == i:
+                self.at = i + 1
+                continue
+            if i > said:
+                yield False, html[said:i]
+            self.at = said = end
+            if html[end - 1] == ">" and (html[i + 1].isalpha() or html[i + 1] == "/" and html[i + 2].isalpha()):
+                yield True, html[i:end]
+                said = self.at
+        if said < n:
+            yield False, html[said:]
+
+    def _end(self, i: int) -> int:
+        """The end of what the ``<`` at ``i`` opens, or ``i`` if it is text."""
+        html, n = self.html, len(self.html)
+        if html.startswith("<!--", i):
+            if html.startswith((">", "->"), i + 4):
+                return html.index(">", i + 4) + 1
+            return self._upto("-->", i + 4, n)
+        if i > self.last:
+            return n if _CUT.match(html, i) else i
+        if html.startswith("<![CDATA[", i):
+            end = self.ending("]]>", i)
+            return self._upto(">", i, n) if end < 0 else end + 3
+        if self.quotes and _NAME.match(html, i):
+            end = _TAG.match(html, i).end()
+            if end < n:
+                return end + 1
+            self.quotes = False
+        return self._upto(">", i, n)
+
+    def ending(self, mark: str, start: int) -> int:
+        """Where the next ``mark`` is, or the next end tag of the name ``mark``; -1 if there is none."""
+        found = self.next_end.get(mark, 0)
+        if 0 <= found < start or mark not in self.next_end:
+            if mark[0] == "]":
+                found = self.html.find(mark, start)
+            else:
+                m = _end_tag(mark).search(self.html, start)
+                found = m.start() if m else -1
+            self.next_end[mark] = found
+        return found
+
+    def skip(self, tag: str) -> bool:
+        """Passes over all up to the end tag of a raw element; says whether there was one."""
+        end = self.ending(tag, self.at)
+        if end >= 0:
+            self.at = self._upto(">", end, len(self.html))
+        elif tag in ENDLESS:
+            self.at = len(self.html)
+        return end >= 0
+
+
+@lru_cache(maxsize=100)
+def _end_tag(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I)
+
+
+class _Open:
+    """The open elements, and by name where they are, so that no look at them walks over the others."""
+
+    def __init__(self, root: Node):
+        #: (tag, node that blocks go to, main, hidden, in a button); inline elements share the node of the block around them.
+        self.stack: list[tuple[str, Node, bool, bool, bool]] = [("#page", root, False, False, False)]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, node: Node, main: bool, hidden: bool, button: bool) -> None:
+        self.places[tag].append(len(self.stack))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, node, main, hidden, button))
+
+    def cut(self, count: int) -> bool:
+        """Takes all from place ``count`` off; says whether a block was among them."""
+        for tag, *_ in reversed(self.stack[count:]):
+            self.places[tag].pop()
+        del self.stack[count:]
+        before = len(self.blocks)
+        while self.blocks and self.blocks[-1] >= count:
+            self.blocks.pop()
+        return len(self.blocks) < before
+
+    def top(self, tags: Iterable[str]) -> int:
+        """The place of the innermost of these, 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+
 def parse(html: str) -> Node:
     """The tree of a page, however broken: missing and stray end tags, cut-off pages, unknown elements.
 
     Inline elements add their text to the block they are in. What browsers show
-    no text of (scripts, forms' controls, hidden elements) gives none.
+    no text of (scripts, forms' controls, hidden elements) gives none; a button
+    counts as text if words of its block stand before and after it.
     """
     root = Node("", None)
     root.tag = "#page"
-    # Open elements: (tag, node that blocks go to, main, hidden); inline ones share the node of the block around them.
-    opened: list[tuple[str, Node, bool, bool]] = [("#page", root, False, False)]
-    run: list[str] = []
+    opened = _Open(root)
+    run: list[tuple[str, bool]] = []
     linked = 0
-    links = 0
 
     def flush() -> None:
         nonlocal linked
         if run:
-            text = " ".join("".join(run).split())
+            words = [k for k, (raw, button) in enumerate(run) if not button and not raw.isspace()]
+            text = " ".join("".join(raw for k, (raw, button) in enumerate(run) if not button or (words and words[0] < k < words[-1])).split())
             run.clear()
             if text:
-                _, block, main, _ = opened[-1]
+                _, block, main, *_ = opened.stack[-1]
                 leaf = Node("", block, (), main)
                 leaf.text, leaf.linked = text, min(linked, len(text))
             linked = 0
 
     def close(count: int) -> None:
-        nonlocal links
-        for tag, *_ in opened[count:]:
-            links -= tag == "a"
-        if any(tag in BLOCKS for tag, *_ in opened[count:]):
+        if any(b >= count for b in opened.blocks[-1:]):
             flush()
-        del opened[count:]
+        opened.cut(count)
 
     def say(raw: str) -> None:
         nonlocal linked
-        if opened[-1][0] == "head" and raw.strip():
-            close(len(opened) - 1)
-        if raw and not opened[-1][3]:
-            text = unescape(raw) if "&" in raw else raw
-            run.append(text)
-            if links:
+        if opened.stack[-1][0] == "head" and raw.strip():
+            close(len(opened.stack) - 1)
+        _, _, _, hidden, button = opened.stack[-1]
+        if raw and not hidden:
+            text = _unescaped(raw)
+            if text:
+                run.append((text, button))
+            if opened.places["a"]:
                 linked += len(text.strip())
 
-    at, n = 0, len(html)
-    while at < n:
-        m = _TOKEN.search(html, at)
-        if m is None:
-            rest = html[at:]
-            cut = re.search(r"<(?:[a-zA-Z/!?].*)?\Z", rest, re.S)
-            say(rest[:cut.start()] if cut and cut.group() != "<" else rest)
-            break
-        if m.start() > at:
-            say(html[at:m.start()])
-        at = m.end()
-        token = m.group()
-        if token[1] in "!?":
+    page = _Scanner(html)
+    for is_tag, token in page.tokens():
+        if not is_tag:
+            say(token)
             continue
         tag = _NAME.match(token).group(1).lower()
         if token[1] == "/":
-            for i in range(len(opened) - 1, 0, -1):
-                if opened[i][0] == tag:
-                    close(i)
-                    break
-                if opened[i][0] in ("table", "td", "th") and tag not in BLOCKS:
-                    break
-            if tag == "p" and not any(o[0] == "p" for o in opened):
+            i = opened.top((tag,))
+            if i and (tag in BLOCKS or i >= opened.top(("table", "td", "th"))):
+                close(i)
+            if tag == "p" and not opened.places["p"]:
                 flush()
             continue
-        if opened[-1][0] == "head":
+        if opened.stack[-1][0] == "head":
             if tag == "head":
                 continue
             if tag not in HEAD:
-                close(len(opened) - 1)
+                close(len(opened.stack) - 1)
         if tag == "br":
-            run.append(" ")
+            run.append((" ", False))
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(html, at)
-            at = end.end() if end else n
+            page.skip(tag)
             continue
         if tag in VOID:
             if tag in BLOCKS:
@@ -168,25 +291,24 @@ def parse(html: str) -> Node:
             continue
         if tag in BLOCKS or tag in CLOSES:
             closes = CLOSES.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
-            walls = WALLS.get(tag, set())
-            for i in range(len(opened) - 1, 0, -1):
-                if opened[i][0] in closes:
-                    close(i)
-                    closes -= {"p"}
-                    if not walls:
-                        break
-                elif opened[i][0] in walls or (not walls and opened[i][0] in BLOCKS):
+            walls = WALLS.get(tag)
+            while True:
+                i = opened.top(closes)
+                if not i or i < (opened.top(walls) if walls else opened.blocks[-1] if opened.blocks else 0):
+                    break
+                close(i)
+                if not walls:
                     break
-        names, label, hidden = _attributes(token)
-        _, block, main, unseen = opened[-1]
+                closes -= {"p"}
+        names, label, hidden = _cached_attributes(token) if len(token) < 2000 else _attributes(token)
+        _, block, main, unseen, button = opened.stack[-1]
         main = main if label is None else label
-        unseen = unseen or hidden or tag in UNSEEN
+        unseen = unseen or hidden or (tag in UNSEEN and (tag in ("head", "option") or page.ending(tag, page.at) >= 0))
         if tag in BLOCKS:
             flush()
             block = Node(tag, block, names, main)
         if not token.endswith("/>") or tag in BLOCKS:
-            opened.append((tag, block, main, unseen))
-            links += tag == "a"
+            opened.push(tag, block, main, unseen, button or tag == "button")
     flush()
     return root
 
@@ -300,7 +422,10 @@ class Model:
 
 
 def main_text(html: str, model: Model) -> str:
+    """The blocks of main text, two line feeds between them; of a page without any block element, all that is not a link."""
     nodes = ordered(parse(html))
+    if not any(node.tag for node in nodes[1:]):
+        return "\n\n".join(node.text for node in nodes if not node.tag and node.link_chars < node.chars)
     return "\n\n".join(node.text for node, p in zip(nodes, model.marginals(nodes)) if not node.tag and p >= 0.5)
 
 
