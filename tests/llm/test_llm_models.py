@@ -88,6 +88,28 @@ def test_nearest_vectors(spark):
     assert hits >= 0.9 * 20 * len(found)
 
 
+def test_vectors_in_clusters(spark):
+    """No query comes away with less than half of its neighbours, small clusters included."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for size, groups in ((40, 60), (3, 60)):
+        for centre in rng.normal(size=(groups, 16)):
+            rows += [centre + 0.05 * x for x in rng.normal(size=(size, 16))]
+    rows = [(i, x.tolist()) for i, x in enumerate(rows)]
+    settings = vector_tree.Settings(sample=600, leaf=20, calibrated=60, piece=500)
+    got = {}
+    for r in vector_tree.search(vectors(spark, rows), F.col("vec_id") % 20 == 0, settings).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    table = np.array([x for _, x in rows])
+    shares = []
+    for q in range(0, len(rows), 20):
+        scores = table @ table[q]
+        scores[q] = -np.inf
+        assert len(got[q]) == 20
+        shares.append(len(got[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(shares) >= 0.95 and np.mean(np.array(shares) < 0.5) <= 0.02
+
+
 def test_few_vectors(spark):
     every = F.lit(True)
     assert vector_tree.search(vectors(spark, []), every).count() == 0

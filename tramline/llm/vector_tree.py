@@ -5,7 +5,8 @@ so that the nearest in the plane is the one with the largest inner product. A
 tree of k-means splits is fitted to a bounded sample and every vector goes to
 the leaf whose centres are nearest on the way down. A query walks the tree with
 a priority queue of branches, nearest centre first, and visits as many leaves
-as a calibration against brute force found necessary.
+as a calibration against brute force found necessary, and more as long as they
+hold too few vectors.
 
 Leaves are searched where they lie: runs of neighbouring leaves, cut into
 pieces of bounded size, meet the queries that visit them.
@@ -28,12 +29,13 @@ from tramline.llm.common import settle
 @dataclass(frozen=True)
 class Settings:
     """``sample``: vectors the tree is fitted to at most (lowest hashes of the ids), ``branches`` per node, ``leaf``:
-    sampled vectors that are not split further, ``recall`` to be reached with the ``calibrated`` queries for ``k``
-    neighbours, ``run`` leaves searched together, ``piece``: vectors or queries of a run that meet in one task."""
+    sampled vectors that are not split further, ``recall`` to be reached over all ``calibrated`` queries for ``k``
+    neighbours (and ``half`` of each query's own for all but a hundredth of them), ``run`` leaves searched together, ``piece``: vectors or queries of a run that meet in one task."""
     sample: int = 20_000
     branches: int = 8
     leaf: int = 60
     recall: float = 0.97
+    half: float = 0.5
     calibrated: int = 200
     k: int = 20
     run: int = 16
@@ -74,15 +76,17 @@ class Tree:
                 todo += [(child, which[nearest == c]) for c, child in enumerate(self.children[node])]
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The leaves in the order of a best-bin-first walk."""
+    def visits(self, query: np.ndarray, most: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The leaves in the order of a best-bin-first walk: ``most`` of them, and on until they hold ``least`` vectors."""
         out: list[int] = []
         queue = [(0.0, 0, self.root)]
         count = 1
-        while queue and len(out) < most:
+        held = 0
+        while queue and (len(out) < most or held < least):
             _, _, node = heapq.heappop(queue)
             if node < 0:
                 out.append(-1 - node)
+                held += int(sizes[-1 - node]) if sizes is not None else 0
                 continue
             for d, child in zip(_distances(query[None], self.centres[node])[0].tolist(), self.children[node]):
                 heapq.heappush(queue, (d, count, child))
@@ -152,7 +156,9 @@ def search(vectors: DataFrame, is_query, settings: Settings = Settings()) -> Dat
     if largest is None:
         return spark.createDataFrame([], result)
     sample = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(settings.sample).toPandas()
-    tree = Tree(_lifted(np.stack(sample["v"].to_numpy()), largest), settings.branches, settings.leaf)
+    # The calibration's queries are left out of the fit, unless the sample is too small to spare them.
+    fitted = sample.iloc[settings.calibrated:] if len(sample) >= 10 * settings.calibrated else sample
+    tree = Tree(_lifted(np.stack(fitted["v"].to_numpy()), largest), settings.branches, settings.leaf)
     shared = spark.sparkContext.broadcast(tree)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +167,11 @@ def search(vectors: DataFrame, is_query, settings: Settings = Settings()) -> Dat
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf, pa.int32())], ["vec_id", "v", "leaf"])
 
     index = settle(rows.mapInArrow(place, "vec_id long, v array<double>, leaf int"), "index")
-    most = _calibrated(index, tree, sample, settings)
+    # One number per leaf; the tree has no more leaves than the sample has vectors.
+    sizes = np.zeros(tree.leaves, np.int64)
+    for leaf, n in index.groupBy("leaf").count().collect():
+        sizes[leaf] = n
+    most = _calibrated(index, tree, sizes, sample, settings)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,7 +179,7 @@ def search(vectors: DataFrame, is_query, settings: Settings = Settings()) -> Dat
             lifted = _matrix(batch.column("v")) if batch.num_rows else np.zeros((0, 1))
             lifted = np.concatenate((lifted, np.zeros((len(lifted), 1))), axis=1)
             for i, query_id in enumerate(batch.column("vec_id").to_pylist()):
-                leaves = np.array(sorted(shared.value.visits(lifted[i], most)))
+                leaves = np.array(sorted(shared.value.visits(lifted[i], most, sizes, settings.k + 1)))
                 for run, at in zip(*np.unique(leaves // settings.run, return_index=True)):
                     out.append((query_id, i, int(run), leaves[at:][leaves[at:] // settings.run == run].tolist()))
                 if len(out) > 5000 or i == batch.num_rows - 1:
@@ -181,13 +191,13 @@ def search(vectors: DataFrame, is_query, settings: Settings = Settings()) -> Dat
 
     probes = settle(rows.filter(is_query).mapInArrow(walk, "query_id long, q array<double>, run int, leaves array<int>"), "probes")
     run = F.expr(f"leaf div {settings.run}").cast("int")
-    sizes = index.groupBy(run.alias("run")).agg(F.count("*").alias("n")) \
+    pieces = index.groupBy(run.alias("run")).agg(F.count("*").alias("n")) \
         .join(probes.groupBy("run").agg(F.count("*").alias("m")), "run") \
         .select("run", F.ceil(F.col("n") / settings.piece).cast("int").alias("n"), F.ceil(F.col("m") / settings.piece).cast("int").alias("m"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = index.withColumn("run", run).join(sizes, "run") \
+    left = index.withColumn("run", run).join(pieces, "run") \
         .select("run", F.pmod(F.xxhash64("vec_id"), F.col("n")).cast("int").alias("i"), every("m").alias("j"), "leaf", "vec_id", "v")
-    right = probes.join(sizes, "run") \
+    right = probes.join(pieces, "run") \
         .select("run", every("n").alias("i"), F.pmod(F.xxhash64("query_id"), F.col("m")).cast("int").alias("j"), "query_id", "q", "leaves")
 
     def meet(here, queries):
@@ -221,8 +231,9 @@ def _lifted(rows: np.ndarray, largest: float) -> np.ndarray:
     return np.concatenate((rows, rest[:, None]), axis=1)
 
 
-def _calibrated(index: DataFrame, tree: Tree, sample, settings: Settings) -> int:
-    """How many leaves a query must visit so that the calibration queries find ``recall`` of their true neighbours.
+def _calibrated(index: DataFrame, tree: Tree, sizes: np.ndarray, sample, settings: Settings) -> int:
+    """How many leaves a query must visit so that the calibration queries find ``recall`` of their true neighbours, and
+    99 of 100 of them ``half`` of their own.
 
     Their true neighbours come from a pass over all vectors that keeps the best of each task.
     """
@@ -250,8 +261,17 @@ def _calibrated(index: DataFrame, tree: Tree, sample, settings: Settings) -> int
         .withColumn("rank", rank).filter(F.col("rank") <= k).select("q", "leaf").toPandas()
     if truth.empty:
         return tree.leaves
-    needed = []
+    needed, own = [], []
     for q, group in truth.groupby("q"):
         order = {leaf: i + 1 for i, leaf in enumerate(tree.visits(np.append(asked[q], 0.0), tree.leaves))}
-        needed += [order[x] for x in group["leaf"]]
-    return int(np.sort(needed)[min(len(needed) - 1, int(np.ceil(settings.recall * len(needed))) - 1)])
+        # What the walk reaches anyway because its first leaves hold too few vectors asks for no more leaves.
+        free = len(tree.visits(np.append(asked[q], 0.0), 1, sizes, k + 1))
+        places = [1 if order[x] <= free else order[x] for x in group["leaf"]]
+        needed += places
+        own.append(_share_of(places, settings.half))
+    return max(_share_of(needed, settings.recall), _share_of(own, 0.99))
+
+
+def _share_of(numbers: list[int], share: float) -> int:
+    """The least number that this share of the numbers does not exceed."""
+    return int(np.sort(numbers)[max(0, int(np.ceil(share * len(numbers))) - 1)])
