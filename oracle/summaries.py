@@ -271,6 +271,31 @@ QUERIES = {
         SELECT alert_id, alert_header_text, alert_severity_level, active_period_start, active_period_end,
                array_to_string(affected_route_ids, '|') AS affected_routes, timestamp
         FROM v_alerts ORDER BY timestamp DESC, alert_id LIMIT 20"""),
+    "recent_alerts_in_window": sql(f"""
+        SELECT alert_id, alert_severity_level, timestamp FROM {window('v_alerts', 360)}
+        ORDER BY timestamp DESC, alert_id LIMIT 50"""),
+    "headway_route_in_window": sql(f"""
+        SELECT 'Red' AS route_id, direction_id, count(s) AS total_headways, {r2('avg(s)')} AS average_headway,
+               count(*) FILTER (s < 180) AS bunching_incidents, count(*) FILTER (s > 900) AS gap_incidents
+        FROM (SELECT direction_id, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (
+                     PARTITION BY direction_id ORDER BY timestamp, id)))/1000000.0::DOUBLE AS s
+              FROM {window('v_vehicle_positions', 360)} WHERE route_id = 'Red')
+        GROUP BY direction_id HAVING count(s) > 0"""),
+    "latest_stats_route_vehicle_counts": sql("""
+        SELECT route_id, count(DISTINCT vehicle_id) AS vehicles FROM v_vehicle_positions
+        WHERE route_id IS NOT NULL GROUP BY 1"""),
+    "latest_stats_route_details": sql("""
+        SELECT id AS route_id, route_name AS name, route_type AS type, route_color AS color FROM v_routes"""),
+    "generic_feed_messages": sql("""
+        SELECT id, CASE WHEN said THEN trip_id END AS trip_id,
+               CASE WHEN said THEN CASE id % 5 WHEN 1 THEN 'ADDED' WHEN 2 THEN 'UNSCHEDULED' WHEN 3 THEN 'CANCELED' END END
+                   AS trip_relationship,
+               CASE WHEN said THEN CASE id % 4 WHEN 1 THEN 'STOPPED_AT' WHEN 2 THEN 'IN_TRANSIT_TO' END END AS current_status,
+               CASE WHEN said THEN CASE id % 6 WHEN 1 THEN 'RUNNING_SMOOTHLY' WHEN 2 THEN 'STOP_AND_GO'
+                    WHEN 3 THEN 'CONGESTION' WHEN 4 THEN 'SEVERE_CONGESTION' END END AS congestion_level,
+               CASE WHEN said THEN CASE id % 3 WHEN 1 THEN 'SKIPPED|' WHEN 2 THEN 'NO_DATA|' ELSE '' END || 'SKIPPED' END
+                   AS stop_relationships
+        FROM (SELECT *, id % 7 <> 0 AS said FROM v_vehicle_positions)"""),
     "kpi_last_points": sql(f"""
         SELECT 'hourly_delays' AS kind, h AS as_of, count(p.id) AS total_predictions
         FROM (SELECT unnest(generate_series({AS_OF} - INTERVAL 23 HOURS, {AS_OF}, INTERVAL 1 HOUR)) AS h)

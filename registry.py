@@ -242,6 +242,16 @@ def _(t):
         "last_updated")
 
 
+@query("latest_stats_route_vehicle_counts")
+def _(t):
+    return _latest(t)["route_vehicle_counts"]
+
+
+@query("latest_stats_route_details")
+def _(t):
+    return _latest(t)["route_details"]
+
+
 @query("latest_stats_vehicle_locations")
 def _(t):
     return _latest(t)["vehicle_locations"]
@@ -276,6 +286,13 @@ def _(t):
         "bunching_incidents", "gap_incidents")
 
 
+@query("headway_route_in_window")
+def _(t):
+    return headway.headways_of(t.vehicle_positions, "Red", as_of=AS_OF, hours=360).select(
+        "route_id", "direction_id", "total_headways",
+        analytics.r2(F.col("mean_s")).alias("average_headway"), "bunching_incidents", "gap_incidents")
+
+
 # Listings and top rows
 
 @query("route_listing")
@@ -320,6 +337,11 @@ def _(t):
         "active_period_end", joined("affected_route_ids").alias("affected_routes"), "timestamp")
 
 
+@query("recent_alerts_in_window")
+def _(t):
+    return topk.recent_alerts(t.alerts, 50, AS_OF, 360).select("alert_id", "alert_severity_level", "timestamp")
+
+
 @query("kpi_last_points")
 def _(t):
     hourly = analytics.delays(t.predictions, AS_OF, HOURS).select(
@@ -539,6 +561,25 @@ def _(t):
         "current_status", "congestion_level", "occupancy_status")
 
 
+@query("generic_feed_messages")
+def _(t):
+    """Nested messages with enum codes in messages, in lists of messages, missing and without a name."""
+    n = F.col("id")
+    stop = lambda code: F.struct(F.col("vehicle_id").alias("stop_id"), code.cast("int").alias("schedule_relationship"))
+    body = F.struct(
+        F.struct("trip_id", F.when(n % 5 == 4, 9).otherwise(n % 5).cast("int").alias("schedule_relationship")).alias("trip"),
+        F.when(n % 4 < 3, n % 4).cast("int").alias("current_status"), (n % 6).cast("int").alias("congestion_level"),
+        F.array(stop(n % 3), stop(F.lit(1))).alias("stop_time_update"))
+    lines = t.vehicle_positions.select(publish.as_json(n.alias("id"), F.when(n % 7 != 0, body).alias("vehicle")).alias("value"))
+    inner = "trip: struct<trip_id: string, schedule_relationship: int>, current_status: int, congestion_level: int, " \
+        "stop_time_update: array<struct<stop_id: string, schedule_relationship: int>>"
+    found = feeds.generic_messages(lines, f"id bigint, vehicle struct<{inner}>")
+    return found.select(
+        "id", "vehicle.trip.trip_id", F.col("vehicle.trip.schedule_relationship").alias("trip_relationship"),
+        "vehicle.current_status", "vehicle.congestion_level",
+        joined("vehicle.stop_time_update.schedule_relationship").alias("stop_relationships"))
+
+
 def feed_update_lines(t: Tables) -> DataFrame:
     update = F.struct(
         F.concat(F.lit("U"), "trip_id").alias("id"),

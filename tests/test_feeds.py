@@ -117,3 +117,17 @@ def test_codes(spark):
     assert one("9", codes.OCCUPANCY_STATUS) == 9
     assert one(3, codes.CONGESTION_LEVEL) == 3
     assert one("none such", codes.CONGESTION_LEVEL) is None
+
+
+def test_generic_messages(spark):
+    schema = "id string, trip struct<schedule_relationship: int>, updates array<struct<trip: struct<schedule_relationship: bigint>, more: array<int>>>"
+    lines = spark.createDataFrame([(x,) for x in (
+        '{"id": "a", "trip": {"schedule_relationship": 3}, "updates": [{"trip": {"schedule_relationship": 1}, "more": [0, 1]}, {"trip": null}, null]}',
+        '{"id": "b", "trip": {"schedule_relationship": 0}, "updates": []}', '{"id": "c", "trip": {"schedule_relationship": 77}}', "no message", None)],
+        "value string")
+    got = [r.asDict(recursive=True) for r in feeds.generic_messages(lines, schema).collect()]
+    assert got[0] == {"id": "a", "trip": {"schedule_relationship": "CANCELED"}, "updates": [
+        {"trip": {"schedule_relationship": "ADDED"}, "more": [0, 1]}, {"trip": None, "more": None}, None]}
+    assert got[1] == {"id": "b", "trip": {"schedule_relationship": None}, "updates": []}
+    assert got[2] == {"id": "c", "trip": {"schedule_relationship": None}, "updates": None}
+    assert all(x == {"id": None, "trip": None, "updates": None} for x in got[3:])

@@ -43,3 +43,13 @@ def test_headway_windows_run_on_ticks(spark, sf_dir):
     text = plan(QUERIES["q_headways"](spark, sf_dir))
     lowest = text[text.rindex("Window ["):]
     assert "partial_count(1)" in lowest and "slot" in lowest
+
+
+def test_documents_read_each_table_once(spark, sf_dir):
+    """Views of one file are told apart by their columns; the anomalies' histogram is the one second reading."""
+    scans = lambda df: [line for line in plan(df).splitlines() if "FileScan parquet" in line]
+    t = Tables(spark, sf_dir)
+    views = {name: len(scans(t(name))) for name in ("predictions", "vehicle_positions", "routes", "alerts")}
+    assert len(scans(QUERIES["latest_stats"](spark, sf_dir))) <= sum(views.values())
+    text = scans(QUERIES["stored_service_health"](spark, sf_dir))
+    assert len(text) == views["predictions"] + views["alerts"]

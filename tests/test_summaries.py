@@ -175,6 +175,22 @@ def test_enrichment_bounds(spark):
     assert one(enrich.affected_services(empty, empty)) == ["Unknown"]
 
 
+def test_documents_of_empty_tables(spark):
+    p = preds(spark).limit(0)
+    row = summaries.delays_with_routes(p).first()
+    assert row.delays == summaries.delay_distribution(p).first() and row.problem_routes == {}
+    v = spark.createDataFrame([], "vehicle_id string, timestamp timestamp")
+    assert tuple(summaries.vehicles_with_hours(v).first()) == (0, [0] * 24)
+
+
+def test_hours_of_vehicles(spark):
+    rows = [("a", NOW), ("a", NOW + H), ("b", NOW), ("b", None), ("c", None), (None, NOW)]
+    v = spark.createDataFrame(rows, "vehicle_id string, timestamp timestamp")
+    row = summaries.vehicles_with_hours(v).first()
+    assert row.active_vehicles == 3
+    assert row.hourly_vehicle_counts == [r.vehicles for r in summaries.vehicles_by_hour_of_day(v).orderBy("hour").collect()]
+
+
 def test_latest_stats(spark):
     tables = {
         "predictions": preds(spark, ("Red", "s", 121), ("Red", "s", 120), ("Blue", "s", 1000)),

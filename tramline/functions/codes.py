@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 # Feed names and the integer codes stored for them.
 SCHEDULE_RELATIONSHIP = {"scheduled": 0, "added": 1, "unscheduled": 2, "canceled": 3, "skipped": 4}
@@ -32,6 +33,31 @@ def to_code(value: Column, table: dict[str, int]) -> Column:
 FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
 
 
+# Enum codes of nested feed messages by the message and field that hold them.
+MESSAGE_ENUMS = {
+    "trip.schedule_relationship": {0: "SCHEDULED", 1: "ADDED", 2: "UNSCHEDULED", 3: "CANCELED"},
+    "stop_time_update.schedule_relationship": {0: "SCHEDULED", 1: "SKIPPED", 2: "NO_DATA"},
+    "vehicle.current_status": {0: "INCOMING_AT", 1: "STOPPED_AT", 2: "IN_TRANSIT_TO"},
+    "vehicle.congestion_level": {
+        0: "UNKNOWN_CONGESTION_LEVEL", 1: "RUNNING_SMOOTHLY", 2: "STOP_AND_GO", 3: "CONGESTION", 4: "SEVERE_CONGESTION"},
+}
+
+
+def with_names(value: Column, kind: DataType, enums: dict[str, dict[int, str]], path: str = "") -> Column:
+    """A nested message with names for its enum codes, at any depth.
+
+    ``enums`` is keyed by the last two names of a field's path. The code 0 and
+    codes without a name are null, as are missing messages; lists stay lists.
+    """
+    if isinstance(kind, StructType):
+        fields = [with_names(value[f.name], f.dataType, enums, f"{path}.{f.name}").alias(f.name) for f in kind]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda item: with_names(item, kind.elementType, enums, path))
+    table = enums.get(".".join(path.split(".")[-2:]))
+    return value if table is None else F.when(value != 0, lookup(value.cast("int"), table))
+
+
 def instant(seconds: Column) -> Column:
     """Epoch seconds as an instant; null when outside the years 1 to 9999."""
     inside = seconds.between(FIRST_SECOND, LAST_SECOND)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tramline.functions.clock import AsOf, recent
 from tramline.functions.measures import row_count
 
 LINE = ["route_id", "direction_id"]
@@ -80,3 +81,14 @@ def headway_moments(
             (F.sum("bunched") + F.count_if(edge < bunch_s) + bunched_repeats).alias("bunching_incidents"),
             (F.sum("gaps") + F.count_if(edge > gap_s)).alias("gap_incidents"))
         .where("total_headways > 0"))
+
+
+def headways_of(
+    positions: DataFrame, route_id: str, direction_id: int | None = None, as_of: AsOf = None, hours: float | None = None,
+    bunch_s: float = 180, gap_s: float = 900,
+) -> DataFrame:
+    """headway_moments() of one route within the window: per direction, or of one direction if it is given."""
+    line = recent(positions, as_of, hours).where(F.col("route_id") == route_id)
+    if direction_id is not None:
+        line = line.where(F.col("direction_id") == direction_id)
+    return headway_moments(line, bunch_s, gap_s)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tramline.functions.clock import AsOf, recent
+
 
 def newest(df: DataFrame, n: int, time: str = "timestamp", tie: str = "id") -> DataFrame:
     """The ``n`` newest rows; every task keeps only its own ``n`` before they are merged."""
@@ -24,8 +26,11 @@ def recent_predictions(predictions: DataFrame, limit: int = 100) -> DataFrame:
         "id", "trip_id", "route_id", "stop_id", iso("arrival_time"), "delay", iso("timestamp"))
 
 
-def recent_alerts(alerts: DataFrame, limit: int = 20) -> DataFrame:
-    return newest(alerts, limit, tie="alert_id")
+def recent_alerts(
+    alerts: DataFrame, limit: int = 20, as_of: AsOf = None, hours: float | None = None,
+) -> DataFrame:
+    """The newest alerts, of the window if one is given."""
+    return newest(recent(alerts, as_of, hours), limit, tie="alert_id")
 
 
 def kpi_points(snapshots: DataFrame, n: int = 24) -> DataFrame:

@@ -179,15 +179,22 @@ def summary_stats(tables, as_of: AsOf = None) -> DataFrame:
 def stored_service_health(
     predictions: DataFrame, alerts: DataFrame, as_of: AsOf = None, hours: float = 24,
 ) -> DataFrame:
-    rows = stack(
+    return _facts_and_alerts(predictions, alerts, as_of, hours).agg(*_stored_health(hours))
+
+
+def _facts_and_alerts(predictions: DataFrame, alerts: DataFrame, as_of: AsOf, hours: float) -> DataFrame:
+    return stack(
         tagged("prediction", recent(predictions, as_of, hours), "delay"),
         tagged("alert", recent(alerts, as_of, hours)))
+
+
+def _stored_health(hours: float) -> list[Column]:
     late = F.count_if(is_late(F.col("delay")))
-    return rows.agg(
+    return [
         F.lit(float(hours)).alias("time_window_hours"),
         _kind("prediction").alias("total_predictions"), late.alias("delayed_predictions"),
         F.coalesce(r2(percent(late, _kind("prediction"))), F.lit(0.0)).alias("delay_percentage"),
-        _kind("alert").alias("total_alerts"))
+        _kind("alert").alias("total_alerts")]
 
 
 def on_time_performance(
@@ -197,16 +204,20 @@ def on_time_performance(
     facts = recent(predictions, as_of, hours).select("route_id", "delay")
     if route_id is not None:
         facts = facts.where(F.col("route_id") == route_id)
+    return facts.agg(*_on_time(row_count()))
+
+
+def _on_time(n: Column) -> list[Column]:
+    """The measures of ``n`` predictions; rows of other kinds have no delay."""
     d = F.col("delay")
     late = F.count_if(is_late(d))
-    on_time = F.when(row_count() == 0, 0.0).when(F.count(d) == 0, 100.0).otherwise(
-        percent(row_count() - late, row_count()))
-    return facts.agg(
+    on_time = F.when(n == 0, 0.0).when(F.count(d) == 0, 100.0).otherwise(percent(n - late, n))
+    return [
         on_time.alias("on_time_percentage"),
         F.coalesce(ratio(F.sum(d.cast("bigint")), F.count(d)), F.lit(0.0)).alias("average_delay"),
         F.coalesce(F.stddev_samp(d), F.lit(0.0)).alias("delay_std_dev"),
-        row_count().alias("total_trips"), late.alias("delayed_trips"),
-        F.count_if(d > SEVERE_SECONDS).alias("severely_delayed_trips"))
+        n.alias("total_trips"), late.alias("delayed_trips"),
+        F.count_if(d > SEVERE_SECONDS).alias("severely_delayed_trips")]
 
 
 def route_on_time(
@@ -283,18 +294,50 @@ def delay_distribution(predictions: DataFrame, edges: tuple[int, int, int] = (12
         F.coalesce(r2(F.max(d) / 60.0), F.lit(0.0)).alias("max_delay_minutes"))
 
 
+def delays_with_routes(predictions: DataFrame, edges: tuple[int, int, int] = (120, 300, 900)) -> DataFrame:
+    """One row from one reading: ``delays`` as delay_distribution() gives them, and ``problem_routes``, delays by route.
+
+    Facts are counted per route first; the map is as long as the list of routes.
+    """
+    d = F.when(F.col("delay") > edges[0], F.col("delay"))
+    per_route = predictions.groupBy("route_id").agg(
+        F.count(d).alias("delays"), *breakdown(edges), F.sum(d.cast("bigint")).alias("total"), F.max(d).alias("most"))
+    n = F.sum("delays")
+    whole = [
+        zero_if_null(n).alias("total_delays"), *[zero_if_null(F.sum(c)).alias(c) for c in ("minor", "moderate", "major")],
+        F.coalesce(r2(ratio(F.sum("total"), n * 60.0)), F.lit(0.0)).alias("average_delay_minutes"),
+        F.coalesce(r2(F.max("most") / 60.0), F.lit(0.0)).alias("max_delay_minutes")]
+    entry = F.when(F.col("route_id").isNotNull() & (F.col("delays") > 0), F.struct("route_id", "delays"))
+    return per_route.agg(
+        F.struct(*whole).alias("delays"), F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("problem_routes"))
+
+
+def vehicles_with_hours(positions: DataFrame) -> DataFrame:
+    """One row from one reading: distinct vehicles, and of each hour of the day, as a list of 24.
+
+    A vehicle's hours are the bits of one number, so the shuffle carries one row per vehicle.
+    """
+    hours = positions.groupBy("vehicle_id").agg(
+        F.bit_or(F.expr("shiftleft(1, hour(timestamp))")).alias("hours")).where("vehicle_id IS NOT NULL")
+    return hours.agg(
+        row_count().alias("active_vehicles"),
+        F.array(*[F.count_if(F.getbit("hours", F.lit(h)) == 1) for h in range(24)]).alias("hourly_vehicle_counts"))
+
+
 def service_summary(
     predictions: DataFrame, alerts: DataFrame, as_of: AsOf = None, hours: float = 1,
 ) -> DataFrame:
-    """One row: on-time performance, stored health, anomalies and the overall status."""
+    """One row: on-time performance, stored health, anomalies and the overall status.
+
+    All counted measures come from one reading of both tables; only the anomalies' histogram reads them again.
+    """
     found = rules.anomalies(predictions, alerts, as_of, hours).agg(
         F.collect_list(F.struct("anomaly_type", "severity", "description", "confidence_score"))
         .alias("anomalies"),
         F.count_if(F.col("severity") == "high").alias("high_anomalies"))
-    performance = on_time_performance(predictions, as_of, hours).select(
-        "on_time_percentage", (F.col("average_delay") / 60.0).alias("average_delay_minutes"),
-        "delayed_trips", "total_trips")
-    parts = fold(performance, stored_service_health(predictions, alerts, as_of, hours), found)
+    measures = _facts_and_alerts(predictions, alerts, as_of, hours).agg(
+        *_on_time(_kind("prediction")), *_stored_health(hours)).withColumn("average_delay_minutes", F.col("average_delay") / 60.0)
+    parts = fold(measures.drop("average_delay", "delay_std_dev", "severely_delayed_trips"), found)
     score = rules.overall_score(
         F.col("on_time_percentage"), F.col("high_anomalies"), F.col("total_alerts"))
     return parts.withColumn("timestamp", as_of_column(as_of)).withColumn(
@@ -318,16 +361,11 @@ def latest_stats(tables, as_of: AsOf = None) -> dict[str, DataFrame]:
     predictions, positions = tables("predictions"), tables("vehicle_positions")
     routes, alerts = tables("routes"), tables("alerts")
     active = alerts.where(rules.alert_active(as_of_column(as_of)))
-    slots = vehicles_by_hour_of_day(positions).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("hour", "vehicles"))), lambda s: s["vehicles"]
-    ).alias("hourly_vehicle_counts"))
     totals = fold(
         routes.agg(row_count().alias("total_routes")),
-        positions.agg(F.count_distinct("vehicle_id").alias("active_vehicles")),
+        vehicles_with_hours(positions),
         active.agg(row_count().alias("active_alerts")),
-        delay_distribution(predictions).select(F.struct("*").alias("delays")),
-        as_map(problem_routes(predictions, k=None), "route_id", "delays", "problem_routes"),
-        slots,
+        delays_with_routes(predictions),
     ).withColumn("last_updated", as_of_column(as_of))
     return {
         "totals": totals,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tramline.functions import codes
 from tramline.operators.shape import stack
 from tramline.schemas import DOCUMENTS
 
@@ -101,6 +102,13 @@ def feed_messages(lines: DataFrame) -> DataFrame:
     return documents(decode(lines, DOCUMENTS["feed"])).drop("raw", "position")
 
 
+def generic_messages(lines: DataFrame, schema: str, enums: dict[str, dict[int, str]] = codes.MESSAGE_ENUMS) -> DataFrame:
+    """Landed nested messages of any ``schema`` (DDL), their enum codes as names; a line that is no message has only nulls."""
+    read = lines.select(F.from_json("value", schema).alias("doc"))
+    kind = read.schema["doc"].dataType
+    return read.select(*[codes.with_names(F.col("doc")[f.name], f.dataType, enums, f.name).alias(f.name) for f in kind])
+
+
 def protobuf_messages(blobs: DataFrame, descriptor: str, message: str = "transit_realtime.FeedMessage") -> DataFrame:
     """Binary feed files (column ``content``) as feed messages, where the protobuf module is installed."""
     from pyspark.sql.protobuf.functions import from_protobuf
