@@ -154,6 +154,68 @@ def test_likeness_and_first_difference():
     assert a.text.count("(") == len(a.sections) and len(leaves(a)) == len(a.starts)
 
 
+def plain_tree(text):
+    """The tree as nested lists, cut word by word; (hash, children) per node, and its written form."""
+    power = merkle._ROLLING
+    sha = lambda mark, data: hashlib.sha256(mark + data).digest()
+    leaves, word, leaf = [], b"", b""
+    for i, c in enumerate(text):
+        byte = bytes([c])
+        word, leaf = word + byte, leaf + byte
+        if byte in (b" ", b"\n") and i < len(text) - 1:
+            data = np.frombuffer(word, np.uint8)
+            value = int(power.stretch(power.prefix(data), np.array([0]), np.array([len(data)]))[0])
+            if value % merkle.WORDS == 0 or byte == b"\n" or text[max(i - 1, 0):max(i, 1)] in (b".", b"!", b"?", b"\n"):
+                leaves.append(leaf)
+                leaf = b""
+            word = b""
+    leaves += [leaf] if leaf else []
+    paragraphs, some = [], []
+    for k, x in enumerate(leaves):
+        some.append(x)
+        if k == len(leaves) - 1 or x.endswith(b"\n") and not leaves[k + 1].startswith(b"\n"):
+            paragraphs.append((sha(b"p", b"".join(sha(b"l", y) for y in some)), some))
+            some = []
+    sections, some = [], []
+    for k, x in enumerate(paragraphs):
+        some.append(x)
+        if k == len(paragraphs) - 1 or x[0][-1] % merkle.PARAGRAPHS == 0:
+            sections.append((sha(b"s", b"".join(y[0] for y in some)), some))
+            some = []
+    root = sha(b"r", b"".join(x[0] for x in sections))
+    written = root[:16].hex() + ":" + "".join(
+        h[:8].hex() + "(" + "".join(g[:4].hex() + "[" + "".join(sha(b"l", y)[:4].hex() for y in ys) + "]" for g, ys in ps) + ")" for h, ps in sections)
+    return leaves, sections, written
+
+
+def test_trees_equal_plain_trees():
+    rng = random.Random(9)
+    texts = [b"", b" ", b"\n", b"\n\n", b"a", b"a\n", b"\n a", b"one. two! three? ", b"x" * 5000, b"no end of words " * 300]
+    for _ in range(60):
+        texts.append("".join(rng.choice(["alpha", "bet", "\n", "\n\n", " ", " ", "e. ", "f!\n", "日本 "]) for _ in range(rng.randrange(400))).encode())
+    from collections import Counter
+    plain = [plain_tree(x) for x in texts]
+    trees = [merkle.tree(x) for x in texts]
+    for text, (leaves, sections, written), t in zip(texts, plain, trees):
+        assert t.text == written and b"".join(leaves) == text
+        assert t.widths == [len(ps) for _, ps in sections]
+    for i in range(len(texts)):
+        for j in (i, (i + 1) % len(texts), (i * 7) % len(texts)):
+            x, y = plain[i][0], plain[j][0]
+            want = 1.0 if texts[i] == texts[j] else 2 * sum((Counter(x) & Counter(y)).values()) / (len(x) + len(y))
+            assert merkle.likeness(trees[i], trees[j]) == pytest.approx(want, abs=1e-12)
+            assert (trees[i].root == trees[j].root) == (texts[i] == texts[j])
+            if texts[i] != texts[j] and x:
+                k = next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+                assert merkle.first_difference(trees[i], trees[j]) == len(b"".join(x[:min(k, len(x) - 1)]))
+
+
+@pytest.mark.parametrize("kind", ["smallint", "string", "bigint"])
+def test_fingerprints_of_other_ids(spark, kind):
+    docs = spark.sql(f"SELECT cast(id AS {kind}) AS doc_id, concat('text ', id) AS text FROM range(5)")
+    assert sorted(int(r.doc_id) for r in merkle.edited_fingerprints(docs).collect()) == [0, 1, 2, 3, 4]
+
+
 def test_every_block_is_in_time():
     for weights in ({"a": 1}, {"a": 7, "b": 2, "c": 1}, {"a": 1, "b": 1, "c": 1}, {"a": 50, **{f"s{i}": i + 1 for i in range(9)}}):
         total = sum(weights.values())

@@ -1,14 +1,15 @@
-"""Fingerprints of documents: Merkle trees over pieces of paragraphs and sections.
+"""Fingerprints of documents: Merkle trees over leaves, paragraphs and sections.
 
 Leaves are stretches of a text that end with a line, a sentence or a word whose
-hash says so; a section ends with a leaf whose hash says so. Cuts depend on the
-text near them alone, so an edit moves no cut further on. A section's hash is
-over its leaves' hashes and the root over the sections' hashes: equal roots
-mean equal texts, and where two trees differ only sections with unequal hashes
-need be looked into.
-
-The written form is ``root:section(leaf leaf ...)section(...)`` in hex digits
-without blanks: 32 for the root, 16 for a section, 8 for a leaf.
+hash says so; paragraphs end with a line (blank lines belong to the one before),
+and sections with a paragraph whose hash says so. Cuts depend on the text near
+them alone, so an edit moves no cut further on. A leaf's hash is SHA-256 of its
+bytes, and every node's hash SHA-256 of its children's, each level with a mark of
+its own: equal roots mean equal texts, and where two trees differ only branches
+with unequal hashes need be looked into.
+
+The written form is ``root:section(paragraph[leaf leaf ...]...)...`` in hex
+digits without blanks: 32 for the root, 16 for a section, 8 for the others.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tramline.llm.common import Rolling
 
-#: One word in so many ends a leaf, and one leaf in so many a section.
-WORDS, LEAVES = 8, 16
+#: One word in so many ends a leaf, and one paragraph in so many a section.
+WORDS, PARAGRAPHS = 8, 8
 #: Documents of one range of ids, about.
 RANGE = 4000
 
@@ -38,21 +40,34 @@ _STOP[list(b".!?\n")] = True
 
 @dataclass(frozen=True)
 class Tree:
+    """``widths``: paragraphs per section; ``leaves``: the hashes of each paragraph's leaves; ``starts``: where leaves begin."""
     root: bytes
     sections: list[bytes]
+    widths: list[int]
+    paragraphs: list[bytes]
     leaves: list[np.ndarray]
     starts: np.ndarray
 
+    def within(self) -> list[range]:
+        """The paragraphs of each section."""
+        ends = np.cumsum(self.widths).tolist()
+        return [range(end - width, end) for width, end in zip(self.widths, ends)]
+
     @property
     def text(self) -> str:
-        return self.root.hex() + ":" + "".join(
-            f"{s.hex()}({x.astype('>u4').tobytes().hex()})" for s, x in zip(self.sections, self.leaves))
+        inner = [f"{p[:4].hex()}[{(x >> np.uint64(32)).astype('>u4').tobytes().hex()}]" for p, x in zip(self.paragraphs, self.leaves)]
+        outer = (f"{s[:8].hex()}({''.join(inner[k] for k in some)})" for s, some in zip(self.sections, self.within()))
+        return f"{self.root[:16].hex()}:{''.join(outer)}"
+
+
+def _hash(level: bytes, data: bytes) -> bytes:
+    return hashlib.sha256(level + data).digest()
 
 
 def tree(text: bytes) -> Tree:
     """The tree of one text; an empty text has a root and nothing else."""
     if not text:
-        return Tree(hashlib.sha256(b"").digest()[:16], [], [], np.zeros(0, np.int64))
+        return Tree(_hash(b"r", b""), [], [], [], [], np.zeros(0, np.int64))
     data = np.frombuffer(text, np.uint8)
     sums = _ROLLING.prefix(data)
     gaps = np.flatnonzero((data[:-1] == 32) | (data[:-1] == 10)) + 1
@@ -61,53 +76,72 @@ def tree(text: bytes) -> Tree:
     before = data[np.maximum(gaps - 2, 0)]
     cut = gaps[(words % np.uint64(WORDS) == 0) | (data[gaps - 1] == 10) | _STOP[before]]
     starts = np.concatenate(([0], cut))
-    ends = np.concatenate((cut, [len(data)]))
-    hashes = _ROLLING.stretch(sums, starts, ends)
-    stops = np.flatnonzero(hashes % np.uint64(LEAVES) == 0) + 1
-    if not len(stops) or stops[-1] != len(hashes):
-        stops = np.concatenate((stops, [len(hashes)]))
-    groups = np.split(hashes, stops[:-1])
-    sections = [hashlib.sha256(g.tobytes()).digest()[:8] for g in groups]
-    root = hashlib.sha256(b"".join(sections)).digest()[:16]
-    return Tree(root, sections, [(g >> np.uint64(32)).astype(np.uint32) for g in groups], starts)
+    hashes = [_hash(b"l", text[i:j]) for i, j in zip(starts.tolist(), [*cut.tolist(), len(data)])]
+    # Leaf k + 1 begins a paragraph if leaf k ends a line and no blank line follows.
+    first = np.flatnonzero((data[cut - 1] == 10) & (data[cut] != 10)) + 1
+    bounds = [0, *first.tolist(), len(hashes)]
+    paragraphs = [_hash(b"p", b"".join(hashes[i:j])) for i, j in zip(bounds, bounds[1:])]
+    short = np.frombuffer(b"".join(h[:8] for h in hashes), ">u8").astype(np.uint64)
+    leaves = [short[i:j] for i, j in zip(bounds, bounds[1:])]
+    stops = [k + 1 for k, h in enumerate(paragraphs) if h[-1] % PARAGRAPHS == 0]
+    if not stops or stops[-1] != len(paragraphs):
+        stops.append(len(paragraphs))
+    widths = [j - i for i, j in zip([0, *stops], stops)]
+    sections = [_hash(b"s", b"".join(paragraphs[j - w:j])) for w, j in zip(widths, stops)]
+    return Tree(_hash(b"r", b"".join(sections)), sections, widths, paragraphs, leaves, starts)
+
+
+def _unmatched(hashes: list[bytes], both: Counter) -> list[int]:
+    """The places of all hashes beyond those in ``both``."""
+    left, out = Counter(both), []
+    for i, h in enumerate(hashes):
+        if left[h] > 0:
+            left[h] -= 1
+        else:
+            out.append(i)
+    return out
 
 
 def likeness(a: Tree, b: Tree) -> float:
-    """Twice the shared leaves over all leaves, from 0 to 1; leaves of equal sections are not looked at one by one."""
+    """Twice the shared leaves over all leaves, from 0 to 1; leaves of equal sections and paragraphs are not looked at one by one."""
     if a.root == b.root:
         return 1.0
-    total = sum(map(len, a.leaves)) + sum(map(len, b.leaves))
+    total = len(a.starts) + len(b.starts)
     both = Counter(a.sections) & Counter(b.sections)
-    shared, rest = 0, []
+    open_ = []
     for t in (a, b):
-        left, other = Counter(both), []
-        for section, leaves in zip(t.sections, t.leaves):
-            if left[section] > 0:
-                left[section] -= 1
-                shared += len(leaves)
-            else:
-                other.append(leaves)
-        rest.append(np.concatenate(other) if other else np.zeros(0, np.uint32))
+        within = t.within()
+        open_.append([k for i in _unmatched(t.sections, both) for k in within[i]])
+    some = [[t.paragraphs[k] for k in places] for t, places in zip((a, b), open_)]
+    both = Counter(some[0]) & Counter(some[1])
+    rest = []
+    for t, places, hashes in zip((a, b), open_, some):
+        leaves = [t.leaves[places[i]] for i in _unmatched(hashes, both)]
+        rest.append(np.concatenate(leaves) if leaves else np.zeros(0, np.uint64))
+    shared = total - sum(map(len, rest))
     (x, n), (y, m) = (np.unique(r, return_counts=True) for r in rest)
     _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
     return float((shared + 2 * np.minimum(n[i], m[j]).sum()) / total)
 
 
+def _first(a, b) -> int:
+    """The first place at which two sequences differ."""
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
 def first_difference(a: Tree, b: Tree) -> int | None:
-    """The byte of ``a`` at which the first leaf begins that differs from ``b``; None for equal trees."""
+    """The byte of ``a`` at which the first leaf begins that differs from ``b``; None for equal trees.
+
+    Goes down the tree by the first branch that differs on each level.
+    """
     if a.root == b.root:
         return None
-    at = 0
-    for i, section in enumerate(a.sections):
-        if i < len(b.sections) and b.sections[i] == section:
-            at += len(a.leaves[i])
-            continue
-        mine = a.leaves[i]
-        theirs = b.leaves[i] if i < len(b.sections) else mine[:0]
-        n = min(len(mine), len(theirs))
-        differ = np.flatnonzero(mine[:n] != theirs[:n])
-        at += int(differ[0]) if len(differ) else n
-        break
+    section = _first(a.sections, b.sections)
+    k = sum(a.widths[:section])
+    k += _first(a.paragraphs[k:], b.paragraphs[k:])
+    at = sum(map(len, a.leaves[:k]))
+    if k < len(a.leaves) and k < len(b.leaves):
+        at += _first(a.leaves[k].tolist(), b.leaves[k].tolist())
     return int(a.starts[min(at, len(a.starts) - 1)]) if len(a.starts) else 0
 
 
@@ -166,7 +200,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(out, schema=arrow)
 
     arrow = pa.schema([
-        ("doc_id", {"bigint": pa.int64(), "int": pa.int32()}.get(kind, pa.string())), ("n_chars", pa.int64()),
+        ("doc_id", to_arrow_type(docs.schema["doc_id"].dataType)), ("n_chars", pa.int64()),
         ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
         ("near_edited", pa.float64()), ("near_next", pa.float64()), ("first_difference", pa.int64())])
     return own.union(copies).repartition(max(ranges, 1), "part").sortWithinPartitions("part", "copy", "key", "text") \
