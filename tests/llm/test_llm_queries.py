@@ -7,13 +7,14 @@ from html import unescape
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tramline.llm import mixing, pieces, token_files, toxicity  # noqa: E402
+from tramline.llm import common, mixing, pieces, token_files, toxicity  # noqa: E402
 from tramline.llm.queries import ORACLE, OTHER_WEIGHT, QUERIES, WEIGHTS, vocabulary  # noqa: E402
 from tramline.session import settle  # noqa: E402
 
@@ -192,3 +193,22 @@ def test_pipeline_rows_have_their_places(spark, sf_dir):
     want = mixing.mixed_order(spark.createDataFrame([(r.doc_id, r.source) for r in got], "doc_id long, source string"), WEIGHTS, OTHER_WEIGHT)
     assert [(r.doc_id, r.source, r.slot, r.position) for r in got] == [
         (r.doc_id, r.source, r.slot, r.position) for r in want.orderBy("position").collect()]
+
+
+def test_mixing_runs_without_python_workers(spark):
+    """A list of tuples comes as rows of Python workers, which stay beside those of the Arrow operators."""
+    rows = spark.range(40).selectExpr("id AS doc_id", "concat('src', id % 3) AS source", "'text' AS text")
+    plan = mixing.placed_documents(rows, WEIGHTS, OTHER_WEIGHT)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan and "LogicalRDD" not in plan
+
+
+def test_a_waiting_worker_holds_no_words(monkeypatch):
+    """A task that is through leaves the model in its worker, but neither words nor free memory."""
+    unigram, words = pieces.load(vocabulary("piece_bpe_32k.model"))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", "some more words"]})
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(len(words._start)))
+    step = common.lean(lambda batches: pieces._decoded(pieces._encoded(batches, vocabulary("piece_bpe_32k.model")), vocabulary("piece_bpe_32k.model")))
+    got = [t for b in step(iter([batch, batch])) for t in b.column("text").to_pylist()]
+    assert got == ["some words", "some more words"] * 2
+    assert calls == [1] and not words._hash.any()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -111,6 +112,30 @@ class Rolling:
         return mixed(raw + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def give_back() -> None:
+    """Memory that is free in this Python worker goes back to the system; its allocators would keep it while the worker waits."""
+    pa.default_memory_pool().release_unused()
+    # Only the GNU C library has it.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(step: Step) -> Step:
+    """``step`` for mapInArrow(), after whose last row the worker gives its free memory back.
+
+    Spark keeps a worker for later tasks and hands tasks to waiting workers in
+    turn, so an executor has more workers than tasks that run.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from step(batches)
+        give_back()
+    return run
+
+
 def unique_ids(df: DataFrame, key: str) -> bool:
     """Whether ``key`` is never null and never repeats."""
     twice = df.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull())

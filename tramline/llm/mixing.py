@@ -10,6 +10,7 @@ weights add up to, so one period, a few rows, gives the slot of every block.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +61,9 @@ def mixed_order(docs: DataFrame, weights: dict[str, int], other: int, seed: int
 
 def _placed(rows: DataFrame, weights: dict[str, int], other: int, seed: int, block: int) -> DataFrame:
     """``rows`` (structs ``row`` with doc_id and source) with their share, block, slot and position."""
-    slots = rows.sparkSession.createDataFrame(period({**weights, OTHER: other}), "share string, nth long, at long")
+    # As Arrow: a list of tuples would go through Python workers of its own on the executors.
+    columns = (pa.array(c, kind) for c, kind in zip(zip(*period({**weights, OTHER: other})), (pa.string(), pa.int64(), pa.int64())))
+    slots = rows.sparkSession.createDataFrame(pa.table(dict(zip(("share", "nth", "at"), columns))))
     total = sum(weights.values()) + other
     source, doc_id = F.col("row.source"), F.col("row.doc_id")
     named = source.isin(*weights) if weights else F.lit(False)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.common import Scratch, checkpointed, chunks, mixed, settle, strings
+from tramline.llm.common import Scratch, checkpointed, chunks, lean, mixed, settle, strings
 from tramline.llm.components import components
 from tramline.llm.shingles import shingle_sets
 
@@ -127,7 +127,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                 sets = shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], settings.words)
                 yield _signed(batch.column("doc_id")[lo:hi], sets, factors, settings)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sign, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(sign), schema)
 
 
 def _set_hash(one: np.ndarray) -> np.uint64:
@@ -196,7 +196,7 @@ def _packed(texts: DataFrame, settings: Settings) -> DataFrame:
                 hashes = np.array([_set_hash(s) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
                 yield part.filter(pa.array(hashes == part.column("set_hash").to_numpy()))
 
-    return texts.mapInArrow(pack, "set_hash long, shingles binary").dropDuplicates(["set_hash"])
+    return texts.mapInArrow(lean(pack), "set_hash long, shingles binary").dropDuplicates(["set_hash"])
 
 
 def _across(
@@ -307,4 +307,4 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, settings: Set
 
     side = lambda name, as_: sets.select(F.col("set_hash").alias(name), F.col("shingles").alias(as_))
     return pairs.join(side("b", "y"), "b").join(side("a", "x"), "a") \
-        .select("a", "b", "x", "y").mapInArrow(linked, "a long, b long")
+        .select("a", "b", "x", "y").mapInArrow(lean(linked), "a long, b long")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import chunks, strings
+from tramline.llm.common import chunks, lean, strings
 from tramline.llm.word_pool import WordPool
 
 MARKER = "▁"
@@ -265,6 +265,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c)[lo:hi] for c in carried), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))],
                 [*carried, "ids"])
+    # A worker that waits for its next task holds the model, but no words.
+    words.clear()
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
@@ -282,7 +284,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     """``docs`` (its ``doc_id`` and ``text``) as ``doc_id, ids``; null or empty text has no ids. Rows are taken one by one."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")) \
-        .mapInArrow(lambda batches: _encoded(batches, model), f"doc_id {kind}, ids array<int>")
+        .mapInArrow(lean(lambda batches: _encoded(batches, model)), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -292,13 +294,13 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(
-        lambda batches: _decoded(batches, model), f"doc_id {kind}, ids array<int>, n_tokens long, ids_crc32 long, text string")
+        lean(lambda batches: _decoded(batches, model)), f"doc_id {kind}, ids array<int>, n_tokens long, ids_crc32 long, text string")
 
 
 def both_ways(docs: DataFrame, model: str, carried: tuple[str, ...] = ()) -> DataFrame:
     """Encodes ``docs`` and decodes the ids, in one worker: the columns of decode(), then those named in ``carried``. Rows keep their order."""
     kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", *carried))
     return docs.select("doc_id", *carried, F.col("text").cast("string").alias("text")).mapInArrow(
-        lambda batches: _decoded(_encoded(batches, model), model),
+        lean(lambda batches: _decoded(_encoded(batches, model), model)),
         f"{kinds}, ids array<int>, n_tokens long, ids_crc32 long, text string") \
         .select("doc_id", "ids", "n_tokens", "ids_crc32", "text", *carried)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.llm.common import CHUNK, PREFIX, Rolling, chunks, numbered, settle, shared_dir, strings, unique_ids
+from tramline.llm.common import CHUNK, PREFIX, Rolling, chunks, lean, numbered, settle, shared_dir, strings, unique_ids
 
 SPAN = 100
 GRAM = 24
@@ -121,7 +121,7 @@ def _cut(docs: DataFrame, as_text: bool) -> DataFrame:
                     pa.array(kept, pa.string() if as_text else pa.binary())],
                     ["row", "n_bytes", "n_removed", "spans", "kept"])
 
-    return docs.join(lists.hint("shuffle_hash"), "key", "left").select("row", "text", "starts", "ends").mapInArrow(cut, schema)
+    return docs.join(lists.hint("shuffle_hash"), "key", "left").select("row", "text", "starts", "ends").mapInArrow(lean(cut), schema)
 
 
 def _bucketed(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -255,9 +255,9 @@ def _repeated(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(c)) for c in filled], ["key", "at", "several", "gram", "hot"])
 
-    rows = docs.select("key", "text").mapInArrow(describe, "gram long, context long, key long, at long, more binary")
+    rows = docs.select("key", "text").mapInArrow(lean(describe), "gram long, context long, key long, at long, more binary")
     return rows.repartition("gram").sortWithinPartitions("gram", "context", "key", "at") \
-        .mapInArrow(sift, "key long, at long, several boolean, gram long, hot boolean")
+        .mapInArrow(lean(sift), "key long, at long, several boolean, gram long, hot boolean")
 
 
 def _gathered(key: np.ndarray, at: np.ndarray, gram: np.ndarray, context: np.ndarray) -> pa.RecordBatch:
@@ -322,7 +322,7 @@ def _dealt(docs: DataFrame, anchors: DataFrame, buckets: int) -> tuple[DataFrame
         """``key, at, lo, hi, code`` with the bytes on both sides."""
         lists = marks.repartition(buckets, "key").groupBy("key").agg(F.collect_list(F.struct("at", "lo", "hi", "code")).alias("marks"))
         return docs.select("key", "text").join(lists.hint("shuffle_hash"), "key").select("key", "text", "marks").mapInArrow(
-            read, "key long, at long, lo int, hi int, code long, left binary, right binary")
+            lean(read), "key long, at long, lo int, hi int, code long, left binary, right binary")
 
     left, right = "substring(left, -{0}, {0})", f"substring(right, 1, {SPAN} - {{0}})"
     level = anchors.select("key", "at", F.lit(0).alias("lo"), F.lit(LEFT).alias("hi"), F.lit(0).cast("long").alias("code"))
@@ -352,7 +352,7 @@ def _dealt(docs: DataFrame, anchors: DataFrame, buckets: int) -> tuple[DataFrame
         same.append(window.join(firsts, ["lo", "window"]).filter(F.struct("key", "at") != F.col("first"))
                     .select("key", start.alias("start"), (start + SPAN).alias("end")))
         level = large.filter("lo < hi").select("key", "at", "lo", "hi", "code")
-    none = docs.sparkSession.createDataFrame([], "key long, start long, end long")
+    none = docs.sparkSession.range(0).selectExpr("id AS key", "id AS start", "id AS end")
     return reduce(DataFrame.union, runs or [_dealt_runs(
         contexts(level.limit(0)).withColumn("part", F.lit(0)))]), reduce(DataFrame.union, same or [none])
 
@@ -381,7 +381,7 @@ def _dealt_runs(groups: DataFrame) -> DataFrame:
             at = end
         return _coded([r[1:] for r in rows], cuts)
 
-    return groups.select("lo", "hi", "part", "right", "left", "key", "at").mapInArrow(write, _RUN)
+    return groups.select("lo", "hi", "part", "right", "left", "key", "at").mapInArrow(lean(write), _RUN)
 
 
 def _runs(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
@@ -418,7 +418,7 @@ def _runs(docs: DataFrame, anchors: DataFrame, buckets: int) -> DataFrame:
         if rows:
             yield _front_coded(rows, splitters)
 
-    return texts.join(_lists(anchors, buckets).hint("shuffle_hash"), "key").select("key", "text", "ats").mapInArrow(write, _RUN)
+    return texts.join(_lists(anchors, buckets).hint("shuffle_hash"), "key").select("key", "text", "ats").mapInArrow(lean(write), _RUN)
 
 
 def _prefixes(items: list[bytes], sizes: np.ndarray, width: int) -> np.ndarray:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.common import Rolling, chunks, strings
+from tramline.llm.common import Rolling, chunks, give_back, lean, strings
 
 _ROLLING = Rolling(5150)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -102,7 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((some, [-1]))), *(
             pa.array(np.concatenate((seen[c][some], [n[c]]))) for c in (0, 1))], ["bucket", "other", "toxic"])
 
-    counts = texts.mapInArrow(count, "bucket long, other long, toxic long").groupBy("bucket") \
+    counts = texts.mapInArrow(lean(count), "bucket long, other long, toxic long").groupBy("bucket") \
         .agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")) \
         .filter((F.col("bucket") < 0) | (F.col("other") + F.col("toxic") >= settings.least)).toPandas()
     whole = counts[counts.bucket < 0]
@@ -130,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
                     pa.array([x.astype("<u2").tobytes() for x in np.split(at, np.searchsorted(text, np.arange(1, hi - lo)))], pa.binary())],
                     ["toxic", "at"])
 
-    rows = sorted((r["toxic"], bytes(r["at"])) for r in texts.mapInArrow(present, "toxic int, at binary").collect())
+    rows = sorted((r["toxic"], bytes(r["at"])) for r in texts.mapInArrow(lean(present), "toxic int, at binary").collect())
     weight, bias = _regression([np.frombuffer(at, "<u2").astype(np.int64) for _, at in rows],
                                np.array([y for y, _ in rows], float), ratio, settings)
     out = np.zeros(settings.buckets, np.float32)
@@ -184,7 +184,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[lo:hi], pa.array(score)], ["doc_id", "score"])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, f"doc_id {kind}, score double") \
+        .mapInArrow(lean(run), f"doc_id {kind}, score double") \
         .select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -206,6 +206,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
             text, at = features(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], model.settings, place)
             z = model.bias + np.bincount(text, model.weight[used].astype(float)[at], hi - lo)
             out[lo:hi] = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+        give_back()
         return pa.array(out)
 
     return docs.filter(score(F.col("text").cast("string")) < 0.5)

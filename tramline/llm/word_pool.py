@@ -23,9 +23,9 @@ class WordPool:
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most_ids: int = 1 << 22):
         self._encode, self._most = encode, most_ids
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self._hash = np.zeros(_SLOTS, np.uint64)
         self._entry = np.zeros(_SLOTS, np.int64)
         self._ids = np.zeros(1 << 16, np.int32)
@@ -50,7 +50,7 @@ class WordPool:
         ``of_text`` says where each text's parts begin, with the number of parts at its end.
         """
         if self._start[-1] > self._most:
-            self._clear()
+            self.clear()
         hashes = _ROLLING.stretch(_ROLLING.prefix(data), start, end)
         slot = (hashes & np.uint64(_SLOTS - 1)).astype(np.int64)
         entry = self._entry[slot]
