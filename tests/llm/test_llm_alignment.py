@@ -133,6 +133,30 @@ def test_alignment(spark, sizes):
     assert got == by_hand(rows)
 
 
+def test_ids_are_written_once_for_both_passes(spark, tmp_path, monkeypatch):
+    """Both passes read the ids that one step wrote; the file gives back what the libraries say, for parts of any kind."""
+    both = alignment.sides(BYTES, PIECES)
+    parts = pa.array([" the", "\n", "日本", "x" * 3000, *(" " + t for t in texts(6, 200, 12))], pa.large_string())
+    monkeypatch.setattr(alignment, "STRETCH", 100)
+    url = alignment.write_tokens(parts, both, str(tmp_path), 7)
+    want = both.a(parts.to_pylist()), both.b(parts.to_pylist())
+    tokens = alignment.Tokens(url)
+    for lo, hi in ((0, len(parts)), (3, 50), (4, 4)):
+        a, n_a, b, n_b = tokens.of(lo, hi)
+        assert a.tolist() == [i for x in want[0][lo:hi] for i in x] and n_a.tolist() == [len(x) for x in want[0][lo:hi]]
+        assert b.tolist() == [i for x in want[1][lo:hi] for i in x] and n_b.tolist() == [len(x) for x in want[1][lo:hi]]
+    none = alignment.Tokens(alignment.write_tokens(pa.array([], pa.large_string()), both, str(tmp_path), 8))
+    assert [len(x) for x in none.of(0, 0)] == [0, 0, 0, 0]
+
+    def refuse(self, some):
+        raise AssertionError("encoded again")
+
+    monkeypatch.setattr(alignment.Sides, "a", refuse)
+    monkeypatch.setattr(alignment.Sides, "b", refuse)
+    aligned = list(alignment._stretches(parts, both, tokens))
+    assert len(aligned) > 3 and sum(int(x.n_a.sum()) for x in aligned if x.good.all()) > 0
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert word_table.both_ways(none, BYTES).count() == 0 and alignment.align(none, BYTES, PIECES).count() == 0

@@ -1,8 +1,10 @@
 """Alignment of two tokenizers over a corpus: how often their tokens lie over the same bytes.
 
-First pass: blocks of documents (``blocks``) are encoded by both tokenizers,
-each distinct part once, and give the distinct pairs of ids linked in them with
-counts. The distinct pairs of the corpus, dealt out by hash into segments of
+Blocks of documents (``blocks``) are encoded by both tokenizers, each distinct
+part once, and the ids are written beside the block for both passes.
+
+First pass: the blocks are aligned and give the distinct pairs of ids linked in
+them with counts. The distinct pairs of the corpus, dealt out by hash into segments of
 about ``SEGMENT`` pairs, get a minimal perfect hash per segment: a small seed
 per bucket of keys sends every pair of the segment to a place of its own. Counts
 are then dense vectors indexed by that hash, one per segment and ``FAN`` blocks,
@@ -29,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.llm.blocks import BLOCK_BYTES, ROWS, Block, spread, write_blocks
+from tramline.llm.blocks import BLOCK_BYTES, ROWS, Block, read_batch, read_parts, spread, write_batch, write_blocks
 from tramline.llm.common import mixed, strings
+from tramline.llm.files import Output, make_folder, open_stream
 from tramline.llm.word_table import pieces, tokenizer
-from tramline.session import settle
+from tramline.session import settle, shared_dir
 
 #: Pairs of a segment on average: its hash, keys and vector take less than a megabyte.
 SEGMENT = 1 << 15
@@ -40,7 +43,7 @@ SEGMENT = 1 << 15
 FAN = 32
 #: Keys of a bucket on average; each bucket has one seed.
 BUCKET = 4
-#: Bytes of parts that are aligned at once.
+#: Bytes of parts that are encoded or aligned at once.
 STRETCH = 1 << 20
 
 
@@ -164,6 +167,43 @@ def _joined(table: pa.Array, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return strings(table.take(pa.array(ids)))
 
 
+def _cuts(parts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of parts of about ``STRETCH`` bytes."""
+    _, ends = strings(parts)
+    lo = 0
+    while lo < len(parts):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + STRETCH, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+def write_tokens(parts: pa.Array, both: Sides, folder: str, block: int) -> str:
+    """Encodes ``parts``, writes their ids and counts on both sides to a file, in as few bytes a number as all fit in, and returns its place."""
+    texts = [parts[lo:hi].to_pylist() for lo, hi in _cuts(parts)]
+    file = Output(folder, f"tokens-{block}", ".ids")
+    for side in (both.a, both.b):
+        for columns in zip(*map(_flat, map(side, texts))) if texts else [()] * 2:
+            numbers = np.concatenate([np.zeros(0, np.int64), *columns])
+            narrow = numbers.astype(np.min_scalar_type(int(numbers.max(initial=0))))
+            write_batch(file, pa.RecordBatch.from_arrays([pa.array(narrow)], ["x"]))
+    file.close()
+    return file.url
+
+
+class Tokens:
+    """What write_tokens() wrote, by ranges of parts."""
+
+    def __init__(self, url: str):
+        with open_stream(url) as file:
+            self._a, self._n_a, self._b, self._n_b = (read_batch(file).column(0).to_numpy() for _ in range(4))
+        self._a_at, self._b_at = (np.concatenate(([0], np.cumsum(n, dtype=np.int64))) for n in (self._n_a, self._n_b))
+
+    def of(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of parts ``lo`` to ``hi`` and their counts, first side first."""
+        mine = (self._a[self._a_at[lo]:self._a_at[hi]], self._n_a[lo:hi], self._b[self._b_at[lo]:self._b_at[hi]], self._n_b[lo:hi])
+        return tuple(x.astype(np.int64) for x in mine)
+
+
 class Aligned:
     """Parts under both tokenizers.
 
@@ -174,10 +214,7 @@ class Aligned:
     ends of either side lies in one token of each: a link.
     """
 
-    def __init__(self, parts: pa.Array, both: Sides):
-        texts = parts.to_pylist()
-        a, n_a = _flat(both.a(texts))
-        b, n_b = _flat(both.b(texts))
+    def __init__(self, parts: pa.Array, both: Sides, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray):
         data, ends = strings(parts)
         self.good = self._whole(data, ends, both.a_bytes, a, n_a) & self._whole(data, ends, both.b_bytes, b, n_b)
         if not self.good.all():
@@ -220,13 +257,9 @@ class Aligned:
             pa.large_binary(), len(cut) - 1, [None, pa.py_buffer(cut), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def _stretches(parts: pa.Array, both: Sides) -> Iterator[Aligned]:
-    _, ends = strings(parts)
-    lo = 0
-    while lo < len(parts):
-        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + STRETCH, "right")) - 1)
-        yield Aligned(parts[lo:hi], both)
-        lo = hi
+def _stretches(parts: pa.Array, both: Sides, tokens: Tokens) -> Iterator[Aligned]:
+    for lo, hi in _cuts(parts):
+        yield Aligned(parts[lo:hi], both, *tokens.of(lo, hi))
 
 
 def _usable(block: Block, good: np.ndarray) -> np.ndarray:
@@ -268,14 +301,25 @@ def align(docs: DataFrame, vocabulary: str, model: str, key: str = "doc_id", tex
     are not looked at. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    manifest = write_blocks(docs, key, text, before=" ", most_bytes=most_bytes)
+    blocks = write_blocks(docs, key, text, before=" ", most_bytes=most_bytes)
+    folder = make_folder(shared_dir(spark, "tokens"))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = sides(vocabulary, model)
+        for batch in batches:
+            tokens = [write_tokens(read_parts(url), both, folder, number)
+                      for number, url in zip(batch.column("block").to_pylist(), batch.column("url").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.select(["block", "url"]).columns, pa.array(tokens, pa.string())], ["block", "url", "tokens"])
+
+    # Only files of attempts that counted are listed.
+    manifest = settle(spread(spark, blocks).mapInArrow(encode, "block long, url string, tokens string"), "encoded")
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = sides(vocabulary, model)
         for batch in batches:
-            for number, url in zip(batch.column("block").to_pylist(), batch.column("url").to_pylist()):
+            for number, url, tokens in zip(*(batch.column(c).to_pylist() for c in ("block", "url", "tokens"))):
                 block = Block(url)
-                pairs, counts = _linked(block, list(_stretches(block.parts, both)))
+                pairs, counts = _linked(block, list(_stretches(block.parts, both, Tokens(tokens))))
                 for lo in range(0, len(pairs), ROWS):
                     some = pairs[lo:lo + ROWS]
                     yield pa.RecordBatch.from_arrays(
@@ -360,7 +404,7 @@ def align(docs: DataFrame, vocabulary: str, model: str, key: str = "doc_id", tex
         order = np.argsort(rows.column("pair").to_numpy())
         pairs, counts = rows.column("pair").to_numpy()[order], rows.column("n").to_numpy()[order]
         per_part, names = [], []
-        for x in _stretches(block.parts, both):
+        for x in _stretches(block.parts, both, Tokens(found.column("tokens")[0].as_py())):
             mine = (x.link_a << 32) + x.link_b
             # Pairs of unusable documents alone were not counted; no document looks at them.
             at_pair = np.minimum(np.searchsorted(pairs, mine), max(0, len(pairs) - 1))

@@ -62,6 +62,18 @@ def packed(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def write_batch(file: Output, batch: pa.RecordBatch) -> None:
+    data = packed(batch)
+    file.write(len(data).to_bytes(8, "little"))
+    file.write(data)
+
+
+def read_batch(file: pa.NativeFile) -> pa.RecordBatch:
+    """The next batch of write_batch()."""
+    with pa.ipc.open_stream(pa.py_buffer(file.read(int.from_bytes(file.read(8), "little")))) as reader:
+        return next(iter(reader))
+
+
 #: Places are written byte by byte, each in a column of its own.
 _PLANES = (0, 8, 16, 24)
 
@@ -88,13 +100,12 @@ class _Block:
         rank = np.empty(len(order), np.int32)
         rank[order] = np.arange(len(order))
         flat = rank[flat]
-        parts = packed(pa.RecordBatch.from_arrays([pa.array(list(self.places), pa.large_string()).take(pa.array(order))], ["part"]))
-        docs = packed(pa.RecordBatch.from_arrays([pa.array(self.keys, pa.int64()), pa.array(counts)], ["key", "n"]))
+        parts = pa.RecordBatch.from_arrays([pa.array(list(self.places), pa.large_string()).take(pa.array(order))], ["part"])
+        docs = pa.RecordBatch.from_arrays([pa.array(self.keys, pa.int64()), pa.array(counts)], ["key", "n"])
         planes = [pa.array((flat >> shift).astype(np.uint8)) for shift in _PLANES]
         file = Output(folder, f"block-{place}-{sequence}", ".blk")
-        for data in (parts, docs, packed(pa.RecordBatch.from_arrays(planes, [f"bits{x}" for x in _PLANES]))):
-            file.write(len(data).to_bytes(8, "little"))
-            file.write(data)
+        for batch in (parts, docs, pa.RecordBatch.from_arrays(planes, [f"bits{x}" for x in _PLANES])):
+            write_batch(file, batch)
         file.close()
         return {"block": (place << 24) + sequence, "url": file.url}
 
@@ -130,15 +141,10 @@ def write_blocks(docs: DataFrame, key: str, text: str, before: str = "", most_by
     return settle(rows.mapInArrow(write, "block long, url string"), "manifest")
 
 
-def _stream(file: pa.NativeFile) -> pa.RecordBatch:
-    with pa.ipc.open_stream(pa.py_buffer(file.read(int.from_bytes(file.read(8), "little")))) as reader:
-        return next(iter(reader))
-
-
 def read_parts(url: str) -> pa.Array:
     """The distinct parts of a block, each at its place."""
     with open_stream(url) as file:
-        return _stream(file).column(0)
+        return read_batch(file).column(0)
 
 
 class Block:
@@ -146,9 +152,9 @@ class Block:
 
     def __init__(self, url: str):
         with open_stream(url) as file:
-            self.parts = _stream(file).column(0)
-            docs = _stream(file)
-            self.places = sum(plane.to_numpy().astype(np.int32) << shift for plane, shift in zip(_stream(file).columns, _PLANES))
+            self.parts = read_batch(file).column(0)
+            docs = read_batch(file)
+            self.places = sum(plane.to_numpy().astype(np.int32) << shift for plane, shift in zip(read_batch(file).columns, _PLANES))
         self.keys = docs.column("key")
         self.at = np.concatenate(([0], np.cumsum(docs.column("n").to_numpy(), dtype=np.int64)))
 
