@@ -206,3 +206,30 @@ def test_short_near_copies_put_out_few_pairs(spark, monkeypatch):
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, settings).collect())
     assert got == sorted(brute.near(rows, 2))
     assert kept and kept[0] <= 4000, kept
+
+
+def test_near_copies_that_are_like_no_other_meet_nobody(spark, monkeypatch):
+    """A group in which most texts have more words of their own than a link leaves; the others' links all come out."""
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(400):
+        words = list(base)
+        for k, at in enumerate(range(rng.randrange(8), 120, 15)):
+            words[at] = f"own{i}_{k}"
+        texts.append(" ".join(words))
+        if i % 20 == 0:  # Two that are like the text before, and like nobody else.
+            texts += [" ".join(words[:-1] + [f"last{i}"]), " ".join([f"first{i}"] + words[1:])]
+    rows = list(enumerate(texts + near_copies(60, 120, 6)))
+    rows += [(1000 + i, " ".join(base[:119] + [f"tail{i}"])) for i in range(30)]
+    counts, whole = {}, near_dedup.Scratch.settle
+
+    def noted(self, df, label):
+        out = whole(self, df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup.Scratch, "settle", noted)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(frame(spark, rows), Settings(words=2)).collect())
+    assert got == sorted(brute.near(rows, 2))
+    assert counts["close"] * 4 < counts["buckets"], counts

@@ -75,8 +75,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         F.any_value("n_shingles").alias("n")), "sets")
     buckets = classes.select(F.col("set_hash").alias("set"), "n", F.explode("bands").alias("band"))
     shared = buckets.groupBy("band").agg(
-        F.min("set").alias("lead"), F.count("*").alias("members"), F.sum("n").alias("shingles")).filter("members > 1")
-    buckets = scratch.settle(buckets.drop("n").join(shared, "band"), "buckets")
+        F.min("set").alias("lead"), F.count("*").alias("members")).filter("members > 1")
+    buckets = scratch.settle(buckets.join(shared.drop("members"), "band"), "buckets")
 
     # Of the first members of its buckets a set is compared with the one it shares most buckets with, and the smallest.
     leads = buckets.filter("set != lead").groupBy("set").agg(F.mode("lead", True).alias("most"), F.min("lead").alias("least"))
@@ -204,8 +204,11 @@ def _across(
 ) -> DataFrame:
     """Links ``a, b`` that connect components within buckets that hold several.
 
-    All links that are missing have an end outside the largest component of
-    their bucket. So the members outside are its guests: guests and members are
+    A set whose own shingles, which no other set of these buckets has, leave
+    too few for a link with the smallest set of a bucket has none there, and is
+    left out first; in a group of near copies those are most. All links that are
+    missing have an end outside the largest component of their bucket. So the
+    members outside are its guests: guests and members are
     cut into blocks by hash, and each block of members and block of guests is a
     group of its own. Members of the largest component go to as many groups as
     there are blocks of guests, mostly one. Sketches first tell which members
@@ -215,33 +218,39 @@ def _across(
     components, and of all groups one pair for each two components goes on. A
     pair is looked at in the first of the buckets that it shares.
     """
-    labelled = buckets.select("band", "set", "members", "shingles") \
-        .join(found.withColumnRenamed("node", "set"), "set", "left") \
-        .select("band", "set", "members", "shingles", F.coalesce("component", "set").alias("component"))
-    several = labelled.groupBy("band", "component").agg(
-        F.count("*").alias("n"), F.any_value("members").alias("members"), F.any_value("shingles").alias("shingles")) \
-        .groupBy("band").agg(
-            F.count("*").alias("components"), F.max(F.struct("n", "component")).alias("largest"),
-            F.any_value("members").alias("members"), F.any_value("shingles").alias("shingles")) \
-        .filter("components > 1")
+    labelled = buckets.select("band", "set", "n").join(found.withColumnRenamed("node", "set"), "set", "left") \
+        .select("band", "set", "n", F.coalesce("component", "set").alias("component"))
+    held = scratch.settle(_places(labelled, _several(labelled).select("band", "least")), "held")
+    sets = scratch.settle(_packed(_texts(docs, classes, held), settings).withColumnRenamed("set_hash", "set"), "shingles")
+    # A pair is linked when (100 + percent) * |A and B| >= percent * (|A| + |B|), and B has none of A's own shingles.
+    most = (F.col("n") - F.coalesce("own", F.lit(0))) * (100 + settings.percent)
+    able = held.join(_own(sets), "set", "left") \
+        .withColumn("places", F.filter("places", lambda p: most >= (F.col("n") + p["least"]) * settings.percent)) \
+        .select("set", "n", "component", F.explode("places.band").alias("band"))
+    able = scratch.settle(able, "able")
     # Blocks are bounded by members and, on average, by shingles, so that long texts fit as well.
     dense = F.greatest(F.lit(1.0 / settings.block), F.col("shingles") / F.col("members") / settings.block_shingles)
-    several = several.select(
+    several = _several(able).select(
         "band", F.col("largest.component").alias("largest"), F.ceil(F.col("members") * dense).cast("int").alias("sides"),
         F.ceil((F.col("members") - F.col("largest.n")) * dense).cast("int").alias("guest_sides"))
     looks = classes.select(F.col("set_hash").alias("set"), "sketch", "bands")
-    mixed_ones = labelled.select("band", "set", "component").join(several, "band").join(looks, "set")
 
     def block(sides):
         return F.pmod(F.xxhash64("set"), F.col(sides)).cast("int")
 
     def every(sides):
-        return F.explode(F.sequence(F.lit(0), F.col(sides) - 1))
-
-    columns = ["band", "i", "j", "guest", "set", "component", "sketch", "bands"]
-    cells = mixed_ones.withColumns({"i": block("sides"), "guest": F.lit(False)}).withColumn("j", every("guest_sides")).select(columns) \
-        .union(mixed_ones.filter("component != largest").withColumns({"j": block("guest_sides"), "guest": F.lit(True)})
-               .withColumn("i", every("sides")).select(columns))
+        return F.sequence(F.lit(0), F.col(sides) - 1)
+
+    def cell(i, j, guest):
+        return F.struct(i.alias("i"), j.alias("j"), F.lit(guest).alias("guest"))
+
+    as_member = F.transform(every("guest_sides"), lambda j: cell(block("sides"), j, False))
+    as_guest = F.transform(every("sides"), lambda i: cell(i, block("guest_sides"), True))
+    none = F.slice(as_guest, 1, 0)
+    cells = _places(able, several).join(looks, "set").withColumn("place", F.explode("places")) \
+        .select("set", "component", "sketch", "bands", "place.*") \
+        .withColumn("cell", F.explode(F.concat(as_member, F.when(F.expr("component != largest"), as_guest).otherwise(none)))) \
+        .select("band", "cell.*", "set", "component", "sketch", "bands")
     group = ["band", "i", "j"]
 
     def near_pairs(key, group, label):
@@ -268,7 +277,6 @@ def _across(
 
     kind = "band long, i int, j int, guest boolean, set long, component long"
     close = scratch.settle(cells.groupBy(*group).applyInArrow(sift, kind), "close")
-    sets = _packed(_texts(docs, classes, close), settings).withColumnRenamed("set_hash", "set")
 
     def compare(key, group):
         ids, component = (group.column(c).to_numpy() for c in ("set", "component"))
@@ -283,11 +291,47 @@ def _across(
         out = list(zip(*out)) or [()] * 4
         return pa.table({n: pa.array(v, pa.int64()) for n, v in zip(("c", "d", "a", "b"), out)})
 
-    pairs = scratch.settle(close.join(looks, "set").join(sets, "set").groupBy(*group)
-                           .applyInArrow(compare, "c long, d long, a long, b long"), "pairs")
+    # Sketches and shingles come to a set once, then to its groups.
+    whole = close.groupBy("set", "component").agg(F.collect_list(F.struct("band", "i", "j", "guest")).alias("cells")) \
+        .join(looks, "set").join(sets, "set").withColumn("cell", F.explode("cells")) \
+        .select("cell.*", "set", "component", "sketch", "bands", "shingles")
+    pairs = scratch.settle(whole.groupBy(*group).applyInArrow(compare, "c long, d long, a long, b long"), "pairs")
     return pairs.groupBy("c", "d").agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.a", "pair.b")
 
 
+def _several(labelled: DataFrame) -> DataFrame:
+    """Of ``band, set, n, component`` the bands that hold several components, with the largest and the least ``n``."""
+    return labelled.groupBy("band", "component").agg(
+        F.count("*").alias("n"), F.sum("n").alias("shingles"), F.min("n").alias("least")) \
+        .groupBy("band").agg(
+            F.count("*").alias("components"), F.max(F.struct("n", "component")).alias("largest"),
+            F.sum("n").alias("members"), F.sum("shingles").alias("shingles"), F.min("least").alias("least")) \
+        .filter("components > 1")
+
+
+def _places(labelled: DataFrame, bands: DataFrame) -> DataFrame:
+    """``set, n, component, places`` of the sets in ``bands``; the places are its rows of ``bands``."""
+    return labelled.join(bands, "band").groupBy("set", "n", "component") \
+        .agg(F.collect_list(F.struct(*bands.columns)).alias("places"))
+
+
+def _own(sets: DataFrame) -> DataFrame:
+    """``set, own``: how many shingles of a set no other of the ``sets`` (``set, shingles``) has; only sets with some."""
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column("set").to_numpy()
+            data, offsets = strings(batch.column("shingles"))
+            for lo, hi in chunks(offsets):
+                each = np.repeat(names[lo:hi], np.diff(offsets[lo:hi + 1]) // 8)
+                values = np.frombuffer(data[offsets[lo]:offsets[hi]].tobytes(), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(values)], ["set", "shingle"])
+
+    return sets.mapInArrow(lean(apart), "set long, shingle long") \
+        .groupBy("shingle").agg(F.count("*").alias("sets"), F.min("set").alias("set")).filter("sets = 1") \
+        .groupBy("set").agg(F.count("*").alias("own"))
+
+
 def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= percent * (len(x) + len(y) - both)
